@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import sys
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -29,7 +29,7 @@ from starmart.operators import dimensions, rollups, staging
 from starmart.operators.facts import fact_orders
 from starmart.plans import pipeline, quality, reports
 from starmart.plans.checks import CHECKS
-from starmart.plans.layers import MARTS, STAGING, Warehouse
+from starmart.plans.layers import MARTS, Warehouse
 from starmart.sources import RAW_SOURCES, adapters, read_all_raw, read_raw, write_raw
 from starmart.sources.raw_csv import read_stitched
 
@@ -42,10 +42,12 @@ EXACT = {"price", "freight_value", "payment_value"}
 
 def rounded(df: DataFrame) -> DataFrame:
     """Sums of doubles depend on the order of addition: compare at fixed digits."""
-    for name, kind in df.dtypes:
-        if kind == "double" and name not in EXACT:
-            df = df.withColumn(name, F.round(name, 6 if name in MEANS else 2))
-    return df
+    return df.select(*[
+        F.round(name, 6 if name in MEANS else 2).alias(name)
+        if kind == "double" and name not in EXACT
+        else F.col(name)
+        for name, kind in df.dtypes
+    ])
 
 
 def scratch(spark: SparkSession) -> str:
@@ -59,46 +61,59 @@ def scratch(spark: SparkSession) -> str:
 # ---- tables -----------------------------------------------------------------
 
 
-def staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return staging.stage_all(adapters.raw_tables(spark, sf_dir))
+class Tables(Mapping):
+    """Staged tables and marts over the given tables, each made when asked for."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark, self.sf_dir = spark, sf_dir
+        self.made: dict[str, DataFrame] = {}
 
-def marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return pipeline.model(staged(spark, sf_dir))
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.made:
+            self.made[name] = self._make(name)
+        return self.made[name]
 
+    def _make(self, name: str) -> DataFrame:
+        if name in adapters.RAW_TABLES:
+            return adapters.RAW_TABLES[name](self.spark, self.sf_dir)
+        function, sources = (staging.STAGED.get(name) or pipeline.MODELS.get(name))
+        return function(*[self[source] for source in sources])
 
-def warehouse_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    tables = staged(spark, sf_dir)
-    return {**tables, **pipeline.model(tables)}
+    def __iter__(self) -> Iterator[str]:
+        return iter([*staging.STAGED, *pipeline.MODELS])
+
+    def __len__(self) -> int:
+        return len(staging.STAGED) + len(pipeline.MODELS)
 
 
 def _staged(name: str) -> Query:
     """A staged table from raw text, so that its casts do their work."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        raw = adapters.raw_tables(spark, sf_dir)
-        return staging.stage_all({n: adapters.as_text(t) for n, t in raw.items()})[name]
+        function, sources = staging.STAGED[name]
+        tables = Tables(spark, sf_dir)
+        return function(*[adapters.as_text(tables[source]) for source in sources])
 
     return query
 
 
 def _mart(name: str) -> Query:
-    return lambda spark, sf_dir: rounded(marts(spark, sf_dir)[name])
+    return lambda spark, sf_dir: rounded(Tables(spark, sf_dir)[name])
 
 
 def _children(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    t = staged(spark, sf_dir)
+    t = Tables(spark, sf_dir)
     return t["stg_order_items"], t["stg_order_payments"], t["stg_order_reviews"]
 
 
 def _date_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bounds = dimensions.date_bounds(staged(spark, sf_dir)["stg_orders"])
+    bounds = dimensions.date_bounds(Tables(spark, sf_dir)["stg_orders"])
     return date_spine(bounds, "min_date", "max_date", "date_day")
 
 
 def _count_by(*columns: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        fact = marts(spark, sf_dir)["fact_orders"]
+        fact = Tables(spark, sf_dir)["fact_orders"]
         return fact.groupBy(*columns).agg(F.count(F.lit(1)).alias("orders"))
 
     return query
@@ -109,31 +124,29 @@ def _count_by(*columns: str) -> Query:
 
 def _report(report: Callable[..., DataFrame], *names: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tables = marts(spark, sf_dir)
+        tables = Tables(spark, sf_dir)
         return rounded(report(*[tables[n] for n in names]))
 
     return query
 
 
 def _check(check: quality.Check) -> Query:
-    return lambda spark, sf_dir: rounded(
-        quality.failures(check, warehouse_tables(spark, sf_dir))
-    )
+    return lambda spark, sf_dir: rounded(quality.failures(check, Tables(spark, sf_dir)))
 
 
 def _value_non_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every seventh order is a refund, so that the check has something to find."""
-    tables = staged(spark, sf_dir)
+    tables = Tables(spark, sf_dir)
     refund = F.col("order_id").cast("bigint") % 7 == 0
     price = F.when(refund, -F.col("price")).otherwise(F.col("price"))
-    tables["stg_order_items"] = tables["stg_order_items"].withColumn("price", price)
+    tables.made["stg_order_items"] = tables["stg_order_items"].withColumn("price", price)
     check = next(c for c in CHECKS if c.kind == "singular")
-    found = quality.failures(check, pipeline.model(tables))
+    found = quality.failures(check, tables)
     return rounded(found.select("order_id", "total_order_value"))
 
 
 def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.summarise(spark, CHECKS, warehouse_tables(spark, sf_dir))
+    return quality.summarise(spark, CHECKS, Tables(spark, sf_dir))
 
 
 # ---- sources, sinks and layers ----------------------------------------------
@@ -166,6 +179,11 @@ def _free_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _metrics_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pipeline.mount(_published(spark, sf_dir))
+    return rounded(spark.table("main_marts.int_order_metrics"))
+
+
 def _stitched(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch(spark)
     _write_reviews(spark, sf_dir, base)
@@ -195,8 +213,7 @@ def _csv_to_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         write_raw(adapters.as_text(table), f"{base}/raw/{name}.csv")
     warehouse = Warehouse(spark, f"{base}/warehouse")
     pipeline.build(warehouse, read_all_raw(spark, f"{base}/raw"))
-    warehouse.mount(STAGING)
-    warehouse.mount(MARTS)
+    pipeline.mount(warehouse)
     return spark.sql(
         "SELECT order_status, count(*) AS orders, round(sum(total_order_value), 2) AS revenue "
         "FROM main_marts.fact_orders GROUP BY order_status"
@@ -285,9 +302,8 @@ def _aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _join_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = staged(spark, sf_dir)
     items, payments, reviews = _children(spark, sf_dir)
-    orders = tables["stg_orders"]
+    orders = Tables(spark, sf_dir)["stg_orders"]
     rolled = rollups.item_rollup(items).select(F.col("order_id").alias("a"))
     paid = rollups.payment_rollup(payments).select(F.col("order_id").alias("b"))
     rated = rollups.review_rollup(reviews).select(F.col("order_id").alias("c"))
@@ -347,7 +363,7 @@ def queries() -> dict[str, Query]:
         "fact_order_items",
     ):
         found[name] = _mart(name)
-    found["date_bounds"] = lambda s, d: dimensions.date_bounds(staged(s, d)["stg_orders"])
+    found["date_bounds"] = lambda s, d: dimensions.date_bounds(Tables(s, d)["stg_orders"])
     found["date_spine"] = _date_spine
     found["delivery_days"] = _count_by("delivery_days")
     found["on_time_flag"] = _count_by("order_status", "delivered_on_time")
@@ -378,6 +394,7 @@ def queries() -> dict[str, Query]:
     found["raw_csv_free_text"] = _free_text
     found["raw_csv_stitched"] = _stitched
     found["mart_read_back"] = _mart_read_back
+    found["order_metrics_view"] = _metrics_view
     found["csv_to_catalog"] = _csv_to_catalog
 
     found["surrogate_key"] = _surrogate_key

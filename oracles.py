@@ -226,7 +226,8 @@ def oracle_sql() -> dict[str, str]:
         ["rp"], "SELECT * REPLACE (round(total_payment, 2) AS total_payment) FROM rp")
     sql["int_reviews"] = _with(
         ["rr"], "SELECT * REPLACE (round(avg_review_score, 6) AS avg_review_score) FROM rr")
-    sql["order_metrics"] = sql["order_metrics_joined"] = _with(["m"], METRICS)
+    for name in ("order_metrics", "order_metrics_joined", "order_metrics_view"):
+        sql[name] = _with(["m"], METRICS)
     sql["date_bounds"] = _with(["db"], "SELECT * FROM db")
     sql["date_spine"] = _with(["sp"], "SELECT * FROM sp")
     sql["delivery_days"] = _with(["fo"], """SELECT delivery_days, count(*) AS orders

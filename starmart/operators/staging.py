@@ -111,16 +111,21 @@ def stg_sellers(sellers: DataFrame) -> DataFrame:
     )
 
 
+# Staged tables and the raw sources each reads; geolocation is landed only.
+STAGED = {
+    "stg_customers": (stg_customers, ("customers",)),
+    "stg_orders": (stg_orders, ("orders",)),
+    "stg_order_items": (stg_order_items, ("order_items",)),
+    "stg_order_payments": (stg_order_payments, ("order_payments",)),
+    "stg_order_reviews": (stg_order_reviews, ("order_reviews",)),
+    "stg_products": (stg_products, ("products", "product_category_name_translation")),
+    "stg_sellers": (stg_sellers, ("sellers",)),
+}
+
+
 def stage_all(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """All staged tables by name. Geolocation is landed but nothing models it."""
+    """All staged tables by name."""
     return {
-        "stg_customers": stg_customers(raw["customers"]),
-        "stg_orders": stg_orders(raw["orders"]),
-        "stg_order_items": stg_order_items(raw["order_items"]),
-        "stg_order_payments": stg_order_payments(raw["order_payments"]),
-        "stg_order_reviews": stg_order_reviews(raw["order_reviews"]),
-        "stg_products": stg_products(
-            raw["products"], raw["product_category_name_translation"]
-        ),
-        "stg_sellers": stg_sellers(raw["sellers"]),
+        name: function(*[raw[source] for source in sources])
+        for name, (function, sources) in STAGED.items()
     }

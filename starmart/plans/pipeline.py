@@ -9,32 +9,82 @@ from pyspark.sql import DataFrame
 from starmart.operators.dimensions import dim_customer, dim_date, dim_product, dim_seller
 from starmart.operators.facts import fact_order_items, fact_orders
 from starmart.operators.rollups import order_metrics
-from starmart.operators.skew import HotKeys, find_hot_keys
-from starmart.operators.staging import stage_all
+from starmart.operators.skew import find_hot_keys
+from starmart.operators.staging import STAGED, stage_all
 from starmart.plans.checks import CHECKS
 from starmart.plans.layers import MARTS, STAGING, Warehouse
 from starmart.plans.quality import summarise
+from starmart.sources import read_all_raw
 
 
-def model(staged: Mapping[str, DataFrame], hot_orders: HotKeys = HotKeys()) -> dict[str, DataFrame]:
-    """Dimensions and facts from staged tables; nothing runs yet."""
-    orders, items = staged["stg_orders"], staged["stg_order_items"]
-    metrics = order_metrics(
-        items,
-        staged["stg_order_payments"],
-        staged["stg_order_reviews"],
-        known_orders_only=True,
-    )
+def order_fact(
+    orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame
+) -> DataFrame:
+    """``fact_orders`` from staged tables, guarded against order ids that repeat often.
+
+    Looking for those is the one thing that runs here: a pass over the order ids.
+    """
+    metrics = order_metrics(items, payments, reviews, known_orders_only=True)
+    return fact_orders(orders, metrics, find_hot_keys(orders, "order_id"))
+
+
+# Marts and the staged tables each reads. No mart reads another.
+MODELS = {
+    "fact_orders": (
+        order_fact,
+        ("stg_orders", "stg_order_items", "stg_order_payments", "stg_order_reviews"),
+    ),
+    "fact_order_items": (fact_order_items, ("stg_order_items", "stg_orders")),
+    "dim_customer": (dim_customer, ("stg_customers",)),
+    "dim_product": (dim_product, ("stg_products",)),
+    "dim_seller": (dim_seller, ("stg_sellers",)),
+    "dim_date": (dim_date, ("stg_orders",)),
+}
+
+# The order metrics stay a view among the marts; a catalog view needs SQL text.
+ORDER_METRICS_VIEW = """
+SELECT order_id,
+       count_if(child = 'item') AS items_count,
+       coalesce(sum(price), 0) AS total_price,
+       coalesce(sum(freight_value), 0) AS total_freight,
+       coalesce(sum(payment_value), 0) AS total_payment,
+       coalesce(max(payment_installments), 0) AS max_installments,
+       avg(CAST(review_score AS DOUBLE)) AS avg_review_score,
+       count_if(child = 'review') AS review_count
+FROM (SELECT order_id, 'item' AS child, price, freight_value,
+             CAST(NULL AS DOUBLE) AS payment_value, CAST(NULL AS INT) AS payment_installments,
+             CAST(NULL AS INT) AS review_score
+      FROM {staging}.stg_order_items
+      UNION ALL
+      SELECT order_id, 'payment', NULL, NULL, payment_value, payment_installments, NULL
+      FROM {staging}.stg_order_payments
+      UNION ALL
+      SELECT order_id, 'review', NULL, NULL, NULL, NULL, review_score
+      FROM {staging}.stg_order_reviews)
+GROUP BY order_id, if(order_id IS NULL, child, NULL)
+"""
+
+
+def model(staged: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Dimensions and facts from staged tables."""
     return {
-        "fact_orders": fact_orders(orders, metrics, hot_orders),
-        "fact_order_items": fact_order_items(items, orders),
-        "dim_customer": dim_customer(staged["stg_customers"]),
-        "dim_product": dim_product(staged["stg_products"]),
-        "dim_seller": dim_seller(staged["stg_sellers"]),
-        "dim_date": dim_date(orders),
+        name: function(*[staged[source] for source in sources])
+        for name, (function, sources) in MODELS.items()
     }
 
 
+def read_staging_sources(
+    warehouse: Warehouse,
+    base: str,
+    pattern: str = "{name}.csv",
+    file_names: Mapping[str, str] | None = None,
+    sep: str = ",",
+) -> dict[str, DataFrame]:
+    """The CSV extracts staging reads; a source no model uses may be absent."""
+    names = [source for _, sources in STAGED.values() for source in sources]
+    return read_all_raw(warehouse.spark, base, pattern, file_names, sep, names)
+
+
 def build(warehouse: Warehouse, raw: Mapping[str, DataFrame]) -> None:
     """Rebuild and publish both layers from raw tables.
 
@@ -42,9 +92,14 @@ def build(warehouse: Warehouse, raw: Mapping[str, DataFrame]) -> None:
     mart and check, and a lost executor re-reads columns rather than extracts.
     """
     warehouse.refresh(STAGING, stage_all(raw))
-    staged = warehouse.read_layer(STAGING)
-    hot = find_hot_keys(staged["stg_orders"], "order_id")
-    warehouse.refresh(MARTS, model(staged, hot))
+    warehouse.refresh(MARTS, model(warehouse.read_layer(STAGING)))
+
+
+def mount(warehouse: Warehouse) -> None:
+    """Make the published tables, and the order metrics view, queryable by name."""
+    staging, marts = warehouse.mount(STAGING), warehouse.mount(MARTS)
+    view = ORDER_METRICS_VIEW.format(staging=f"`{staging}`")
+    warehouse.spark.sql(f"CREATE OR REPLACE VIEW `{marts}`.int_order_metrics AS {view}")
 
 
 def check(warehouse: Warehouse) -> DataFrame:

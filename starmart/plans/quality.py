@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Tables = Mapping[str, DataFrame]
@@ -90,40 +90,40 @@ def failures(check: Check, tables: Tables) -> DataFrame:
 def summarise(spark: SparkSession, checks: Iterable[Check], tables: Tables) -> DataFrame:
     """test, table, column, failures, passed: one row per check.
 
-    Each table is read once and every checked column becomes one *ballot* per
-    row: (domain, key, role). A domain holds the columns compared with each
-    other, that is a parent key and the child columns that refer to it; a role is
-    one column of it. Ballots are counted per (domain, key) with map-side partial
-    counts, so hot keys shrink before the one shuffle, and all checks are then
-    read off the counts.
+    Each table is read once and each row casts a few *ballots* (domain, role,
+    key). A domain holds columns that are compared with each other, that is a
+    parent key and the child columns referring to it; a role is one column of it
+    and the key its value. Checks that look at a row alone share one ballot per
+    row, whose key spells out which of them the row fails. Ballots are counted
+    per (domain, key) with map-side partial counts, so hot keys shrink before the
+    one shuffle, and every check is then read off the counts.
     """
     checks = list(checks)
-    roles = _assign_roles(checks)
+    ballots = _Ballots(checks)
     votes = None
-    for table in dict.fromkeys(role.table for role in roles):
-        ballots = [role.ballot() for role in roles if role.table == table]
-        cast = tables[table].select(F.inline(F.array(*ballots)))
-        votes = cast if votes is None else votes.unionAll(cast)
-    width = 1 + max(role.number for role in roles)
+    for table, cast in ballots.by_table().items():
+        voted = tables[table].selectExpr(f"inline(array({', '.join(cast)}))")
+        votes = voted if votes is None else votes.unionAll(voted)
     counted = votes.groupBy("domain", "key").agg(
-        *[F.count_if(F.col("role") == n).alias(f"n{n}") for n in range(width)]
+        *[F.expr(f"count_if(role = {role}) AS n{role}") for role in range(ballots.width)]
+    )
+    # Few rows from here on: one per domain, or per value where values are listed.
+    measured = counted.groupBy("domain", F.expr(f"{ballots.listed_key} AS value")).agg(
+        *[F.expr(f"sum({sql}) AS {name}") for name, sql in ballots.measures.items()]
     )
 
-    by_domain: dict[int, list[Column]] = {}
+    verdicts: dict[int, list[str]] = {}
     for number, check in enumerate(checks):
-        domain, failed = _failed(check, roles)
-        by_domain.setdefault(domain, []).append(
-            F.struct(F.lit(number).alias("number"), failed.cast("bigint").alias("failed"))
-        )
-    verdicts = None
-    for domain, parts in by_domain.items():
-        condition, value = F.col("domain") == domain, F.array(*parts)
-        verdicts = (
-            F.when(condition, value) if verdicts is None else verdicts.when(condition, value)
+        domain, failed = ballots.failed(check)
+        verdicts.setdefault(domain, []).append(
+            f"struct({number} AS number, {failed} AS failed)"
         )
+    cases = " ".join(
+        f"WHEN domain = {domain} THEN array({', '.join(parts)})"
+        for domain, parts in verdicts.items()
+    )
     failed = (
-        counted.select(F.inline(verdicts))
-        .filter("failed > 0")
+        measured.selectExpr(f"inline(CASE {cases} END)")
         .groupBy("number")
         .agg(F.sum("failed").alias("failed"))
     )
@@ -131,82 +131,112 @@ def summarise(spark: SparkSession, checks: Iterable[Check], tables: Tables) -> D
         [(n, c.test, c.table, c.column) for n, c in enumerate(checks)],
         "number int, test string, table string, column string",
     )
-    count = F.coalesce(F.col("failed"), F.lit(0))
+    count = F.coalesce("failed", F.lit(0))
     return listed.join(failed, "number", "left").select(
         "test", "table", "column", count.alias("failures"), (count == 0).alias("passed")
     )
 
 
-@dataclass(frozen=True)
-class _Role:
-    """One checked column (or predicate) with its place in a domain."""
+class _Ballots:
+    """The ballots each table casts, and how a check reads their counts, as SQL."""
 
-    domain: int
-    number: int
-    table: str
-    column: str
-    predicate: str
-    keyed: bool
-
-    def ballot(self) -> Column:
-        if self.predicate:
-            key = F.when(F.expr(self.predicate), F.lit("hit")).otherwise(F.lit("ok"))
-        elif self.keyed:
-            key = F.col(self.column).cast("string")
+    def __init__(self, checks: list[Check]) -> None:
+        # Columns whose value matters: unique, accepted_values, both ends of a reference.
+        valued = [c for c in checks if c.kind not in ("not_null", "singular")]
+        references = [c for c in valued if c.kind == "relationships"]
+        self.keyed = dict.fromkeys(
+            [(c.table, c.column) for c in valued]
+            + [(c.parent, c.parent_column) for c in references]
+        )
+        self.domain = {column: n for n, column in enumerate(self.keyed)}
+        for check in references:
+            child = self.domain[check.table, check.column]
+            parent = self.domain[check.parent, check.parent_column]
+            for column, domain in self.domain.items():
+                if domain == child:
+                    self.domain[column] = parent
+        self.role: dict[tuple[str, str], int] = {}
+        used: dict[int, int] = {}
+        for column, domain in self.domain.items():
+            self.role[column] = used[domain] = used.get(domain, -1) + 1
+        self.width = 1 + max(self.role.values(), default=0)
+
+        # Per table the conditions of its row checks; their order is their flag's place.
+        self.flags: dict[str, list[str]] = {}
+        for check in checks:
+            if condition := self._row_condition(check):
+                self.flags.setdefault(check.table, []).append(condition)
+        self.flag_domain = {t: len(self.domain) + n for n, t in enumerate(self.flags)}
+
+        listed = [self.domain[c.table, c.column] for c in checks if c.kind == "accepted_values"]
+        listed = sorted({*listed, *self.flag_domain.values()})
+        kept = f"domain IN ({', '.join(map(str, listed))})" if listed else "false"
+        self.listed_key = f"if({kept}, key, CAST(NULL AS STRING))"
+
+        self.measures: dict[str, str] = {}
+        for role in range(self.width):
+            self.measures[f"rows{role}"] = f"n{role}"
+            self.measures[f"nulls{role}"] = f"if(key IS NULL, n{role}, 0)"
+            self.measures[f"values{role}"] = f"if(key IS NOT NULL AND n{role} > 0, 1, 0)"
+            self.measures[f"repeated{role}"] = f"if(key IS NOT NULL AND n{role} > 1, 1, 0)"
+        for check in references:
+            child, parent = self._roles(check)
+            self.measures[f"orphans{child}_{parent}"] = (
+                f"if(key IS NOT NULL AND n{parent} = 0, n{child}, 0)"
+            )
+
+    def by_table(self) -> dict[str, list[str]]:
+        found: dict[str, list[str]] = {}
+        for (table, column), role in self.role.items():
+            found.setdefault(table, []).append(
+                _ballot(self.domain[table, column], role, f"CAST(`{column}` AS STRING)")
+            )
+        for table, conditions in self.flags.items():
+            marks = ", ".join(f"if({condition}, '1', '0')" for condition in conditions)
+            found.setdefault(table, []).append(
+                _ballot(self.flag_domain[table], 0, f"concat({marks})")
+            )
+        return found
+
+    def failed(self, check: Check) -> tuple[int, str]:
+        """The check's domain, and what one row of measures adds to its failures."""
+        if condition := self._row_condition(check):
+            place = 1 + self.flags[check.table].index(condition)
+            return self.flag_domain[check.table], f"if(substr(value, {place}, 1) = '1', rows0, 0)"
+        own = (check.table, check.column)
+        role = self.role[own]
+        if check.kind == "not_null":
+            failed = f"nulls{role}"
+        elif check.kind == "unique":
+            failed = f"repeated{role}"
+        elif check.kind == "accepted_values":
+            allowed = ", ".join(map(_literal, check.values))
+            failed = f"if(value NOT IN ({allowed}), values{role}, 0)"
+        elif check.kind == "relationships":
+            failed = "orphans{}_{}".format(*self._roles(check))
         else:
-            key = F.when(F.col(self.column).isNotNull(), F.lit("ok"))
-        return F.struct(
-            F.lit(self.domain).alias("domain"),
-            F.lit(self.number).alias("role"),
-            key.alias("key"),
+            raise ValueError(f"unknown check kind {check.kind!r}")
+        return self.domain[own], failed
+
+    def _roles(self, check: Check) -> tuple[int, int]:
+        return (
+            self.role[check.table, check.column],
+            self.role[check.parent, check.parent_column],
         )
 
+    def _row_condition(self, check: Check) -> str:
+        """The failing condition of a check that needs no value, else nothing."""
+        if check.kind == "singular":
+            return f"({check.predicate})"
+        if check.kind == "not_null" and (check.table, check.column) not in self.keyed:
+            return f"`{check.column}` IS NULL"
+        return ""
 
-def _assign_roles(checks: list[Check]) -> list[_Role]:
-    """Parents open a domain their children join; other columns get their own.
 
-    A column whose value matters (unique, accepted_values, either end of a
-    relationship) votes with the value, one that is only null-checked with a flag.
-    """
-    columns: dict[tuple[str, str, str], bool] = {}
-    joins: list[tuple[tuple[str, str, str], tuple[str, str, str]]] = []
-    for check in checks:
-        own = (check.table, check.column, check.predicate)
-        columns[own] = columns.get(own, False) or check.kind not in ("not_null", "singular")
-        if check.kind == "relationships":
-            parent = (check.parent, check.parent_column, "")
-            columns[parent] = True
-            joins.append((own, parent))
-
-    domain = {c: n for n, c in enumerate(columns)}
-    for child, parent in joins:
-        merged = {domain[child], domain[parent]}
-        domain = {c: min(merged) if d in merged else d for c, d in domain.items()}
-    roles, filled = [], {}
-    for (table, column, predicate), keyed in columns.items():
-        place = domain[table, column, predicate]
-        number = filled[place] = filled.get(place, -1) + 1
-        roles.append(_Role(place, number, table, column, predicate, keyed))
-    return roles
-
-
-def _failed(check: Check, roles: list[_Role]) -> tuple[int, Column]:
-    """The check's domain, and what one (domain, key) count adds to its failures."""
-    place = {(r.table, r.column, r.predicate): r for r in roles}
-    own = place[check.table, check.column, check.predicate]
-    rows, key = F.col(f"n{own.number}"), F.col("key")
-    if check.kind == "not_null":
-        failed = F.when(key.isNull(), rows)
-    elif check.kind == "singular":
-        failed = F.when(key == "hit", rows)
-    elif check.kind == "unique":
-        failed = F.when(key.isNotNull() & (rows > 1), 1)
-    elif check.kind == "accepted_values":
-        allowed = [str(v) for v in check.values]
-        failed = F.when(key.isNotNull() & ~key.isin(*allowed) & (rows > 0), 1)
-    elif check.kind == "relationships":
-        parent = place[check.parent, check.parent_column, ""]
-        failed = F.when(key.isNotNull() & (F.col(f"n{parent.number}") == 0), rows)
-    else:
-        raise ValueError(f"unknown check kind {check.kind!r}")
-    return own.domain, F.coalesce(failed, F.lit(0))
+def _ballot(domain: int, role: int, key: str) -> str:
+    return f"struct({domain} AS domain, {role} AS role, {key} AS key)"
+
+
+def _literal(value: object) -> str:
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"

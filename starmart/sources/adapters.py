@@ -75,7 +75,7 @@ def order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     event = F.col("event_id")
     events = load(spark, sf_dir, "events").filter(F.col("event_type") != "error")
     return events.select(
-        _text(F.floor(event / 2) * 4).alias("order_id"),
+        _text((event - event % 2) * 2).alias("order_id"),
         (1 + event % 2).cast("int").alias("payment_sequential"),
         _recode(F.col("event_type"), PAYMENT_TYPE).alias("payment_type"),
         (1 + event % 10).cast("int").alias("payment_installments"),
@@ -111,7 +111,8 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def translation(spark: SparkSession) -> DataFrame:
+def translation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same few rows at every scale, as the category list is."""
     rows = ", ".join(f"('{name}', '{english}')" for name, english in TRANSLATION.items())
     return spark.sql(
         f"SELECT * FROM VALUES {rows} AS t(product_category_name, product_category_name_english)"
@@ -155,19 +156,22 @@ def geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+RAW_TABLES = {
+    "customers": customers,
+    "orders": orders,
+    "order_items": order_items,
+    "order_payments": order_payments,
+    "order_reviews": order_reviews,
+    "products": products,
+    "sellers": sellers,
+    "geolocation": geolocation,
+    "product_category_name_translation": translation,
+}
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All nine raw sources by name."""
-    return {
-        "customers": customers(spark, sf_dir),
-        "orders": orders(spark, sf_dir),
-        "order_items": order_items(spark, sf_dir),
-        "order_payments": order_payments(spark, sf_dir),
-        "order_reviews": order_reviews(spark, sf_dir),
-        "products": products(spark, sf_dir),
-        "sellers": sellers(spark, sf_dir),
-        "geolocation": geolocation(spark, sf_dir),
-        "product_category_name_translation": translation(spark),
-    }
+    return {name: table(spark, sf_dir) for name, table in RAW_TABLES.items()}
 
 
 def _text(key: Column) -> Column:

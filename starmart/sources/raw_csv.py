@@ -11,7 +11,7 @@ lines, which do split, and the lines are stitched back into records.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,11 +58,9 @@ def read_all_raw(
     pattern: str = "{name}.csv",
     file_names: Mapping[str, str] | None = None,
     sep: str = ",",
+    names: Iterable[str] = tuple(RAW_SOURCES),
 ) -> dict[str, DataFrame]:
-    return {
-        name: read_raw(spark, base, name, pattern, file_names, sep)
-        for name in RAW_SOURCES
-    }
+    return {name: read_raw(spark, base, name, pattern, file_names, sep) for name in names}
 
 
 def write_raw(df: DataFrame, path: str) -> None:
