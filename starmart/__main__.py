@@ -1,7 +1,8 @@
 """Command line: ``build`` a warehouse from CSV extracts, ``check`` it, or ``report``.
 
-    spark-submit --py-files starmart.zip run.py build --raw RAW --warehouse ROOT
+    python -m starmart build --raw RAW --warehouse ROOT
     python -m starmart check --warehouse ROOT
+    python -m starmart report monthly-revenue --warehouse ROOT
 
 ``check`` prints every result and exits with 1 when a check fails.
 """

@@ -30,7 +30,8 @@ class Check:
 
     @property
     def test(self) -> str:
-        return self.name or f"{self.kind}_{self.table}_{self.column}"
+        target = f"__{self.parent}_{self.parent_column}" if self.parent else ""
+        return self.name or f"{self.kind}_{self.table}_{self.column}{target}"
 
 
 def not_null(table: str, column: str) -> Check:

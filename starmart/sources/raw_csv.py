@@ -65,8 +65,14 @@ def read_all_raw(
 
 def write_raw(df: DataFrame, path: str) -> None:
     """Write a table as a CSV extract that ``read_raw`` reads back unchanged."""
-    writer = df.write.option("header", True).option("quote", '"').option("escape", '"')
-    writer.mode("errorifexists").csv(path)
+    # The writer trims values unless told not to.
+    df.write.options(
+        header=True,
+        quote='"',
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    ).csv(path)
 
 
 def _split_bytes(spark: SparkSession) -> int:

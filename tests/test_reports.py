@@ -1,0 +1,120 @@
+"""Reports on small marts where every number can be checked by hand."""
+
+from datetime import datetime
+
+import pytest
+
+from starmart.plans import reports
+
+ORDERS = "order_id string, customer_sk string, order_status string, " + (
+    "order_purchase_timestamp timestamp_ntz, total_order_value double, max_installments int, "
+    "avg_review_score double, delivery_days bigint"
+)
+
+
+@pytest.fixture(scope="module")
+def fact_orders(spark):
+    rows = [
+        ("o1", "k1", "delivered", datetime(2018, 1, 31, 23, 59), 10.0, 3, 4.0, 2),
+        ("o2", "k1", "delivered", datetime(2018, 2, 1), 20.0, 0, None, 4),
+        ("o3", "k2", "shipped", datetime(2018, 2, 28), 5.0, 3, 1.0, None),
+        ("o4", "k3", "canceled", None, None, None, None, None),
+        ("o5", "k9", "shipped", datetime(2017, 12, 1), 7.0, 1, None, None),
+    ]
+    return spark.createDataFrame(rows, ORDERS)
+
+
+@pytest.fixture(scope="module")
+def fact_items(spark):
+    rows = [("o1", "p1", "s1", 1.0), ("o1", "p2", "s1", 2.0), ("o2", "p1", "s1", 4.0),
+            ("o3", "p3", "s2", 7.0), ("o3", "p9", "s9", 90.0)]
+    return spark.createDataFrame(
+        rows, "order_id string, product_sk string, seller_sk string, item_total double"
+    )
+
+
+def rows(df):
+    return [tuple(row) for row in df.collect()]
+
+
+def test_kpis(fact_orders):
+    assert rows(reports.delivered_kpis(fact_orders)) == [(2, 30.0, 4.0, 3.0)]
+    nothing = fact_orders.filter("false")
+    assert rows(reports.delivered_kpis(nothing)) == [(0, None, None, None)]
+
+
+def test_months_in_order_with_the_unknown_last(fact_orders):
+    assert rows(reports.monthly_revenue(fact_orders)) == [
+        (datetime(2017, 12, 1), 7.0),
+        (datetime(2018, 1, 1), 10.0),
+        (datetime(2018, 2, 1), 25.0),
+        (None, None),
+    ]
+
+
+def test_categories(spark, fact_items):
+    products = spark.createDataFrame(
+        [("p1", "toys"), ("p2", "auto"), ("p3", "toys")],
+        "product_sk string, product_category_name_english string",
+    )
+    assert rows(reports.top_categories(fact_items, products)) == [("toys", 12.0), ("auto", 2.0)]
+
+
+def test_categories_are_cut_at_ten(spark):
+    items = spark.range(25).selectExpr("concat('p', id) AS product_sk", "double(id) AS item_total")
+    products = spark.range(25).selectExpr(
+        "concat('p', id) AS product_sk", "concat('c', id) AS product_category_name_english"
+    )
+    found = rows(reports.top_categories(items, products))
+    assert found == [(f"c{n}", float(n)) for n in range(24, 14, -1)]
+
+
+def test_ties_are_broken_by_name(spark):
+    items = spark.createDataFrame([("p1", 1.0), ("p2", 1.0)], "product_sk string, item_total double")
+    products = spark.createDataFrame(
+        [("p1", "b"), ("p2", "a")], "product_sk string, product_category_name_english string"
+    )
+    assert rows(reports.top_categories(items, products)) == [("a", 1.0), ("b", 1.0)]
+
+
+def test_states(spark, fact_orders):
+    customers = spark.createDataFrame(
+        [("k1", "SP"), ("k2", "RJ"), ("k3", "PE")], "customer_sk string, customer_state string"
+    )
+    assert rows(reports.state_revenue(fact_orders, customers)) == [
+        ("SP", 30.0), ("RJ", 5.0), ("PE", None)
+    ]
+
+
+def test_repeated_dimension_rows_count_as_a_join_would(spark, fact_orders):
+    customers = spark.createDataFrame(
+        [("k1", "SP"), ("k1", "SP"), ("k1", "RJ"), ("k2", "RJ")],
+        "customer_sk string, customer_state string",
+    )
+    joined = (
+        fact_orders.join(customers, "customer_sk").groupBy("customer_state")
+        .sum("total_order_value").collect()
+    )
+    assert dict(rows(reports.state_revenue(fact_orders, customers))) == {
+        row[0]: row[1] for row in joined
+    }
+
+
+def test_installments(fact_orders):
+    assert rows(reports.installment_distribution(fact_orders)) == [(1, 1), (3, 2)]
+
+
+def test_sellers_count_each_order_once(spark, fact_items):
+    sellers = spark.createDataFrame(
+        [("s1", "one", "SP"), ("s2", "two", "RJ")],
+        "seller_sk string, seller_id string, seller_state string",
+    )
+    assert rows(reports.top_sellers(fact_items, sellers)) == [
+        ("one", "SP", 2, 7.0), ("two", "RJ", 1, 7.0)
+    ]
+
+
+def test_statuses(fact_orders):
+    assert sorted(rows(reports.status_summary(fact_orders))) == [
+        ("canceled", 1, None), ("delivered", 2, 30.0), ("shipped", 2, 12.0)
+    ]

@@ -1,0 +1,205 @@
+"""Plans and hot keys: what must hold when the tables are a million times larger."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry_point
+from starmart.operators import rollups
+from starmart.operators.facts import fact_order_items, fact_orders
+from starmart.operators.skew import HotKeys, find_hot_keys, left_join_unique
+from starmart.plans import pipeline, quality, reports
+from starmart.plans.checks import CHECKS
+from starmart.plans.layers import MARTS, STAGING, Warehouse
+from starmart.sources import adapters
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(df):
+    """The plan after adaptive execution has run it."""
+    execution = df._jdf.queryExecution()
+    execution.executedPlan().execute().count()
+    return execution.executedPlan().toString()
+
+
+def shuffles(text):
+    return text.count("Exchange hashpartitioning")
+
+
+@pytest.fixture
+def no_broadcast(settings):
+    """Tables too large to broadcast, as far as the planner can tell."""
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+    )
+
+
+@pytest.fixture
+def tables(spark):
+    return entry_point.Tables(spark, SF_DIR)
+
+
+CHILDREN = ("stg_order_items", "stg_order_payments", "stg_order_reviews")
+
+
+def test_order_metrics_shuffle_once_and_join_nothing(tables, no_broadcast):
+    children = [tables[name] for name in CHILDREN]
+    text = plan(rollups.order_metrics(*children))
+    assert shuffles(text) == 1 and "Join" not in text
+    assert shuffles(plan(rollups.order_metrics_joined(*children))) >= 4
+
+
+def test_fact_orders_reuses_the_partitioning_of_its_metrics(tables, no_broadcast):
+    text = plan(tables["fact_orders"])
+    assert shuffles(text) == 2 and text.count("SortMergeJoin") == 1
+
+
+def test_fact_items_shuffle_each_input_once(tables, no_broadcast):
+    text = plan(tables["fact_order_items"])
+    assert shuffles(text) == 2 and text.count("SortMergeJoin") == 1
+
+
+@pytest.mark.parametrize("name", ["dim_customer", "dim_product", "dim_seller"])
+def test_dimensions_do_not_shuffle(tables, name):
+    assert "hashpartitioning" not in plan(tables[name])
+
+
+def test_only_needed_columns_are_read(tables):
+    text = plan(reports.delivered_kpis(tables["fact_orders"]))
+    read = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+    columns = sorted(c.split(":")[0] for schema in read for c in schema.split(","))
+    assert "l_shipdate" not in columns and "l_tax" not in columns
+    assert "o_totalprice" not in columns and "props" not in columns
+
+
+def test_status_filter_reaches_the_published_scan(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    pipeline.build(warehouse, adapters.raw_tables(spark, SF_DIR))
+    text = plan(reports.delivered_kpis(warehouse.read(MARTS, "fact_orders")))
+    assert "EqualTo(order_status,delivered)" in text
+    kept = re.search(r"ReadSchema: struct<([^>]*)>", text).group(1)
+    assert [c.split(":")[0] for c in kept.split(",")] == [
+        "order_status", "total_order_value", "avg_review_score", "delivery_days"
+    ]
+    # The whole suite: every published table is scanned once, and only 2 shuffles carry data.
+    published = {**warehouse.read_layer(STAGING), **warehouse.read_layer(MARTS)}
+    text = plan(quality.summarise(spark, CHECKS, published))
+    assert text.count("FileScan parquet") == 13
+    assert "hashpartitioning(domain" in text
+
+
+def test_no_registered_query_crosses_or_loops(spark):
+    for name, query in entry_point.queries().items():
+        text = plan(query(spark, SF_DIR))
+        assert "CartesianProduct" not in text and "NestedLoop" not in text, name
+        assert "PythonUDF" not in text and "InPandas" not in text, name
+
+
+# ---- a third of all rows under one key ---------------------------------------
+
+
+@pytest.fixture
+def hot_tables(spark, tables):
+    """A third of all orders, lines and payments under one order id, product and seller."""
+
+    def heat(df, columns, value):
+        hot = F.pmod(F.xxhash64(*df.columns), F.lit(3)) == 0
+        for column in columns:
+            df = df.withColumn(column, F.when(hot, F.lit(value)).otherwise(F.col(column)))
+        return df
+
+    items = heat(tables["stg_order_items"], ["order_id", "product_id", "seller_id"], "4")
+    payments = heat(tables["stg_order_payments"], ["order_id"], "4")
+    orders = tables["stg_orders"]
+    return orders, items, payments, tables["stg_order_reviews"]
+
+
+def rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_hot_line_key_is_split_by_adaptive_execution(hot_tables, no_broadcast, settings):
+    settings(
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="10KB",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="10KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__files__maxPartitionBytes="20KB",
+        spark__sql__files__openCostInBytes="1KB",
+    )
+    orders, items, _, _ = hot_tables
+    spread = items.repartition(12)
+    assert "skew=true" in final_plan(fact_order_items(spread, orders))
+
+
+def test_hot_order_ids_are_found_and_change_nothing(spark, hot_tables):
+    orders, items, payments, reviews = hot_tables
+    repeated = orders.unionByName(
+        orders.withColumn(
+            "order_id",
+            F.when(F.col("customer_id").cast("int") % 2 == 0, F.lit("4")),
+        )
+    )
+    hot = find_hot_keys(repeated, "order_id", min_rows=100)
+    assert hot.values == ("4",) and hot.nulls
+    assert not find_hot_keys(repeated, "order_id")
+    assert not find_hot_keys(orders, "order_id", min_rows=2)
+    metrics = rollups.order_metrics(items, payments, reviews, known_orders_only=True)
+    split = fact_orders(repeated, metrics, hot).drop("total_price", "total_freight")
+    plain = fact_orders(repeated, metrics).drop("total_price", "total_freight")
+    money = ["total_order_value", "total_payment"]
+    assert rows(_rounded(split, money)) == rows(_rounded(plain, money))
+    assert split.count() == repeated.count()
+
+
+def _rounded(df, names):
+    for name in names:
+        df = df.withColumn(name, F.round(name, 2))
+    return df
+
+
+def test_rows_of_a_hot_key_meet_a_broadcast_row(spark, no_broadcast):
+    left = spark.range(1000).selectExpr("if(id % 3 = 0, 'h', string(id)) AS k", "id")
+    right = spark.range(1000).selectExpr("if(id = 0, 'h', string(id)) AS k", "id * 2 AS twice")
+    unique = right.groupBy("k").agg(F.max("twice").alias("twice"))
+    joined = left_join_unique(left, unique, "k", HotKeys(("h",)))
+    text = plan(joined)
+    assert text.count("BroadcastHashJoin") == 1 and text.count("SortMergeJoin") == 1
+    assert rows(joined) == rows(left.join(unique, "k", "left"))
+    only_nulls = left_join_unique(left, unique, "k", HotKeys((), True))
+    assert rows(only_nulls) == rows(left.join(unique, "k", "left"))
+
+
+def test_reports_sum_a_hot_key_before_they_shuffle(spark, hot_tables, no_broadcast, tables):
+    orders, items, _, _ = hot_tables
+    fact = fact_order_items(items, orders)
+    text = plan(reports.top_categories(fact, tables["dim_product"]))
+    assert "partial_sum(item_total" in text
+    found = reports.top_categories(fact, tables["dim_product"])
+    joined = (
+        fact.join(tables["dim_product"], "product_sk")
+        .groupBy(F.col("product_category_name_english").alias("category"))
+        .agg(F.sum("item_total").alias("revenue"))
+        .orderBy(F.desc("revenue"))
+        .limit(10)
+    )
+    assert rows(_rounded(found, ["revenue"])) == rows(_rounded(joined, ["revenue"]))
+
+
+def test_missing_keys_on_both_sides_do_not_multiply_rows(spark):
+    """NULL customers all share one key, in the fact and in the dimension."""
+    size = 200_000
+    fact = spark.range(size).selectExpr("'nobody' AS customer_sk", "1.0D AS total_order_value")
+    dimension = spark.range(size).selectExpr(
+        "'nobody' AS customer_sk", "if(id % 2 = 0, 'SP', 'RJ') AS customer_state"
+    )
+    found = reports.state_revenue(fact, dimension).collect()
+    assert {row.state: row.revenue for row in found} == {
+        "SP": size * size / 2, "RJ": size * size / 2
+    }
