@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Mapping
 
@@ -54,7 +55,9 @@ def scratch(spark: SparkSession) -> str:
     """A new folder in the shared place the cluster names for checkpoints."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        shared = tempfile.gettempdir()
     return f"{shared.rstrip('/')}/starmart-{uuid.uuid4().hex}"
 
 

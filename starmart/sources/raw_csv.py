@@ -106,6 +106,7 @@ def read_stitched(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("position"),
             "value",
+            F.octet_length("value").alias("bytes"),
             _is_odd(F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))))
             .alias("odd"),
         )
@@ -148,7 +149,10 @@ def read_stitched(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
 
 
 def _block_states(lines: DataFrame) -> DataFrame:
-    """Per split: the quote state it begins in, and the record its first lines continue."""
+    """Per split: the quote state it begins in, and the record its first lines continue.
+
+    Works on line positions, sizes and quote counts; the text itself stays behind.
+    """
     along = Window.partitionBy("file").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -158,7 +162,7 @@ def _block_states(lines: DataFrame) -> DataFrame:
             _is_odd(F.sum("odd")).alias("flips"),
             F.count_if(F.col("before") == 0).alias("starts_outside"),
             F.count_if(F.col("before") == 1).alias("starts_inside"),
-            F.sum(F.octet_length("value") + 1).alias("bytes"),
+            F.sum(F.col("bytes") + 1).alias("bytes"),
         )
         .withColumn("entry", _is_odd(F.coalesce(F.sum("flips").over(along), F.lit(0))))
         .withColumn(
