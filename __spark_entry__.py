@@ -30,15 +30,16 @@ from starmart.operators import dimensions, rollups, staging
 from starmart.operators.facts import fact_orders
 from starmart.plans import pipeline, quality, reports
 from starmart.plans.checks import CHECKS
-from starmart.plans.layers import MARTS, Warehouse
+from starmart.plans.layers import MARTS, Warehouse, create_views
 from starmart.sources import RAW_SOURCES, adapters, read_all_raw, read_raw, write_raw
 from starmart.sources.raw_csv import read_stitched
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_DIR = "/root/testdata/sf0.001"
-MEANS = {"avg_review_score", "avg_review", "avg_delivery_days", "mean"}
-EXACT = {"price", "freight_value", "payment_value"}
+MEANS = {"avg_review", "avg_delivery_days", "mean"}
+# Not sums of many doubles: these come out the same in any order.
+EXACT = {"price", "freight_value", "payment_value", "item_total", "avg_review_score"}
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -187,6 +188,27 @@ def _metrics_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(spark.table("main_marts.int_order_metrics"))
 
 
+def _staging_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged tables as session views, evaluated by the SQL that reads them."""
+    tables = Tables(spark, sf_dir)
+    create_views({name: tables[name] for name in ("stg_orders", "stg_order_payments")})
+    return spark.sql(
+        "SELECT payment_type, order_status, count(*) AS payments, "
+        "round(sum(payment_value), 2) AS paid FROM stg_order_payments "
+        "JOIN stg_orders USING (order_id) GROUP BY payment_type, order_status"
+    )
+
+
+def _dimension_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second build replaces every attribute of the first; no history is kept."""
+    warehouse = Warehouse(spark, scratch(spark))
+    customers = Tables(spark, sf_dir)["stg_customers"]
+    moved = customers.withColumn("customer_city", F.lower("customer_city"))
+    for version in (customers, moved):
+        warehouse.refresh(MARTS, {"dim_customer": dimensions.dim_customer(version)})
+    return warehouse.read(MARTS, "dim_customer")
+
+
 def _stitched(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch(spark)
     _write_reviews(spark, sf_dir, base)
@@ -290,6 +312,33 @@ def _dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Searched case, comparisons and sums that meet NULL on some orders."""
+    day, price = F.dayofweek(F.col("o_orderdate").cast("date")) - 1, F.col("o_totalprice")
+    known = F.when(F.col("o_orderstatus") != "P", price)
+    return adapters.load(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        day.isin(0, 6).alias("on_weekend"),
+        (known <= 100000).alias("small"),
+        known.isNull().alias("unknown"),
+        F.when(known < 1000, "low").when(known > 100000, "high").otherwise("other").alias("band"),
+        (known + F.lit(1.5)).alias("raised"),
+        ((price >= 5000) & (known <= 100000)).alias("both"),
+        ((price >= 5000) | (known <= 100000)).alias("either"),
+    )
+
+
+def _null_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NULLs come last both ways; the position makes the order part of the result."""
+    by_band = (
+        _conditions(spark, sf_dir)
+        .groupBy("small")
+        .agg(F.count(F.lit(1)).alias("orders"))
+    )
+    up = by_band.orderBy(F.asc_nulls_last("small")).limit(10)
+    return up.select(F.monotonically_increasing_id().alias("position"), "small", "orders")
+
+
 def _aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = adapters.load(spark, sf_dir, "events")
     return rounded(
@@ -396,7 +445,9 @@ def queries() -> dict[str, Query]:
     found["raw_csv_scan"] = _csv_scan
     found["raw_csv_free_text"] = _free_text
     found["raw_csv_stitched"] = _stitched
+    found["staging_views"] = _staging_views
     found["mart_read_back"] = _mart_read_back
+    found["dimension_overwrite"] = _dimension_overwrite
     found["order_metrics_view"] = _metrics_view
     found["csv_to_catalog"] = _csv_to_catalog
 
@@ -404,7 +455,9 @@ def queries() -> dict[str, Query]:
     found["fn_text_and_null"] = _text_and_null
     found["fn_casts"] = _casts
     found["fn_dates"] = _dates
+    found["fn_conditions"] = _conditions
     found["fn_aggregates"] = _aggregates
+    found["rel_null_order"] = _null_order
     found["rel_join_types"] = _join_types
     return found
 

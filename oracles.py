@@ -160,12 +160,20 @@ NAMES = {
 }
 
 METRICS_ROUNDED = """round(total_price, 2) AS total_price,
-    round(total_freight, 2) AS total_freight, round(total_payment, 2) AS total_payment,
-    round(avg_review_score, 6) AS avg_review_score"""
+    round(total_freight, 2) AS total_freight, round(total_payment, 2) AS total_payment"""
 METRICS = f"SELECT * REPLACE ({METRICS_ROUNDED}) FROM m"
 FACT_ORDERS = f"""SELECT * REPLACE ({METRICS_ROUNDED},
     round(total_order_value, 2) AS total_order_value) FROM fo"""
-FACT_ITEMS = "SELECT * REPLACE (round(item_total, 2) AS item_total) FROM fi"
+FACT_ITEMS = "SELECT * FROM fi"
+CONDITIONS = """
+    SELECT o_orderkey, dayofweek(o_orderdate) IN (0, 6) AS on_weekend, known <= 100000 AS small,
+           known IS NULL AS unknown,
+           CASE WHEN known < 1000 THEN 'low' WHEN known > 100000 THEN 'high' ELSE 'other' END
+               AS band,
+           known + 1.5::DOUBLE AS raised,
+           o_totalprice >= 5000 AND known <= 100000 AS both,
+           o_totalprice >= 5000 OR known <= 100000 AS either
+    FROM (SELECT *, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS known FROM orders)"""
 
 
 def _with(tables: list[str], body: str) -> str:
@@ -224,8 +232,7 @@ def oracle_sql() -> dict[str, str]:
         round(total_freight, 2) AS total_freight) FROM ri""")
     sql["int_payments"] = _with(
         ["rp"], "SELECT * REPLACE (round(total_payment, 2) AS total_payment) FROM rp")
-    sql["int_reviews"] = _with(
-        ["rr"], "SELECT * REPLACE (round(avg_review_score, 6) AS avg_review_score) FROM rr")
+    sql["int_reviews"] = _with(["rr"], "SELECT * FROM rr")
     for name in ("order_metrics", "order_metrics_joined", "order_metrics_view"):
         sql[name] = _with(["m"], METRICS)
     sql["date_bounds"] = _with(["db"], "SELECT * FROM db")
@@ -296,6 +303,12 @@ def oracle_sql() -> dict[str, str]:
                nullif(text, '') AS review_comment_message
         FROM documents"""
     sql["raw_csv_stitched"] = sql["raw_csv_free_text"]
+    sql["staging_views"] = _with(["p", "o"], """
+        SELECT payment_type, order_status, count(*) AS payments,
+               round(sum(payment_value), 2) AS paid
+        FROM p JOIN o USING (order_id) GROUP BY ALL""")
+    sql["dimension_overwrite"] = _with(
+        ["dc"], "SELECT * REPLACE (lower(customer_city) AS customer_city) FROM dc")
     sql["mart_read_back"] = _with(["fi"], FACT_ITEMS)
 
     sql["fn_text_and_null"] = """
@@ -324,6 +337,10 @@ def oracle_sql() -> dict[str, str]:
                CAST(ts + to_hours(event_id % 40) AS DATE) - CAST(ts AS DATE) AS days_between,
                date_trunc('month', CAST(ts AS TIMESTAMP)) AS month_start
         FROM events"""
+    sql["fn_conditions"] = CONDITIONS
+    sql["rel_null_order"] = f"""
+        SELECT row_number() OVER (ORDER BY small ASC NULLS LAST) - 1 AS position, small, orders
+        FROM (SELECT small, count(*) AS orders FROM ({CONDITIONS}) GROUP BY small)"""
     sql["fn_aggregates"] = """
         SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users,
                round(sum(value), 2) AS total, round(avg(value), 6) AS mean,

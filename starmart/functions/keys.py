@@ -23,4 +23,4 @@ def surrogate_key(*fields: str | Column) -> Column:
         raise ValueError("a surrogate key needs at least one field")
     columns = [F.col(f) if isinstance(f, str) else f for f in fields]
     parts = [F.coalesce(c.cast("string"), F.lit(NULL_TOKEN)) for c in columns]
-    return F.md5(F.concat_ws(KEY_SEPARATOR, *parts))
+    return F.md5(F.concat_ws(KEY_SEPARATOR, *parts) if len(parts) > 1 else parts[0])

@@ -55,19 +55,23 @@ def fact_order_items(items: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per line of a known order.
 
     Both inputs are plain shuffles on order_id, narrowed to the columns used, so
-    adaptive execution can split an order that holds very many lines.
+    adaptive execution can split an order that holds very many lines. What hangs
+    on the order alone is computed once per order, before its lines join.
     """
     header = orders.select(
-        "order_id", "customer_id", "order_status", "order_purchase_timestamp"
+        "order_id",
+        surrogate_key("customer_id").alias("customer_sk"),
+        date_key(F.col("order_purchase_timestamp")).alias("order_date_sk"),
+        "order_status",
     )
     return items.join(header, "order_id", "inner").select(
         surrogate_key("order_id", "order_item_id").alias("order_item_sk"),
         "order_id",
         "order_item_id",
-        surrogate_key("customer_id").alias("customer_sk"),
+        "customer_sk",
         surrogate_key("product_id").alias("product_sk"),
         surrogate_key("seller_id").alias("seller_sk"),
-        date_key(F.col("order_purchase_timestamp")).alias("order_date_sk"),
+        "order_date_sk",
         "order_status",
         "price",
         "freight_value",

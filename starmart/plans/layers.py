@@ -74,9 +74,15 @@ class Warehouse:
         return f"{self.root}/{layer}/{version}/{name}"
 
     def _publish(self, layer: str, version: str, names: Iterable[str]) -> None:
-        row = (layer, version, list(names), datetime.now(UTC).replace(tzinfo=None))
-        entry = self.spark.createDataFrame([row], LOG_SCHEMA)
-        entry.coalesce(1).write.mode("append").parquet(f"{self.root}/publications")
+        entry = self.spark.range(0, 1, 1, 1).select(
+            F.lit(layer).alias("layer"),
+            F.lit(version).alias("version"),
+            F.array(*map(F.lit, names)).alias("tables"),
+            F.lit(f"{datetime.now(UTC):%Y-%m-%d %H:%M:%S.%f}")
+            .cast("timestamp_ntz")
+            .alias("published_at"),
+        )
+        entry.write.mode("append").parquet(f"{self.root}/publications")
 
     def _current(self, layer: str) -> tuple[str, list[str]]:
         log = self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/publications")

@@ -128,10 +128,11 @@ def summarise(spark: SparkSession, checks: Iterable[Check], tables: Tables) -> D
         .groupBy("number")
         .agg(F.sum("failed").alias("failed"))
     )
-    listed = spark.createDataFrame(
-        [(n, c.test, c.table, c.column) for n, c in enumerate(checks)],
-        "number int, test string, table string, column string",
+    names = ", ".join(
+        f"({n}, {_literal(c.test)}, {_literal(c.table)}, {_literal(c.column)})"
+        for n, c in enumerate(checks)
     )
+    listed = spark.sql(f"SELECT * FROM VALUES {names} AS t(number, test, table, column)")
     count = F.coalesce("failed", F.lit(0))
     return listed.join(failed, "number", "left").select(
         "test", "table", "column", count.alias("failures"), (count == 0).alias("passed")
