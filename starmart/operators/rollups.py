@@ -70,9 +70,14 @@ def order_metrics(
     leave them; ``known_orders_only`` drops them, for a join to orders, and the
     result is then partitioned by ``order_id`` alone.
     """
+    one = F.lit(1)
     stacked = (
         items.select(
-            "order_id", F.lit("item").alias("child"), "price", "freight_value"
+            "order_id",
+            F.lit("item").alias("child"),
+            one.alias("item"),
+            "price",
+            "freight_value",
         )
         .unionByName(
             payments.select(
@@ -84,7 +89,9 @@ def order_metrics(
             allowMissingColumns=True,
         )
         .unionByName(
-            reviews.select("order_id", F.lit("review").alias("child"), "review_score"),
+            reviews.select(
+                "order_id", F.lit("review").alias("child"), one.alias("review"), "review_score"
+            ),
             allowMissingColumns=True,
         )
     )
@@ -94,13 +101,13 @@ def order_metrics(
         orphan = F.when(F.col("order_id").isNull(), F.col("child"))
         keyed = stacked.groupBy("order_id", orphan.alias("orphan"))
     return keyed.agg(
-        F.count_if(F.col("child") == "item").alias("items_count"),
+        F.count("item").alias("items_count"),
         F.sum("price").alias("total_price"),
         F.sum("freight_value").alias("total_freight"),
         F.sum("payment_value").alias("total_payment"),
         F.max("payment_installments").alias("max_installments"),
         F.avg(F.col("review_score").cast("double")).alias("avg_review_score"),
-        F.count_if(F.col("child") == "review").alias("review_count"),
+        F.count("review").alias("review_count"),
     ).select(
         "order_id",
         "items_count",

@@ -44,22 +44,23 @@ MODELS = {
 # The order metrics stay a view among the marts; a catalog view needs SQL text.
 ORDER_METRICS_VIEW = """
 SELECT order_id,
-       count_if(child = 'item') AS items_count,
+       count(item) AS items_count,
        coalesce(sum(price), 0) AS total_price,
        coalesce(sum(freight_value), 0) AS total_freight,
        coalesce(sum(payment_value), 0) AS total_payment,
        coalesce(max(payment_installments), 0) AS max_installments,
        avg(CAST(review_score AS DOUBLE)) AS avg_review_score,
-       count_if(child = 'review') AS review_count
-FROM (SELECT order_id, 'item' AS child, price, freight_value,
-             CAST(NULL AS DOUBLE) AS payment_value, CAST(NULL AS INT) AS payment_installments,
-             CAST(NULL AS INT) AS review_score
+       count(review) AS review_count
+FROM (SELECT order_id, 'item' AS child, 1 AS item, price, freight_value,
+             NULL AS payment_value, NULL AS payment_installments,
+             NULL AS review, NULL AS review_score
       FROM {staging}.stg_order_items
       UNION ALL
-      SELECT order_id, 'payment', NULL, NULL, payment_value, payment_installments, NULL
+      SELECT order_id, 'payment', NULL, NULL, NULL, payment_value, payment_installments,
+             NULL, NULL
       FROM {staging}.stg_order_payments
       UNION ALL
-      SELECT order_id, 'review', NULL, NULL, NULL, NULL, review_score
+      SELECT order_id, 'review', NULL, NULL, NULL, NULL, NULL, 1, review_score
       FROM {staging}.stg_order_reviews)
 GROUP BY order_id, if(order_id IS NULL, child, NULL)
 """

@@ -94,16 +94,16 @@ def summarise(spark: SparkSession, checks: Iterable[Check], tables: Tables) -> D
     Each table is read once and each row casts a few *ballots* (domain, role,
     key). A domain holds columns that are compared with each other, that is a
     parent key and the child columns referring to it; a role is one column of it
-    and the key its value. Checks that look at a row alone share one ballot per
-    row, whose key spells out which of them the row fails. Ballots are counted
+    and the key its value. A row that fails checks of its own (a NULL, a broken
+    predicate) casts one more, whose key spells out which. Ballots are counted
     per (domain, key) with map-side partial counts, so hot keys shrink before the
     one shuffle, and every check is then read off the counts.
     """
     checks = list(checks)
     ballots = _Ballots(checks)
     votes = None
-    for table, cast in ballots.by_table().items():
-        voted = tables[table].selectExpr(f"inline(array({', '.join(cast)}))")
+    for table in dict.fromkeys(ballots.tables):
+        voted = ballots.cast(table, tables[table])
         votes = voted if votes is None else votes.unionAll(voted)
     counted = votes.groupBy("domain", "key").agg(
         *[F.expr(f"count_if(role = {role}) AS n{role}") for role in range(ballots.width)]
@@ -187,18 +187,26 @@ class _Ballots:
                 f"if(key IS NOT NULL AND n{parent} = 0, n{child}, 0)"
             )
 
-    def by_table(self) -> dict[str, list[str]]:
-        found: dict[str, list[str]] = {}
-        for (table, column), role in self.role.items():
-            found.setdefault(table, []).append(
-                _ballot(self.domain[table, column], role, f"CAST(`{column}` AS STRING)")
-            )
-        for table, conditions in self.flags.items():
-            marks = ", ".join(f"if({condition}, '1', '0')" for condition in conditions)
-            found.setdefault(table, []).append(
-                _ballot(self.flag_domain[table], 0, f"concat({marks})")
-            )
-        return found
+    @property
+    def tables(self) -> list[str]:
+        return [table for table, _ in self.role] + list(self.flags)
+
+    def cast(self, table: str, rows: DataFrame) -> DataFrame:
+        """A table's ballots: one per keyed column, one more from rows that fail a row check."""
+        keyed = ", ".join(
+            _ballot(self.domain[table, column], role, f"CAST(`{column}` AS STRING)")
+            for (owner, column), role in self.role.items()
+            if owner == table
+        )
+        if table not in self.flags:
+            return rows.selectExpr(f"inline(array({keyed}))")
+        any_fails = " OR ".join(f"coalesce({condition}, false)" for condition in self.flags[table])
+        marks = ", ".join(f"if({condition}, '1', '0')" for condition in self.flags[table])
+        flags = _ballot(self.flag_domain[table], 0, f"concat({marks})")
+        if not keyed:
+            return rows.filter(any_fails).selectExpr(f"inline(array({flags}))")
+        cast = f"if({any_fails}, array({keyed}, {flags}), array({keyed}))"
+        return rows.selectExpr(f"inline({cast})")
 
     def failed(self, check: Check) -> tuple[int, str]:
         """The check's domain, and what one row of measures adds to its failures."""
