@@ -7,17 +7,22 @@ old build or the new one in full, and no plan overwrites a path it reads.
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 STAGING = "staging"
 MARTS = "marts"
-LOG_SCHEMA = "layer string, version string, tables array<string>, published_at timestamp_ntz"
+# ``tables`` holds each table's schema as JSON, so that reading infers nothing.
+LOG_SCHEMA = (
+    "layer string, version string, tables map<string, string>, published_at timestamp_ntz"
+)
 
 
 class Warehouse:
@@ -45,25 +50,23 @@ class Warehouse:
         return version
 
     def read(self, layer: str, name: str) -> DataFrame:
-        version, names = self._current(layer)
-        if name not in names:
-            raise KeyError(f"{layer} has no table {name!r}; it has: {', '.join(names)}")
-        return self.spark.read.parquet(self._path(layer, version, name))
+        version, schemas = self._current(layer)
+        if name not in schemas:
+            raise KeyError(f"{layer} has no table {name!r}; it has: {', '.join(schemas)}")
+        return self._table(layer, version, name, schemas[name])
 
     def read_layer(self, layer: str) -> dict[str, DataFrame]:
-        version, names = self._current(layer)
-        return {
-            name: self.spark.read.parquet(self._path(layer, version, name)) for name in names
-        }
+        version, schemas = self._current(layer)
+        return {name: self._table(layer, version, name, s) for name, s in schemas.items()}
 
     def mount(self, layer: str) -> str:
         """Point ``<prefix><layer>.<table>`` in the session's catalog at the current build."""
-        version, names = self._current(layer)
+        version, schemas = self._current(layer)
         database = f"{self.prefix}{layer}"
         self.spark.sql(
             f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.root}/{layer}'"
         )
-        for name in names:
+        for name in schemas:
             self.spark.sql(
                 f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS "
                 f"SELECT * FROM parquet.`{self._path(layer, version, name)}`"
@@ -73,18 +76,23 @@ class Warehouse:
     def _path(self, layer: str, version: str, name: str) -> str:
         return f"{self.root}/{layer}/{version}/{name}"
 
-    def _publish(self, layer: str, version: str, names: Iterable[str]) -> None:
+    def _table(self, layer: str, version: str, name: str, schema: str) -> DataFrame:
+        fields = StructType.fromJson(json.loads(schema))
+        return self.spark.read.schema(fields).parquet(self._path(layer, version, name))
+
+    def _publish(self, layer: str, version: str, tables: Mapping[str, DataFrame]) -> None:
+        schemas = [F.lit(part) for name, t in tables.items() for part in (name, t.schema.json())]
         entry = self.spark.range(0, 1, 1, 1).select(
             F.lit(layer).alias("layer"),
             F.lit(version).alias("version"),
-            F.array(*map(F.lit, names)).alias("tables"),
+            F.create_map(*schemas).alias("tables"),
             F.lit(f"{datetime.now(UTC):%Y-%m-%d %H:%M:%S.%f}")
             .cast("timestamp_ntz")
             .alias("published_at"),
         )
         entry.write.mode("append").parquet(f"{self.root}/publications")
 
-    def _current(self, layer: str) -> tuple[str, list[str]]:
+    def _current(self, layer: str) -> tuple[str, dict[str, str]]:
         log = self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/publications")
         newest = (
             log.filter(F.col("layer") == layer)
@@ -93,7 +101,7 @@ class Warehouse:
         )
         if newest is None:
             raise LookupError(f"nothing published for layer {layer!r} under {self.root}")
-        return newest["version"], list(newest["tables"])
+        return newest["version"], dict(newest["tables"])
 
 
 def create_views(tables: Mapping[str, DataFrame]) -> None:

@@ -11,6 +11,7 @@ lines, which do split, and the lines are stitched back into records.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +26,9 @@ CSV_OPTIONS = {"quote": '"', "escape": '"', "mode": "FAILFAST"}
 # are matched, and it keeps an unbalanced quote from swallowing a whole file.
 MAX_RECORD_BYTES = 2 * 1024 * 1024
 
+# Files that are one split anyway; stitching gains nothing there.
+COMPRESSED = r"\.(gz|bz2|zst|zstd|snappy|lz4|deflate)$"
+
 
 def read_raw(
     spark: SparkSession,
@@ -76,14 +80,17 @@ def write_raw(df: DataFrame, path: str) -> None:
 
 
 def _split_bytes(spark: SparkSession) -> int:
-    # The setting is text such as '134217728b'.
-    return int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("bB"))
+    """The input split size, which may be set as ``134217728b``, ``128MB`` or ``128m``."""
+    text = spark.conf.get("spark.sql.files.maxPartitionBytes").strip().lower()
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgtp]?)b?", text).groups()
+    return int(number) * 1024 ** " kmgtp".index(unit or " ")
 
 
 def _largest_file(spark: SparkSession, path: str) -> int:
-    """Size of the largest file, from the listing alone: no content is read."""
-    files = spark.read.format("binaryFile").load(path).select("length")
-    return files.agg(F.max("length")).first()[0] or 0
+    """Size of the largest splittable file, from the listing alone: no content is read."""
+    files = spark.read.format("binaryFile").load(path).select("path", "length")
+    plain = files.filter(~F.lower("path").rlike(COMPRESSED))
+    return plain.agg(F.max("length")).first()[0] or 0
 
 
 def read_stitched(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
@@ -112,13 +119,18 @@ def read_stitched(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
         )
     )
     in_block = Window.partitionBy("file", "block").orderBy("position")
-    before = F.sum("odd").over(in_block.rowsBetween(Window.unboundedPreceding, -1))
-    lines = lines.withColumn("before", _is_odd(F.coalesce(before, F.lit(0))))
+    earlier = in_block.rowsBetween(Window.unboundedPreceding, -1)
+    up_to = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Both possible numberings, so that one sort serves whichever state a split begins in.
+    lines = (
+        lines.withColumn("before", _is_odd(F.coalesce(F.sum("odd").over(earlier), F.lit(0))))
+        .withColumn("record_outside", F.sum(1 - F.col("before")).over(up_to))
+        .withColumn("record_inside", F.sum("before").over(up_to))
+    )
 
-    placed = (
-        lines.join(_block_states(lines), ["file", "block"])
-        .withColumn("starts", (F.col("before") == F.col("entry")).cast("int"))
-        .withColumn("record", F.sum("starts").over(in_block))
+    placed = lines.join(_block_states(lines), ["file", "block"]).withColumn(
+        "record",
+        F.when(F.col("entry") == 0, F.col("record_outside")).otherwise(F.col("record_inside")),
     )
     continues = F.col("record") == 0
     records = (
@@ -127,7 +139,7 @@ def read_stitched(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
             F.when(continues, F.col("owner_block")).otherwise(F.col("block")).alias("at"),
             F.when(continues, F.col("owner_record")).otherwise(F.col("record")).alias("record"),
         )
-        .agg(F.array_sort(F.collect_list(F.struct("block", "position", "value"))).alias("parts"))
+        .agg(F.sort_array(F.collect_list(F.struct("block", "position", "value"))).alias("parts"))
         .select("at", "record", F.array_join("parts.value", "\n").alias("text"))
         .withColumn("text", F.regexp_replace("text", "^\uFEFF|\\r\\z", ""))
         .filter(F.trim("text") != "")
@@ -160,8 +172,8 @@ def _block_states(lines: DataFrame) -> DataFrame:
         lines.groupBy("file", "block")
         .agg(
             _is_odd(F.sum("odd")).alias("flips"),
-            F.count_if(F.col("before") == 0).alias("starts_outside"),
-            F.count_if(F.col("before") == 1).alias("starts_inside"),
+            F.max("record_outside").alias("starts_outside"),
+            F.max("record_inside").alias("starts_inside"),
             F.sum(F.col("bytes") + 1).alias("bytes"),
         )
         .withColumn("entry", _is_odd(F.coalesce(F.sum("flips").over(along), F.lit(0))))

@@ -1,11 +1,12 @@
 """Reading and writing CSV extracts."""
 
+import gzip
 import random
 
 import pytest
 
 from starmart.sources import RAW_SOURCES, read_all_raw, read_raw, source_path, write_raw
-from starmart.sources.raw_csv import read_stitched
+from starmart.sources.raw_csv import _split_bytes, read_stitched
 from tests.conftest import failing
 from tests.fixtures import CSV, write_sources
 
@@ -125,11 +126,31 @@ def test_large_free_text_files_are_stitched(spark, settings, tmp_path):
         spark__sql__files__maxPartitionBytes="2000b", spark__sql__files__openCostInBytes="1"
     )
     reviews = read_raw(spark, base, "order_reviews")
-    assert "text" in reviews._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in reviews._jdf.queryExecution().executedPlan().toString()
     got = reviews.select("review_id", "review_comment_message")
     assert sorted(map(tuple, got.collect())) == sorted(rows)
 
 
+@pytest.mark.parametrize(
+    ("text", "size"), [("4096", 4096), ("4096b", 4096), ("128MB", 1 << 27), ("2g", 2 << 30)]
+)
+def test_split_size_in_any_unit(spark, settings, text, size):
+    settings(spark__sql__files__maxPartitionBytes=text)
+    assert _split_bytes(spark) == size
+
+
+def test_compressed_free_text_is_read_whole(spark, settings, tmp_path):
+    rows, text = _random_reviews(3, 300)
+    folder = tmp_path / "order_reviews.csv"
+    folder.mkdir()
+    (folder / "part.csv.gz").write_bytes(gzip.compress(text.encode()))
+    settings(spark__sql__files__maxPartitionBytes="500")
+    got = read_raw(spark, str(tmp_path), "order_reviews")
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+    got = got.select("review_id", "review_comment_message")
+    assert sorted(map(tuple, got.collect())) == sorted(rows)
+
+
 def test_stitched_files_must_share_a_header(spark, tmp_path):
     folder = tmp_path / "order_reviews.csv"
     folder.mkdir()
