@@ -7,7 +7,7 @@ runs any number of checks in one job that reads every table once.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +26,7 @@ class Check:
     parent: str = ""
     parent_column: str = ""
     predicate: str = ""
-    name: str = field(default="")
+    name: str = ""
 
     @property
     def test(self) -> str:

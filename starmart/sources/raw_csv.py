@@ -12,7 +12,7 @@ lines, which do split, and the lines are stitched back into records.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -105,6 +105,7 @@ def read_stitched(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     header = (
         spark.read.options(**CSV_OPTIONS, sep=sep).option("header", True).csv(path)
     ).columns
+    unquoted = F.replace("value", F.lit('"'), F.lit(""))
     lines = (
         spark.read.option("lineSep", "\n")
         .text(path)
@@ -114,8 +115,7 @@ def read_stitched(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
             F.monotonically_increasing_id().alias("position"),
             "value",
             F.octet_length("value").alias("bytes"),
-            _is_odd(F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))))
-            .alias("odd"),
+            _is_odd(F.octet_length("value") - F.octet_length(unquoted)).alias("odd"),
         )
     )
     in_block = Window.partitionBy("file", "block").orderBy("position")
@@ -141,8 +141,9 @@ def read_stitched(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
         )
         .agg(F.sort_array(F.collect_list(F.struct("block", "position", "value"))).alias("parts"))
         .select("at", "record", F.array_join("parts.value", "\n").alias("text"))
-        .withColumn("text", F.regexp_replace("text", "^\uFEFF|\\r\\z", ""))
-        .filter(F.trim("text") != "")
+        .withColumn("text", _without("text", "\uFEFF", F.startswith, 2))
+        .withColumn("text", _without("text", "\r", F.endswith, 1))
+        .filter(F.col("text") != "")
     )
 
     schema = ", ".join(f"`{c}` string" for c in header)
@@ -195,5 +196,11 @@ def _block_states(lines: DataFrame) -> DataFrame:
     )
 
 
+def _without(name: str, mark: str, holds: Callable[..., Column], first: int) -> Column:
+    """Text less one character at its start or end, looked at only there."""
+    shorter = F.substring(F.col(name), F.lit(first), F.length(name) - 1)
+    return F.when(holds(F.col(name), F.lit(mark)), shorter).otherwise(F.col(name))
+
+
 def _is_odd(count: Column) -> Column:
     return (count % 2).cast("int")

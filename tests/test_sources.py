@@ -151,6 +151,14 @@ def test_compressed_free_text_is_read_whole(spark, settings, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted(rows)
 
 
+def test_byte_order_mark_and_blank_lines(spark, tmp_path):
+    path = tmp_path / "marked.csv"
+    path.write_text('\ufeffa,b\r\n1,"x\r\ny"\r\n\r\n2,z\r\n', newline="", encoding="utf-8")
+    got = read_stitched(spark, str(path))
+    assert got.columns == ["a", "b"]
+    assert sorted(map(tuple, got.collect())) == [("1", "x\r\ny"), ("2", "z")]
+
+
 def test_stitched_files_must_share_a_header(spark, tmp_path):
     folder = tmp_path / "order_reviews.csv"
     folder.mkdir()
