@@ -1,4 +1,4 @@
-"""Command line: ``build`` a warehouse from CSV extracts, ``check`` it, or ``report``.
+"""Command line: ``build`` a warehouse from CSV extracts, ``check``, ``report`` or ``prune``.
 
     python -m starmart build --raw RAW --warehouse ROOT
     python -m starmart check --warehouse ROOT
@@ -15,7 +15,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from starmart.plans import pipeline, reports
-from starmart.plans.layers import MARTS, Warehouse
+from starmart.plans.layers import MARTS, STAGING, Warehouse
 
 REPORTS = {
     "kpis": (reports.delivered_kpis, ("fact_orders",)),
@@ -45,7 +45,9 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
     check = commands.add_parser("check", help="run all data-quality checks")
     report = commands.add_parser("report", help="print a report over the published marts")
     report.add_argument("name", choices=REPORTS)
-    for command in (build, check, report):
+    prune = commands.add_parser("prune", help="delete builds older than the newest few")
+    prune.add_argument("--keep", type=int, default=2)
+    for command in (build, check, report, prune):
         command.add_argument("--warehouse", required=True, help="root folder of the layers")
     options = parser.parse_args(arguments)
 
@@ -64,6 +66,11 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
         for row in results:
             print("PASS" if row["passed"] else f"FAIL {row['failures']}", row["test"])
         return 0 if all(row["passed"] for row in results) else 1
+    if options.command == "prune":
+        for layer in (STAGING, MARTS):
+            for version in warehouse.prune(layer, options.keep):
+                print("deleted", layer, version)
+        return 0
     function, names = REPORTS[options.name]
     function(*[warehouse.read(MARTS, name) for name in names]).show(1000, truncate=False)
     return 0

@@ -73,6 +73,29 @@ class Warehouse:
             )
         return database
 
+    def prune(self, layer: str, keep: int = 2) -> list[str]:
+        """Delete old builds, keeping the newest ``keep`` for readers still on them.
+
+        Folders of builds that failed go too, once they are older than what is
+        kept. Returns the deleted versions.
+        """
+        if keep < 1:
+            raise ValueError("the current build must be kept")
+        newest = self._log(layer).orderBy(F.desc("published_at")).limit(keep)
+        kept = {row["version"] for row in newest.select("version").collect()}
+        if not kept:
+            return []
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        folder = hadoop.Path(f"{self.root}/{layer}")
+        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        deleted = []
+        for status in files.listStatus(folder):
+            # Versions begin with their time, so names sort by age.
+            if status.getPath().getName() < min(kept):
+                files.delete(status.getPath(), True)
+                deleted.append(status.getPath().getName())
+        return sorted(deleted)
+
     def _path(self, layer: str, version: str, name: str) -> str:
         return f"{self.root}/{layer}/{version}/{name}"
 
@@ -92,13 +115,14 @@ class Warehouse:
         )
         entry.write.mode("append").parquet(f"{self.root}/publications")
 
-    def _current(self, layer: str) -> tuple[str, dict[str, str]]:
+    def _log(self, layer: str) -> DataFrame:
         log = self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/publications")
-        newest = (
-            log.filter(F.col("layer") == layer)
-            .agg(F.max_by(F.struct("version", "tables"), F.struct("published_at", "version")))
-            .first()[0]
-        )
+        return log.filter(F.col("layer") == layer)
+
+    def _current(self, layer: str) -> tuple[str, dict[str, str]]:
+        newest = self._log(layer).agg(
+            F.max_by(F.struct("version", "tables"), F.struct("published_at", "version"))
+        ).first()[0]
         if newest is None:
             raise LookupError(f"nothing published for layer {layer!r} under {self.root}")
         return newest["version"], dict(newest["tables"])

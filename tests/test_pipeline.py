@@ -71,6 +71,24 @@ def test_failed_build_leaves_the_published_one(spark, tmp_path):
     assert warehouse.read(STAGING, "stg_order_items").count() == 5
 
 
+def test_pruning_keeps_the_newest_builds(spark, tmp_path):
+    warehouse = Warehouse(spark, f"{tmp_path}/wh")
+    versions = [warehouse.refresh(MARTS, {"t": spark.range(n)}) for n in (1, 2)]
+    with pytest.raises(Exception):
+        warehouse.refresh(MARTS, {"t": spark.range(1).selectExpr("raise_error('no') AS x")})
+    failed = [p.name for p in (tmp_path / "wh" / MARTS).iterdir() if p.name not in versions]
+    versions += [warehouse.refresh(MARTS, {"t": spark.range(n)}) for n in (3, 4)]
+    other = warehouse.refresh(STAGING, {"t": spark.range(9)})
+    assert len(failed) == 1
+    before = warehouse.read(MARTS, "t")
+    assert warehouse.prune(MARTS, keep=2) == sorted([*versions[:2], *failed])
+    assert before.count() == 4 and warehouse.read(MARTS, "t").count() == 4
+    assert {p.name for p in (tmp_path / "wh" / MARTS).iterdir()} == set(versions[2:])
+    assert [p.name for p in (tmp_path / "wh" / STAGING).iterdir()] == [other]
+    with pytest.raises(ValueError):
+        warehouse.prune(MARTS, keep=0)
+
+
 def test_reading_what_is_not_there(spark, tmp_path):
     warehouse = Warehouse(spark, f"{tmp_path}/wh")
     with pytest.raises(Exception):
@@ -132,3 +150,6 @@ def test_command_line(spark, tmp_path, capsys):
     for name in command_line.REPORTS:
         assert command_line.main(["report", name, *options], spark) == 0
     assert "toys" in capsys.readouterr().out
+    assert command_line.main(build, spark) == 0
+    assert command_line.main(["prune", "--keep", "1", *options], spark) == 0
+    assert capsys.readouterr().out.count("deleted") == 2
