@@ -12,6 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 import oracles
 from starmart.functions import (
@@ -329,14 +330,12 @@ def _conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _null_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """NULLs come last both ways; the position makes the order part of the result."""
-    by_band = (
-        _conditions(spark, sf_dir)
-        .groupBy("small")
-        .agg(F.count(F.lit(1)).alias("orders"))
+    """NULLs come last; the position makes the order of the three groups part of the result."""
+    groups = (
+        _conditions(spark, sf_dir).groupBy("small").agg(F.count(F.lit(1)).alias("orders"))
     )
-    up = by_band.orderBy(F.asc_nulls_last("small")).limit(10)
-    return up.select(F.monotonically_increasing_id().alias("position"), "small", "orders")
+    place = F.row_number().over(Window.orderBy(F.asc_nulls_last("small")))
+    return groups.select((place - 1).cast("bigint").alias("position"), "small", "orders")
 
 
 def _aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:

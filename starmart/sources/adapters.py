@@ -28,8 +28,15 @@ TRANSLATION = {
 }
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    """A given table; its schema is read from the files once per process."""
+    path = f"{sf_dir}/{table}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def as_text(df: DataFrame) -> DataFrame:

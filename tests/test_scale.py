@@ -203,3 +203,12 @@ def test_missing_keys_on_both_sides_do_not_multiply_rows(spark):
     assert {row.state: row.revenue for row in found} == {
         "SP": size * size / 2, "RJ": size * size / 2
     }
+
+
+def test_looking_for_hot_keys_in_odd_columns(spark):
+    empty = spark.range(0).selectExpr("string(id) AS k")
+    nulls = spark.range(100).selectExpr("CAST(NULL AS STRING) AS k")
+    assert not find_hot_keys(empty, "k", min_rows=1)
+    assert find_hot_keys(nulls, "k", min_rows=50) == HotKeys((), True)
+    numbers = spark.range(90_000).selectExpr("if(id % 3 = 0, 7, id) AS k")
+    assert find_hot_keys(numbers, "k", min_rows=100) == HotKeys(("7",), False)
