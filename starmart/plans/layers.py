@@ -81,8 +81,8 @@ class Warehouse:
         """
         if keep < 1:
             raise ValueError("the current build must be kept")
-        newest = self._log(layer).orderBy(F.desc("published_at")).limit(keep)
-        kept = {row["version"] for row in newest.select("version").collect()}
+        newest = self._log(layer).orderBy(F.desc("published_at"), F.desc("version"))
+        kept = {row["version"] for row in newest.select("version").head(keep)}
         if not kept:
             return []
         hadoop = self.spark._jvm.org.apache.hadoop.fs
@@ -120,9 +120,7 @@ class Warehouse:
         return log.filter(F.col("layer") == layer)
 
     def _current(self, layer: str) -> tuple[str, dict[str, str]]:
-        newest = self._log(layer).agg(
-            F.max_by(F.struct("version", "tables"), F.struct("published_at", "version"))
-        ).first()[0]
+        newest = self._log(layer).orderBy(F.desc("published_at"), F.desc("version")).first()
         if newest is None:
             raise LookupError(f"nothing published for layer {layer!r} under {self.root}")
         return newest["version"], dict(newest["tables"])
