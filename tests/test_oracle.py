@@ -25,5 +25,19 @@ def test_query_matches_oracle(name, spark, connection):
     assert differences(QUERIES[name], ORACLES[name], spark, SF_DIR, connection) == []
 
 
+@pytest.mark.parametrize(
+    "name",
+    ["stg_orders", "dim_date", "fact_orders", "fact_order_items", "rpt_monthly_revenue",
+     "dq_summary", "fn_dates", "fn_casts", "surrogate_key"],
+)
+def test_results_do_not_depend_on_the_session(name, spark, connection, settings):
+    settings(
+        spark__sql__session__timeZone="America/Sao_Paulo",
+        spark__sql__ansi__enabled="false",
+        spark__sql__adaptive__enabled="false",
+    )
+    assert differences(QUERIES[name], ORACLES[name], spark, SF_DIR, connection) == []
+
+
 def test_flagship_query_has_rows(spark):
     assert entry_point.entry(spark).count() > 0
