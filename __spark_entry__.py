@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 import os
 import sys
 import tempfile
@@ -378,6 +380,16 @@ def _join_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+def _optional(name: str):
+    """A module of the training-data part, or None where that part is not installed."""
+    package = name.rpartition(".")[0]
+    for part in (package, name):
+        spec = importlib.util.find_spec(part) if part else None
+        if part and (spec is None or spec.origin is None):
+            return None
+    return importlib.import_module(name)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Revenue by month over the smoke tables, from raw tables to the report."""
     return queries()["rpt_monthly_revenue"](spark, SMOKE_DIR)
@@ -458,8 +470,17 @@ def queries() -> dict[str, Query]:
     found["fn_aggregates"] = _aggregates
     found["rel_null_order"] = _null_order
     found["rel_join_types"] = _join_types
+    if operators := _optional("starmart.llm.queries"):
+        found |= operators.queries()
+    if corpus := _optional("corpus_pipeline"):
+        found["pipeline"] = corpus.run
     return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
+    found = oracles.oracle_sql()
+    if operators := _optional("starmart.llm.queries"):
+        found |= operators.oracle_sql()
+    if (corpus := _optional("corpus_pipeline")) and corpus.ORACLE_SQL:
+        found["pipeline"] = corpus.ORACLE_SQL
+    return found
