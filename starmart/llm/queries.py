@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starmart.llm.jaccard import jaccard_components
+from starmart.llm.phrases import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,12 +16,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op8_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), window=50, phrase=25)
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), n=5, percent=80)
 
 
 def queries() -> dict[str, Query]:
-    found = [op9_ngram_jaccard]
+    found = [op8_repeated_phrases, op9_ngram_jaccard]
     return {query.__name__: query for query in found}
 
 
