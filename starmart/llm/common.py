@@ -39,8 +39,10 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def having(rows: DataFrame, ids: DataFrame, key: str, limit: int = BROADCAST_IDS) -> DataFrame:
-    """The rows whose key is among ids, a table without repeats.
+def having(
+    rows: DataFrame, ids: DataFrame, key: str, how: str = "left_semi", limit: int = BROADCAST_IDS
+) -> DataFrame:
+    """The rows whose key is among ids, a written table without repeats; left_anti: the others.
 
     Few ids (counted, at most limit) are broadcast, so that wide rows stay where they are;
     more are met by a shuffle.
@@ -48,7 +50,7 @@ def having(rows: DataFrame, ids: DataFrame, key: str, limit: int = BROADCAST_IDS
     chosen = ids.select(key)
     if chosen.count() <= limit:
         chosen = F.broadcast(chosen)
-    return rows.join(chosen, key, "left_semi")
+    return rows.join(chosen, key, how)
 
 
 def word_count(text: Column | str) -> Column:

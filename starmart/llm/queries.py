@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starmart.llm.decontaminate import overlaps
 from starmart.llm.jaccard import jaccard_components
 from starmart.llm.phrases import remove_repeats
 
@@ -16,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return overlaps(documents, benchmark, least=13, percent=80)
+
+
 def op8_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), window=50, phrase=25)
 
@@ -25,7 +31,7 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op8_repeated_phrases, op9_ngram_jaccard]
+    found = [op3_decontaminate, op8_repeated_phrases, op9_ngram_jaccard]
     return {query.__name__: query for query in found}
 
 
