@@ -64,35 +64,74 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def running_sums(
-    df: DataFrame, by: list[str], value: Column, out: str, path: str
-) -> DataFrame:
-    """Add the sum of value over all earlier rows of the same group, however large the group.
+def numbered(df: DataFrame, path: str) -> DataFrame:
+    """The rows, written, with their partition (_part) and a number of their own (_row)."""
+    return written(
+        df.withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id()}),
+        path,
+    )
+
 
-    Rows are numbered as they stand in the partitions of the written input: sums run within
-    a (group, partition) and start from the totals of the partitions before. No task sees
-    more of a group than one partition holds.
+def running_sums(rows: DataFrame, by: str, value: Column, out: str) -> DataFrame:
+    """Add the sum of value over all earlier rows with the same by, however many there are.
+
+    rows come from numbered(). Sums run within a (group, partition) and start from the totals
+    of the partitions before, so no task sees more of a group than one partition holds.
     """
-    part, place, own, base = "_part", "_place", "_own", "_base"
-    fixed = written(
-        df.withColumns({
-            part: F.spark_partition_id(),
-            place: F.monotonically_increasing_id(),
-            own: value.cast("long"),
-        }),
-        path,
+    own, base = "_own", "_base"
+    rows = rows.withColumn(own, value.cast("long"))
+    within = Window.partitionBy(by, "_part").orderBy("_row")
+    before = Window.partitionBy(by).orderBy("_part")
+    totals = rows.groupBy(by, "_part").agg(F.sum(own).alias(base))
+    starts = totals.select(
+        F.col(by).alias("_by"), F.col("_part").alias("_by_part"),
+        (F.sum(base).over(before) - F.col(base)).alias(base),
     )
-    groups = [F.col(c) for c in by]
-    within = Window.partitionBy(*groups, part).orderBy(place)
-    before = Window.partitionBy(*groups).orderBy(part)
-    totals = fixed.groupBy(*groups, part).agg(F.sum(own).alias(base))
-    starts = totals.withColumn(base, F.sum(base).over(before) - F.col(base))
-    starts = starts.select(*[F.col(c).alias(f"_by_{c}") for c in by],
-                           F.col(part).alias("_by_part"), base)
-    sums = fixed.withColumn(out, F.sum(own).over(within) - F.col(own))
-    on = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
+    sums = rows.withColumn(out, F.sum(own).over(within) - F.col(own))
+    on = F.col(by).eqNullSafe(F.col("_by")) & (F.col("_part") == F.col("_by_part"))
     return (
-        sums.join(starts, [*on, F.col(part) == F.col("_by_part")])
+        sums.join(starts, on)
         .withColumn(out, F.col(out) + F.col(base))
-        .drop(part, place, own, base, "_by_part", *[f"_by_{c}" for c in by])
+        .drop(own, base, "_by", "_by_part")
+    )
+
+
+def content_sums(
+    rows: DataFrame, by: str, identity: list[str], value: Column, out: str
+) -> DataFrame:
+    """Add the sum of value over all rows with the same by that come earlier in content order.
+
+    rows come from numbered(); value is an expression of the identity columns. The order is by a
+    hash of identity, so it does not depend on how the input is split; rows of one identity come
+    in the input's order. Equal identities are summed before the shuffle and counted off with
+    running_sums, and a group is cut into ranges of the hash, so a group or identity with very
+    many rows is spread over tasks.
+    """
+    keys = [by, *identity]
+    kinds = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    kinds = kinds.withColumns({"_hash": F.xxhash64(*identity), "_each": value.cast("long")})
+    kinds = kinds.withColumns({
+        "_range": F.shiftrightunsigned("_hash", 52), "_all": F.col("_each") * F.col("_n"),
+    })
+    within = Window.partitionBy(by, "_range").orderBy("_hash", *identity)
+    before = Window.partitionBy(by).orderBy("_range")
+    totals = kinds.groupBy(by, "_range").agg(F.sum("_all").alias("_base"))
+    starts = totals.select(
+        F.col(by).alias("_by"), F.col("_range").alias("_by_range"),
+        (F.sum("_base").over(before) - F.col("_base")).alias("_base"),
+    )
+    on = F.col(by).eqNullSafe(F.col("_by")) & (F.col("_range") == F.col("_by_range"))
+    kinds = kinds.withColumn("_before", F.sum("_all").over(within) - F.col("_all"))
+    kinds = kinds.join(starts, on).select(
+        *[F.col(c).alias(f"_k_{c}") for c in keys], "_n", "_each",
+        (F.col("_before") + F.col("_base")).alias("_start"),
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys]
+    known = rows.join(kinds, same).drop(*[f"_k_{c}" for c in keys])
+    known = known.withColumn("_kind", F.struct(by, "_start"))
+    single = known.where("_n = 1").withColumn("_copy", F.lit(0).cast("long"))
+    several = running_sums(known.where("_n > 1"), "_kind", F.lit(1), "_copy")
+    placed = single.unionByName(several)
+    return placed.withColumn(out, F.col("_start") + F.col("_copy") * F.col("_each")).drop(
+        "_n", "_each", "_start", "_kind", "_copy"
     )

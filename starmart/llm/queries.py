@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starmart.llm.decontaminate import overlaps
 from starmart.llm.jaccard import jaccard_components
+from starmart.llm.mixing import mix_counts
 from starmart.llm.phrases import remove_repeats
+from starmart.llm.sharding import shard_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +24,14 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlaps(documents, benchmark, least=13, percent=80)
 
 
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_counts(table(spark, sf_dir, "documents"))
+
+
+def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_rows(table(spark, sf_dir, "documents"), [1.0] * 40)
+
+
 def op8_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), window=50, phrase=25)
 
@@ -31,7 +41,13 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op3_decontaminate, op8_repeated_phrases, op9_ngram_jaccard]
+    found = [
+        op3_decontaminate,
+        op4_mix_sources,
+        op7_shards,
+        op8_repeated_phrases,
+        op9_ngram_jaccard,
+    ]
     return {query.__name__: query for query in found}
 
 
