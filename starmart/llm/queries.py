@@ -11,6 +11,7 @@ from starmart.llm.jaccard import jaccard_components
 from starmart.llm.mixing import mix_counts
 from starmart.llm.phrases import remove_repeats
 from starmart.llm.sharding import shard_rows
+from starmart.llm.warc import archived_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +29,10 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_counts(table(spark, sf_dir, "documents"))
 
 
+def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(table(spark, sf_dir, "pages"), least=0)
+
+
 def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"), [1.0] * 40)
 
@@ -44,6 +49,7 @@ def queries() -> dict[str, Query]:
     found = [
         op3_decontaminate,
         op4_mix_sources,
+        op6_warc_revisits,
         op7_shards,
         op8_repeated_phrases,
         op9_ngram_jaccard,
