@@ -10,6 +10,7 @@ from starmart.llm.decontaminate import overlaps
 from starmart.llm.jaccard import jaccard_components
 from starmart.llm.mixing import mix_counts
 from starmart.llm.phrases import remove_repeats
+from starmart.llm.pii import find_personal_data
 from starmart.llm.sharding import shard_rows
 from starmart.llm.warc import archived_pages
 
@@ -45,6 +46,10 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), n=5, percent=80)
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = [
         op3_decontaminate,
@@ -53,6 +58,7 @@ def queries() -> dict[str, Query]:
         op7_shards,
         op8_repeated_phrases,
         op9_ngram_jaccard,
+        op10_personal_data,
     ]
     return {query.__name__: query for query in found}
 
