@@ -11,6 +11,8 @@ from starmart.llm.jaccard import jaccard_components
 from starmart.llm.mixing import mix_counts
 from starmart.llm.phrases import remove_repeats
 from starmart.llm.pii import find_personal_data
+from starmart.llm.rules import judge, labelled_statistics, learn
+from starmart.llm.secrets import find_secrets, samples, train
 from starmart.llm.sharding import shard_rows
 from starmart.llm.warc import archived_pages
 
@@ -21,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return find_secrets(documents, train(samples(documents, labels)))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, benchmark = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
     return overlaps(documents, benchmark, least=13, percent=80)
@@ -30,6 +37,11 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_counts(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return judge(documents, learn(labelled_statistics(documents, labels)))
+
+
 def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived_pages(table(spark, sf_dir, "pages"), least=0)
 
@@ -52,8 +64,10 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = [
+        op2_secrets,
         op3_decontaminate,
         op4_mix_sources,
+        op5_quality_rules,
         op6_warc_revisits,
         op7_shards,
         op8_repeated_phrases,
