@@ -39,13 +39,13 @@ TOKEN_BITS = 48
 PART_TOKENS = 2_000_000
 BATCH_ROWS = 1 << 16
 BATCH_TOKENS = 6_000_000
-HUB_ROUNDS = 2
+HUB_ROUNDS = 1
 HOT_RANK = np.uint32(2**32 - 1)
 
 SETS = "doc_id bigint, n_shingles bigint, class bigint, token bigint, seen bigint"
 PACKED = "part bigint, kind int, a binary, b binary, c binary, d binary"
 CANDIDATES = (
-    "class bigint, n bigint, shared bigint, single bigint, tokens binary, prefix array<bigint>"
+    "class bigint, n bigint, single bigint, typical bigint, tokens binary, prefix array<bigint>"
 )
 
 
@@ -257,7 +257,7 @@ def assemble(table: pa.Table, percent: int) -> pa.Table:
             ranks.append(numbers(row["d"], np.uint32))
     token, key, rank = (np.concatenate(x) for x in (tokens, keys, ranks))
     order = np.lexsort((token, rank, key))
-    token, key = token[order], key[order]
+    token, key, rank = token[order], key[order], rank[order]
     out = []
     for run in np.split(np.arange(len(token)), np.flatnonzero(np.diff(key)) + 1):
         if not len(run):
@@ -269,12 +269,12 @@ def assemble(table: pa.Table, percent: int) -> pa.Table:
         prefix = size - -(-percent * size // 100) + 1 - single
         own = token[run]
         out.append({
-            "class": int(key[run[0]].view(np.int64)), "n": size, "shared": len(run),
-            "single": single, "tokens": np.sort(own).tobytes(),
+            "class": int(key[run[0]].view(np.int64)), "n": size, "single": single,
+            "typical": int(rank[run].sum(dtype=np.int64)) // size, "tokens": np.sort(own).tobytes(),
             "prefix": own[: max(0, prefix)].view(np.int64).tolist(),
         })
-    kinds = [("class", pa.int64()), ("n", pa.int64()), ("shared", pa.int64()),
-             ("single", pa.int64()), ("tokens", pa.binary()), ("prefix", pa.list_(pa.int64()))]
+    kinds = [("class", pa.int64()), ("n", pa.int64()), ("single", pa.int64()),
+             ("typical", pa.int64()), ("tokens", pa.binary()), ("prefix", pa.list_(pa.int64()))]
     return pa.Table.from_pylist(out, schema=pa.schema(kinds))
 
 
@@ -282,16 +282,14 @@ def assemble(table: pa.Table, percent: int) -> pa.Table:
 
 
 def may_link(percent: int, left: str, right: str) -> Column:
-    """Length filter, and what both sets can still share beyond a common n-gram's positions."""
+    """Length filter, and positional filter: were this the first common n-gram of two linked
+    sets, which one is, enough n-grams must be left from here on in both."""
     small, large = F.least(f"{left}.n", f"{right}.n"), F.greatest(f"{left}.n", f"{right}.n")
-    before = F.least(f"{left}.pos", f"{right}.pos")
     after = F.least(
         F.col(f"{left}.n") - F.col(f"{left}.pos"), F.col(f"{right}.n") - F.col(f"{right}.pos")
     )
     both = F.col(f"{left}.n") + F.col(f"{right}.n")
-    return (100 * small >= percent * large) & (
-        (100 + percent) * (before + after) >= percent * both
-    )
+    return (100 * small >= percent * large) & ((100 + percent) * after >= percent * both)
 
 
 def _pairs(joined: DataFrame, left: str, right: str) -> DataFrame:
@@ -300,9 +298,13 @@ def _pairs(joined: DataFrame, left: str, right: str) -> DataFrame:
 
 
 def hub_pairs(postings: DataFrame, percent: int, turn: int) -> DataFrame:
-    """In each n-gram's group: every class with the group's hub, unless connected already."""
-    hub = F.min(F.struct(F.xxhash64("class", F.lit(turn)).alias("draw"), "class", "n", "pos",
-                         "label"))
+    """In each n-gram's group: every class with the group's hub, unless connected already.
+
+    The first hub is the class whose n-grams are the most frequent ones, as those of the text
+    are that the others were copied from; later hubs are drawn.
+    """
+    draw = F.col("typical") if turn == 0 else F.xxhash64("class", F.lit(turn))
+    hub = F.max(F.struct(draw.alias("draw"), "class", "n", "pos", "label"))
     hubs = postings.groupBy("token").agg(
         hub.alias("h"), F.min("label").alias("low"), F.max("label").alias("high")
     )
@@ -319,11 +321,23 @@ def cross_pairs(postings: DataFrame, percent: int) -> DataFrame:
     mixed = postings.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     mixed = mixed.where("low < high").select("token")
     some = postings.join(mixed, "token")
-    groups = some.select("token", "label").distinct()
-    met = groups.select("token", F.col("label").alias("left")).join(
-        groups.select("token", F.col("label").alias("right")), "token"
+    # What the filters can say of whole components: some member is long enough, with room left.
+    groups = some.groupBy("token", "label").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"),
+        F.max(F.col("n") - F.col("pos")).alias("room"),
+    )
+    sides = [
+        groups.select("token", *[F.col(c).alias(f"{x}_{c}") for c in groups.columns[1:]])
+        for x in ("left", "right")
+    ]
+    met = sides[0].join(sides[1], "token").where(
+        f"left_label < right_label "
+        f"and 100 * left_most >= {percent} * right_least "
+        f"and 100 * right_most >= {percent} * left_least "
+        f"and {100 + percent} * least(left_room, right_room) "
+        f"  >= {percent} * (left_least + right_least)"
     )
-    met = met.where("left < right")
+    met = met.select("token", F.col("left_label").alias("left"), F.col("right_label").alias("right"))
     side = [F.struct("class", "n", "pos").alias(x) for x in "pq"]
     joined = met.join(
         some.select("token", F.col("label").alias("left"), side[0]), ["token", "left"]
@@ -410,8 +424,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
         f"{folder}/candidates",
     )
     postings = candidates.select(
-        "class", "n", "single", F.posexplode("prefix").alias("at", "token")
-    ).select("token", "class", "n", (F.col("single") + F.col("at")).alias("pos"))
+        "class", "n", "single", "typical", F.posexplode("prefix").alias("at", "token")
+    ).select("token", "class", "n", "typical", (F.col("single") + F.col("at")).alias("pos"))
 
     labels, links, done = None, None, None
     for turn in range(HUB_ROUNDS + 1):
