@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starmart.llm import cotraining
 from starmart.llm.decontaminate import overlaps
 from starmart.llm.jaccard import jaccard_components
 from starmart.llm.mixing import mix_counts
@@ -23,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return cotraining.score(documents, cotraining.train(documents, labels))
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
     return find_secrets(documents, train(samples(documents, labels)))
@@ -64,6 +70,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = [
+        op1_quality_classifier,
         op2_secrets,
         op3_decontaminate,
         op4_mix_sources,
