@@ -179,6 +179,28 @@ def _calibrate(
 # ---- scoring ---------------------------------------------------------------------------
 
 
+def chance(odds: Column) -> Column:
+    return 1 / (1 + F.exp(-odds))
+
+
+def _with_scores(rows: DataFrame, classifier: Classifier) -> DataFrame:
+    """Scores beside doc_id and the columns whose names begin with an underscore."""
+    kept = [c for c in rows.columns if c.startswith("_") or c == "doc_id"]
+    rows = with_views(rows)
+    prior = math.log(classifier.prior / (1 - classifier.prior))
+    odds = []
+    for view, (model, slope, offset) in classifier.views.items():
+        model = model.copy().setRawPredictionCol(f"{view}_raw").setProbabilityCol("")
+        rows = model.setPredictionCol("").transform(rows)
+        odds.append(slope * margin(f"{view}_raw") + offset)
+    rows = rows.select(*kept, odds[0].alias("_text_odds"), odds[1].alias("_page_odds"))
+    return rows.select(
+        *kept, chance(F.col("_text_odds")).alias("text_score"),
+        chance(F.col("_page_odds")).alias("page_score"),
+        chance(F.col("_text_odds") + F.col("_page_odds") - prior).alias("score"),
+    )
+
+
 def score(docs: DataFrame, classifier: Classifier | None, threshold: float = 0.5) -> DataFrame:
     """Per row of docs (doc_id, text, source, lang, n_chars): both views' and the joint probability.
 
@@ -194,21 +216,16 @@ def score(docs: DataFrame, classifier: Classifier | None, threshold: float = 0.5
         none = F.lit(None).cast("double")
         return rows.select("doc_id", *[none.alias(c) for c in ("text_score", "page_score", "score")],
                            F.lit(True).alias("kept"))
-    rows = with_views(rows)
-    prior = math.log(classifier.prior / (1 - classifier.prior))
-    odds = []
-    for view, (model, slope, offset) in classifier.views.items():
-        model = model.copy().setRawPredictionCol(f"{view}_raw").setProbabilityCol("")
-        rows = model.setPredictionCol("").transform(rows)
-        odds.append(slope * margin(f"{view}_raw") + offset)
+    return _with_scores(rows, classifier).withColumn("kept", F.col("score") >= threshold)
 
-    def chance(x: Column) -> Column:
-        return 1 / (1 + F.exp(-x))
 
-    rows = rows.select("doc_id", odds[0].alias("_text_odds"), odds[1].alias("_page_odds"))
-    joint = chance(F.col("_text_odds") + F.col("_page_odds") - prior)
-    return rows.select(
-        "doc_id", chance(F.col("_text_odds")).alias("text_score"),
-        chance(F.col("_page_odds")).alias("page_score"), joint.alias("score"),
-        (joint >= threshold).alias("kept"),
+def keep_good(docs: DataFrame, classifier: Classifier | None, threshold: float = 0.5) -> DataFrame:
+    """The rows of docs that score keeps, whole and in one pass; all of them without a classifier."""
+    if classifier is None:
+        return docs
+    rows = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("_document"),
+        "doc_id", "text", "source", "lang", "n_chars",
     )
+    good = _with_scores(rows, classifier).where(F.col("score") >= threshold)
+    return good.select("_document.*")

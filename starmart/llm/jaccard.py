@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import by_value, scratch, written
+from starmart.llm.common import by_value, having, scratch, written
 from starmart.llm.components import components
 from starmart.llm.tokens import mix, signed, slices, window_hashes, words
 
@@ -451,3 +451,22 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     return grouped.join(lowest, "label").select(*columns).unionAll(
         sets.where("n_shingles = 0").select(*columns[:2], F.col("doc_id").alias("component_id"))
     )
+
+
+def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """docs with one document of each component: the one with the smallest doc_id.
+
+    Rows that repeat a doc_id are one document, of which one row stays. Rows without a doc_id
+    stay. Columns are kept.
+    """
+    folder = scratch(docs.sparkSession, "near-copies")
+    found = written(jaccard_components(docs, n, percent).where("doc_id is not null"),
+                    f"{folder}/components")
+    copies = found.where("doc_id <> component_id").select("doc_id").distinct()
+    left = having(docs, written(copies, f"{folder}/copies"), "doc_id", "left_anti")
+    again = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
+    again = written(again.select("doc_id"), f"{folder}/again")
+    if again.isEmpty():
+        return left
+    once = having(left, again, "doc_id").dropDuplicates(["doc_id"])
+    return having(left, again, "doc_id", "left_anti").unionByName(once)
