@@ -355,28 +355,39 @@ def _aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _join_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each kind of join with its rows and the sums of both sides' keys, NULL where unmatched."""
     items, payments, reviews = _children(spark, sf_dir)
     orders = Tables(spark, sf_dir)["stg_orders"]
-    rolled = rollups.item_rollup(items).select(F.col("order_id").alias("a"))
-    paid = rollups.payment_rollup(payments).select(F.col("order_id").alias("b"))
-    rated = rollups.review_rollup(reviews).select(F.col("order_id").alias("c"))
+
+    def keys(df: DataFrame, name: str) -> DataFrame:
+        return df.select(F.col("order_id").alias(name))
+
+    rolled = keys(rollups.item_rollup(items), "a")
+    paid = keys(rollups.payment_rollup(payments), "b")
+    rated = keys(rollups.review_rollup(reviews), "c")
     both = rolled.join(paid, F.col("a") == F.col("b"), "full_outer")
+    either = both.select(F.coalesce("a", "b").alias("a"))
+    equal = F.col("a") == F.col("b")
     joined = {
-        "inner": items.join(orders, "order_id"),
-        "left": orders.join(payments, "order_id", "left"),
+        "inner": keys(items, "a").join(keys(orders, "b"), equal),
+        "left": keys(orders, "a").join(keys(payments, "b"), equal, "left"),
         "full_outer": both,
-        "full_outer_on_expression": both.join(
-            rated, F.coalesce("a", "b") == F.col("c"), "full_outer"
+        "full_outer_on_expression": either.join(
+            rated, F.col("a") == F.col("c"), "full_outer"
+        ).select("a", F.col("c").alias("b")),
+        "anti": keys(payments, "a").join(keys(orders, "b"), equal, "left_anti").withColumn(
+            "b", F.lit(None).cast("string")
         ),
-        "anti": payments.join(orders, "order_id", "left_anti"),
     }
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("join_type"), "n")
-        for name, df in joined.items()
-    ]
-    result = counts[0]
-    for count in counts[1:]:
-        result = result.unionAll(count)
+    result = None
+    for name, df in joined.items():
+        counted = df.agg(
+            F.lit(name).alias("join_type"),
+            F.count(F.lit(1)).alias("n"),
+            F.sum(F.col("a").cast("bigint")).alias("left_keys"),
+            F.sum(F.col("b").cast("bigint")).alias("right_keys"),
+        )
+        result = counted if result is None else result.unionAll(counted)
     return result
 
 

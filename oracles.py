@@ -45,18 +45,21 @@ TABLES = {
                CAST(1 + event_id % 2 AS INTEGER) AS payment_sequential,
                CASE event_type WHEN 'view' THEN 'credit_card' WHEN 'click' THEN 'boleto'
                     WHEN 'purchase' THEN 'debit_card' WHEN 'signup' THEN 'voucher'
-               END AS payment_type,
+                    WHEN 'error' THEN 'not_defined' END AS payment_type,
                CAST(1 + event_id % 10 AS INTEGER) AS payment_installments,
                value AS payment_value
-        FROM events WHERE event_type <> 'error'""",
+        FROM events""",
     "r": """
         SELECT CAST(doc_id AS VARCHAR) AS review_id,
                CAST(doc_id * 15 AS VARCHAR) AS order_id,
                CAST(1 + quality * 3 + toxic AS INTEGER) AS review_score,
-               CAST(NULL AS VARCHAR) AS review_comment_title,
-               CAST(NULL AS VARCHAR) AS review_comment_message,
-               CAST(NULL AS TIMESTAMP) AS review_creation_date,
-               CAST(NULL AS TIMESTAMP) AS review_answer_timestamp
+               CASE WHEN doc_id % 4 <> 0 THEN 'Review ' || doc_id END AS review_comment_title,
+               CASE WHEN doc_id % 3 <> 0 THEN 'said "ok",' || chr(10) || 'score ' || doc_id % 5
+               END AS review_comment_message,
+               TIMESTAMP '2017-01-01 06:30:00' + to_hours(doc_id) AS review_creation_date,
+               CASE WHEN doc_id % 5 > 0
+                    THEN TIMESTAMP '2017-01-01 06:30:00' + to_hours(doc_id + 24 + doc_id % 9 * 24)
+               END AS review_answer_timestamp
         FROM labels""",
     "c": """
         SELECT CAST(c_custkey AS VARCHAR) AS customer_id,
@@ -64,23 +67,24 @@ TABLES = {
                c_nationkey AS customer_zip_code_prefix,
                c_mktsegment AS customer_city,
                upper(lower(n_name)) AS customer_state
-        FROM customer JOIN nation ON n_nationkey = c_nationkey""",
+        FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey""",
     "s": """
         SELECT CAST(s_suppkey AS VARCHAR) AS seller_id,
                s_nationkey AS seller_zip_code_prefix,
                s_name AS seller_city,
                upper(lower(n_name)) AS seller_state
-        FROM supplier JOIN nation ON n_nationkey = s_nationkey""",
+        FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey""",
     "pr": """
         SELECT CAST(p_partkey AS VARCHAR) AS product_id,
                p_type AS product_category_name,
                CASE WHEN p_type IN ('ECONOMY', 'STANDARD', 'LARGE', 'PROMO', 'SMALL')
                     THEN lower(p_type) ELSE 'unknown' END AS product_category_name_english,
                p_size AS product_weight_g,
-               CAST(NULL AS INTEGER) AS product_length_cm,
-               CAST(NULL AS INTEGER) AS product_height_cm,
-               CAST(NULL AS INTEGER) AS product_width_cm,
-               CAST(NULL AS INTEGER) AS product_photos_qty
+               CAST(10 + p_size AS INTEGER) AS product_length_cm,
+               CAST(CASE p_size % 3 WHEN 0 THEN NULL ELSE p_size + p_size END AS INTEGER)
+                   AS product_height_cm,
+               CAST(50 - p_size AS INTEGER) AS product_width_cm,
+               CAST(p_size % 7 AS INTEGER) AS product_photos_qty
         FROM part""",
     "ri": """
         SELECT order_id, count(*) AS items_count, sum(price) AS total_price,
@@ -347,14 +351,21 @@ def oracle_sql() -> dict[str, str]:
                min(ts) AS first_ts, max(ts) AS last_ts
         FROM events GROUP BY event_type"""
     sql["rel_join_types"] = _with(["i", "p", "r", "o", "ri", "rp", "rr"], """
-        SELECT 'inner' AS join_type, count(*) AS n FROM i JOIN o USING (order_id)
-        UNION ALL SELECT 'left', count(*) FROM o LEFT JOIN p USING (order_id)
-        UNION ALL SELECT 'full_outer', count(*) FROM ri FULL JOIN rp USING (order_id)
-        UNION ALL SELECT 'full_outer_on_expression', count(*)
+        SELECT join_type, count(*) AS n, CAST(sum(CAST(a AS BIGINT)) AS BIGINT) AS left_keys,
+               CAST(sum(CAST(b AS BIGINT)) AS BIGINT) AS right_keys
+        FROM (
+            SELECT 'inner' AS join_type, i.order_id AS a, o.order_id AS b
+            FROM i JOIN o ON i.order_id = o.order_id
+            UNION ALL SELECT 'left', o.order_id, p.order_id
+            FROM o LEFT JOIN p ON o.order_id = p.order_id
+            UNION ALL SELECT 'full_outer', ri.order_id, rp.order_id
+            FROM ri FULL JOIN rp ON ri.order_id = rp.order_id
+            UNION ALL SELECT 'full_outer_on_expression', ifnull(x.a, x.b), rr.order_id
             FROM (SELECT ri.order_id AS a, rp.order_id AS b
                   FROM ri FULL JOIN rp ON ri.order_id = rp.order_id) x
             FULL JOIN rr ON ifnull(x.a, x.b) = rr.order_id
-        UNION ALL SELECT 'anti', count(*) FROM p ANTI JOIN o USING (order_id)""")
+            UNION ALL SELECT 'anti', p.order_id, NULL FROM p ANTI JOIN o USING (order_id)
+        ) GROUP BY join_type""")
     return sql
 
 

@@ -17,6 +17,7 @@ PAYMENT_TYPE = {
     "click": "boleto",
     "purchase": "debit_card",
     "signup": "voucher",
+    "error": "not_defined",
 }
 # MEDIUM has no translation.
 TRANSLATION = {
@@ -28,15 +29,8 @@ TRANSLATION = {
 }
 
 
-_schemas: dict[str, T.StructType] = {}
-
-
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A given table; its schema is read from the files once per process."""
-    path = f"{sf_dir}/{table}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -80,8 +74,7 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     event = F.col("event_id")
-    events = load(spark, sf_dir, "events").filter(F.col("event_type") != "error")
-    return events.select(
+    return load(spark, sf_dir, "events").select(
         _text((event - event % 2) * 2).alias("order_id"),
         (1 + event % 2).cast("int").alias("payment_sequential"),
         _recode(F.col("event_type"), PAYMENT_TYPE).alias("payment_type"),
@@ -91,30 +84,34 @@ def order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nothing = F.lit(None)
+    """Some titles and messages are blank, some answers missing, so that cleaning has work."""
+    key = F.col("doc_id")
+    created = _later("HOUR", key, F.lit("2017-01-01 06:30:00").cast("timestamp_ntz"))
+    title = F.concat(F.lit("Review "), _text(key))
+    message = F.concat(F.lit('said "ok",\nscore '), _text(key % 5))
     return load(spark, sf_dir, "labels").select(
-        _text(F.col("doc_id")).alias("review_id"),
-        _text(F.col("doc_id") * 15).alias("order_id"),
+        _text(key).alias("review_id"),
+        _text(key * 15).alias("order_id"),
         (1 + F.col("quality") * 3 + F.col("toxic")).alias("review_score"),
-        nothing.cast("string").alias("review_comment_title"),
-        nothing.cast("string").alias("review_comment_message"),
-        nothing.cast("timestamp_ntz").alias("review_creation_date"),
-        nothing.cast("timestamp_ntz").alias("review_answer_timestamp"),
+        F.when(key % 4 == 0, "").otherwise(title).alias("review_comment_title"),
+        F.when(key % 3 == 0, "").otherwise(message).alias("review_comment_message"),
+        created.alias("review_creation_date"),
+        F.when(key % 5 != 0, _later("DAY", 1 + key % 9, created)).alias("review_answer_timestamp"),
     )
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nothing = F.lit(None).cast("int")
+    nothing, size = F.lit(None).cast("int"), F.col("p_size").cast("int")
     return load(spark, sf_dir, "part").select(
         _text(F.col("p_partkey")).alias("product_id"),
         F.col("p_type").alias("product_category_name"),
         nothing.alias("product_name_lenght"),
         nothing.alias("product_description_lenght"),
-        nothing.alias("product_photos_qty"),
+        (size % 7).alias("product_photos_qty"),
         F.col("p_size").alias("product_weight_g"),
-        nothing.alias("product_length_cm"),
-        nothing.alias("product_height_cm"),
-        nothing.alias("product_width_cm"),
+        (size + 10).alias("product_length_cm"),
+        F.when(size % 3 != 0, size * 2).alias("product_height_cm"),
+        (50 - size).alias("product_width_cm"),
     )
 
 
@@ -129,7 +126,7 @@ def translation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     nations = load(spark, sf_dir, "nation")
     return load(spark, sf_dir, "customer").join(
-        nations, F.col("c_nationkey") == F.col("n_nationkey")
+        nations, F.col("c_nationkey") == F.col("n_nationkey"), "left"
     ).select(
         _text(F.col("c_custkey")).alias("customer_id"),
         F.col("c_name").alias("customer_unique_id"),
@@ -142,7 +139,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     nations = load(spark, sf_dir, "nation")
     return load(spark, sf_dir, "supplier").join(
-        nations, F.col("s_nationkey") == F.col("n_nationkey")
+        nations, F.col("s_nationkey") == F.col("n_nationkey"), "left"
     ).select(
         _text(F.col("s_suppkey")).alias("seller_id"),
         F.col("s_nationkey").alias("seller_zip_code_prefix"),
