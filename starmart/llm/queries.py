@@ -10,6 +10,7 @@ from starmart.llm import cotraining
 from starmart.llm.decontaminate import overlaps
 from starmart.llm.jaccard import jaccard_components
 from starmart.llm.mixing import mix_counts
+from starmart.llm.oracles import oracle_sql  # noqa: F401
 from starmart.llm.phrases import remove_repeats
 from starmart.llm.pii import find_personal_data
 from starmart.llm.rules import judge, labelled_statistics, learn
@@ -82,7 +83,3 @@ def queries() -> dict[str, Query]:
         op10_personal_data,
     ]
     return {query.__name__: query for query in found}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}

@@ -1,0 +1,43 @@
+"""Registered queries on the driver's tables: against SQL where there is some, else for shape."""
+
+import pytest
+
+from starmart.llm import queries
+from tests.compare import differences, oracle_connection
+
+SF_DIR = "/root/testdata/sf0.001"
+COLUMNS = {
+    "op1_quality_classifier": ["doc_id", "text_score", "page_score", "score", "kept"],
+    "op2_secrets": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
+    "op3_decontaminate": ["doc_id", "item_id", "doc_start", "item_start", "n_words", "n_equal", "covers_item"],
+    "op4_mix_sources": ["doc_id", "size", "source_size", "target", "taken"],
+    "op5_quality_rules": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule"],
+    "op7_shards": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
+    "op10_personal_data": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
+}
+
+
+@pytest.fixture(scope="module")
+def connection():
+    with oracle_connection(SF_DIR) as opened:
+        yield opened
+
+
+@pytest.mark.parametrize("name", queries.oracle_sql())
+def test_query_matches_oracle(name, spark, connection):
+    query, sql = queries.queries()[name], queries.oracle_sql()[name]
+    assert differences(query, sql, spark, SF_DIR, connection) == []
+
+
+@pytest.mark.parametrize("name", COLUMNS)
+def test_query_gives_its_columns_for_every_row(name, spark):
+    found = queries.queries()[name](spark, SF_DIR)
+    assert found.columns == COLUMNS[name]
+    documents = spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
+    assert found.count() == documents or name == "op3_decontaminate"
+
+
+def test_every_operator_is_registered():
+    found = [int(name[2:].split("_")[0]) for name in queries.queries()]
+    assert sorted(found) == list(range(1, 11))
+    assert set(queries.queries()) == set(queries.oracle_sql()) | set(COLUMNS)
