@@ -227,7 +227,7 @@ def _published(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 
 def _mart_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(_published(spark, sf_dir).read(MARTS, "fact_order_items"))
+    return rounded(_published(spark, sf_dir).read(MARTS, "fact_order_items").drop(pipeline.MONTH))
 
 
 def _summary_published(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,20 +1,26 @@
-"""Command line: ``build`` a warehouse from CSV extracts, ``check``, ``report`` or ``prune``.
+"""Command line: ``build`` a warehouse from CSV extracts, ``mount``, ``check``, ``report``, ``prune``.
 
     python -m starmart build --raw RAW --warehouse ROOT
     python -m starmart check --warehouse ROOT
+    python -m starmart check --rows TEST --warehouse ROOT
     python -m starmart report monthly-revenue --warehouse ROOT
 
-``check`` prints every result and exits with 1 when a check fails.
+``build`` ends with ``mount``, which makes the tables queryable by name in the
+session's catalog. ``check`` prints every result and exits with 1 when a check
+fails; with ``--rows`` it prints the offending rows of one check. Tables are
+printed in full, row by row, or written as CSV with ``--output``.
 """
 
+
 from __future__ import annotations
 
 import argparse
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from starmart.plans import pipeline, reports
+from starmart.plans import pipeline, quality, reports
+from starmart.plans.checks import CHECKS
 from starmart.plans.layers import MARTS, STAGING, Warehouse
 
 REPORTS = {
@@ -28,6 +34,16 @@ REPORTS = {
 }
 
 
+def show(table: DataFrame, output: str | None) -> None:
+    """All rows, in order: to a folder of CSV files, or printed as they arrive."""
+    if output:
+        table.write.option("header", True).csv(output)
+        return
+    print(*table.columns, sep="\t")
+    for row in table.toLocalIterator():
+        print(*row, sep="\t")
+
+
 def main(arguments: list[str] | None = None, spark: SparkSession | None = None) -> int:
     parser = argparse.ArgumentParser(prog="starmart")
     commands = parser.add_subparsers(dest="command", required=True)
@@ -42,12 +58,17 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
         metavar="NAME=FILE",
         help="file of one source, where the pattern does not fit",
     )
+    mount = commands.add_parser("mount", help="name the published tables in the catalog")
     check = commands.add_parser("check", help="run all data-quality checks")
+    check.add_argument("--rows", metavar="TEST", choices=[c.test for c in CHECKS],
+                       help="print the offending rows of this check instead")
     report = commands.add_parser("report", help="print a report over the published marts")
     report.add_argument("name", choices=REPORTS)
     prune = commands.add_parser("prune", help="delete builds older than the newest few")
     prune.add_argument("--keep", type=int, default=2)
-    for command in (build, check, report, prune):
+    for command in (check, report):
+        command.add_argument("--output", help="write rows here as CSV instead of printing them")
+    for command in (build, mount, check, report, prune):
         command.add_argument("--warehouse", required=True, help="root folder of the layers")
     options = parser.parse_args(arguments)
 
@@ -59,6 +80,12 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
             warehouse, options.raw, options.pattern, names, options.sep
         )
         pipeline.build(warehouse, raw)
+    if options.command in ("build", "mount"):
+        pipeline.mount(warehouse)
+        return 0
+    if options.command == "check" and options.rows:
+        chosen = next(c for c in CHECKS if c.test == options.rows)
+        show(quality.failures(chosen, pipeline.published(warehouse)), options.output)
         return 0
     if options.command == "check":
         # One row per check, however large the tables.
@@ -72,7 +99,8 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
                 print("deleted", layer, version)
         return 0
     function, names = REPORTS[options.name]
-    function(*[warehouse.read(MARTS, name) for name in names]).show(1000, truncate=False)
+    published = warehouse.snapshot()
+    show(function(*[published.read(MARTS, name) for name in names]), options.output)
     return 0
 
 

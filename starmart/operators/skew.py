@@ -10,9 +10,10 @@ partitioning.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 # A key is hot from a thousandth of all rows on, so no more than 1000 can be.
@@ -43,11 +44,30 @@ def find_hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS) -> HotK
     Only the sketch's few survivors reach the driver. They decide the shape of
     the plan, never its result, so an estimate is good enough.
     """
-    found = df.select(F.col(key).cast("string").alias("key")).agg(
+    return _hot(df.agg(*_sketch(key)).first().asDict(), min_rows)
+
+
+def observe_hot_keys(
+    df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS
+) -> tuple[DataFrame, Callable[[], HotKeys]]:
+    """``df``, and its hot keys once the first action on it has run."""
+    seen = Observation()
+    watched = df.observe(seen, *_sketch(key))
+    return watched, lambda: _hot(seen.get, min_rows)
+
+
+def _sketch(key: str) -> list[Column]:
+    text = F.col(key).cast("string")
+    return [
         F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("key").isNull()).alias("nulls"),
-        F.expr(f"approx_top_k(key, {MAX_HOT_KEYS}, {TRACKED_KEYS})").alias("top"),
-    ).first()
+        F.count_if(text.isNull()).alias("nulls"),
+        F.expr(
+            f"approx_top_k(CAST(`{key}` AS STRING), {MAX_HOT_KEYS}, {TRACKED_KEYS})"
+        ).alias("top"),
+    ]
+
+
+def _hot(found: Mapping, min_rows: int) -> HotKeys:
     share = max(found["total"] / MAX_HOT_KEYS, min_rows)
     values = tuple(
         row["item"] for row in found["top"] if row["item"] is not None and row["count"] >= share

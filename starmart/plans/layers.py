@@ -1,8 +1,9 @@
 """Where staged tables and marts live, and how readers find them.
 
 Every build writes a fresh folder per layer and then appends one row to a small
-publication log. A reader resolves the newest row first, so it sees either the
-old build or the new one in full, and no plan overwrites a path it reads.
+publication log, which names the current version of every layer. A reader resolves
+the newest row once, so it sees either the old build or the new one in full, over
+all layers, and no plan overwrites a path it reads.
 """
 
 from __future__ import annotations
@@ -11,9 +12,11 @@ import json
 import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
-from datetime import UTC, datetime
+from dataclasses import dataclass
+from datetime import UTC, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -21,109 +24,185 @@ STAGING = "staging"
 MARTS = "marts"
 # ``tables`` holds each table's schema as JSON, so that reading infers nothing.
 LOG_SCHEMA = (
-    "layer string, version string, tables map<string, string>, published_at timestamp_ntz"
+    "layers map<string, struct<version: string, tables: map<string, string>>>, "
+    "published_at timestamp_ntz"
 )
+VERSION_TIME = "%Y%m%dT%H%M%S%f"
+# An unpublished folder younger than this may belong to a build that still runs.
+RUNNING = timedelta(days=1)
+
+
+@dataclass(frozen=True)
+class Build:
+    """One version of a layer: the schema of each of its tables, as JSON."""
+
+    version: str
+    tables: Mapping[str, str]
+
+
+class Snapshot:
+    """The layers as one publication left them, whatever is published later."""
+
+    def __init__(self, warehouse: Warehouse, layers: Mapping[str, Build]) -> None:
+        self.warehouse = warehouse
+        self.layers = layers
+
+    def build(self, layer: str) -> Build:
+        if layer not in self.layers:
+            raise LookupError(f"nothing published for layer {layer!r}")
+        return self.layers[layer]
+
+    def path(self, layer: str, name: str) -> str:
+        return self.warehouse.path(layer, self.build(layer).version, name)
+
+    def read(self, layer: str, name: str) -> DataFrame:
+        tables = self.build(layer).tables
+        if name not in tables:
+            raise KeyError(f"{layer} has no table {name!r}; it has: {', '.join(tables)}")
+        fields = StructType.fromJson(json.loads(tables[name]))
+        return self.warehouse.spark.read.schema(fields).parquet(self.path(layer, name))
+
+    def read_layer(self, layer: str) -> dict[str, DataFrame]:
+        return {name: self.read(layer, name) for name in self.build(layer).tables}
 
 
 class Warehouse:
-    """Staging and mart layers as Parquet under one root folder."""
+    """Staging and mart layers as Parquet under one root folder; one build at a time."""
 
     def __init__(self, spark: SparkSession, root: str, prefix: str = "main_") -> None:
         self.spark = spark
         self.root = root.rstrip("/")
         self.prefix = prefix
 
-    def refresh(self, layer: str, tables: Mapping[str, DataFrame], writers: int = 4) -> str:
-        """Rebuild a layer in full and publish it; returns the new version.
-
-        The tables are independent jobs, so a few are written at a time. Nothing
-        is published unless every one of them succeeded.
+    def write(
+        self,
+        layer: str,
+        tables: Mapping[str, DataFrame],
+        partitions: Mapping[str, tuple[str, Column]] | None = None,
+        writers: int = 4,
+    ) -> Build:
+        """Write a layer in full, without publishing it.
+
+        The tables are independent jobs, so a few are written at a time.
+        ``partitions`` names a further column and its expression for tables that
+        are laid out by it; rows meet by its value first, large values split
+        over several tasks, so that a value's rows fill few files.
         """
-        version = f"{datetime.now(UTC):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+        version = f"{datetime.now(UTC):{VERSION_TIME}}-{uuid.uuid4().hex[:8]}"
+        laid_out = dict(tables)
+        for name, (column, value) in (partitions or {}).items():
+            laid_out[name] = tables[name].withColumn(column, value).hint("rebalance", column)
 
         def write(name: str) -> None:
-            tables[name].write.parquet(self._path(layer, version, name))
+            writer = laid_out[name].write
+            if name in (partitions or {}):
+                writer = writer.partitionBy(partitions[name][0])
+            writer.parquet(self.path(layer, version, name))
 
         with ThreadPoolExecutor(max_workers=writers) as pool:
-            list(pool.map(write, tables))
-        self._publish(layer, version, tables)
-        return version
+            list(pool.map(write, laid_out))
+        return Build(version, {name: t.schema.json() for name, t in laid_out.items()})
+
+    def publish(self, layers: Mapping[str, Build]) -> None:
+        """Make the given layers current, all at once; others stay as they are."""
+        current = {**self._layers(), **layers}
+        entry = F.create_map(*[
+            part
+            for name, build in current.items()
+            for part in (F.lit(name), F.struct(
+                F.lit(build.version).alias("version"),
+                F.create_map(*[F.lit(x) for item in build.tables.items() for x in item])
+                .alias("tables"),
+            ))
+        ])
+        now = F.lit(f"{datetime.now(UTC):%Y-%m-%d %H:%M:%S.%f}").cast("timestamp_ntz")
+        self.spark.range(0, 1, 1, 1).select(
+            entry.alias("layers"), now.alias("published_at")
+        ).write.mode("append").parquet(f"{self.root}/publications")
+
+    def refresh(self, layer: str, tables: Mapping[str, DataFrame]) -> str:
+        """Rebuild and publish one layer; nothing is published unless every table succeeds."""
+        build = self.write(layer, tables)
+        self.publish({layer: build})
+        return build.version
+
+    def snapshot(self) -> Snapshot:
+        """What is published now; read several tables through one snapshot."""
+        layers = self._layers()
+        if not layers:
+            raise LookupError(f"nothing published under {self.root}")
+        return Snapshot(self, layers)
 
     def read(self, layer: str, name: str) -> DataFrame:
-        version, schemas = self._current(layer)
-        if name not in schemas:
-            raise KeyError(f"{layer} has no table {name!r}; it has: {', '.join(schemas)}")
-        return self._table(layer, version, name, schemas[name])
+        return self.snapshot().read(layer, name)
 
     def read_layer(self, layer: str) -> dict[str, DataFrame]:
-        version, schemas = self._current(layer)
-        return {name: self._table(layer, version, name, s) for name, s in schemas.items()}
+        return self.snapshot().read_layer(layer)
 
-    def mount(self, layer: str) -> str:
-        """Point ``<prefix><layer>.<table>`` in the session's catalog at the current build."""
-        version, schemas = self._current(layer)
+    def mount(self, layer: str, snapshot: Snapshot | None = None) -> str:
+        """Point ``<prefix><layer>.<table>`` in the session's catalog at one publication."""
+        snapshot = snapshot or self.snapshot()
         database = f"{self.prefix}{layer}"
         self.spark.sql(
             f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.root}/{layer}'"
         )
-        for name in schemas:
+        for name in snapshot.build(layer).tables:
             self.spark.sql(
                 f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS "
-                f"SELECT * FROM parquet.`{self._path(layer, version, name)}`"
+                f"SELECT * FROM parquet.`{snapshot.path(layer, name)}`"
             )
         return database
 
-    def prune(self, layer: str, keep: int = 2) -> list[str]:
+    def prune(self, layer: str, keep: int = 2, running: timedelta = RUNNING) -> list[str]:
         """Delete old builds, keeping the newest ``keep`` for readers still on them.
 
-        Folders of builds that failed go too, once they are older than what is
-        kept. Returns the deleted versions.
+        Folders that were never published go once they are older than ``running``:
+        a younger one may still be written. Returns the deleted versions.
         """
         if keep < 1:
             raise ValueError("the current build must be kept")
-        newest = self._log(layer).orderBy(F.desc("published_at"), F.desc("version"))
-        kept = {row["version"] for row in newest.select("version").head(keep)}
-        if not kept:
+        newest = self._log().orderBy(F.desc("published_at")).select(
+            F.col("layers")[layer]["version"].alias("version")
+        )
+        published = list(dict.fromkeys(
+            row["version"] for row in newest.collect() if row["version"]
+        ))
+        if not published:
             return []
+        kept = set(published[:keep])
+        limit = f"{datetime.now(UTC) - running:{VERSION_TIME}}"
         hadoop = self.spark._jvm.org.apache.hadoop.fs
         folder = hadoop.Path(f"{self.root}/{layer}")
         files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
         deleted = []
         for status in files.listStatus(folder):
+            name = status.getPath().getName()
             # Versions begin with their time, so names sort by age.
-            if status.getPath().getName() < min(kept):
+            if name not in kept and (name in published or name < limit):
                 files.delete(status.getPath(), True)
-                deleted.append(status.getPath().getName())
+                deleted.append(name)
         return sorted(deleted)
 
-    def _path(self, layer: str, version: str, name: str) -> str:
+    def path(self, layer: str, version: str, name: str) -> str:
         return f"{self.root}/{layer}/{version}/{name}"
 
-    def _table(self, layer: str, version: str, name: str, schema: str) -> DataFrame:
-        fields = StructType.fromJson(json.loads(schema))
-        return self.spark.read.schema(fields).parquet(self._path(layer, version, name))
-
-    def _publish(self, layer: str, version: str, tables: Mapping[str, DataFrame]) -> None:
-        schemas = [F.lit(part) for name, t in tables.items() for part in (name, t.schema.json())]
-        entry = self.spark.range(0, 1, 1, 1).select(
-            F.lit(layer).alias("layer"),
-            F.lit(version).alias("version"),
-            F.create_map(*schemas).alias("tables"),
-            F.lit(f"{datetime.now(UTC):%Y-%m-%d %H:%M:%S.%f}")
-            .cast("timestamp_ntz")
-            .alias("published_at"),
-        )
-        entry.write.mode("append").parquet(f"{self.root}/publications")
-
-    def _log(self, layer: str) -> DataFrame:
-        log = self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/publications")
-        return log.filter(F.col("layer") == layer)
-
-    def _current(self, layer: str) -> tuple[str, dict[str, str]]:
-        newest = self._log(layer).orderBy(F.desc("published_at"), F.desc("version")).first()
+    def _log(self) -> DataFrame:
+        return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/publications")
+
+    def _layers(self) -> dict[str, Build]:
+        """The newest publication, or nothing where there is none yet."""
+        try:
+            newest = self._log().orderBy(F.desc("published_at")).first()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return {}
         if newest is None:
-            raise LookupError(f"nothing published for layer {layer!r} under {self.root}")
-        return newest["version"], dict(newest["tables"])
+            return {}
+        return {
+            name: Build(build["version"], dict(build["tables"]))
+            for name, build in newest["layers"].items()
+        }
 
 
 def create_views(tables: Mapping[str, DataFrame]) -> None:

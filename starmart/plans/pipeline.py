@@ -5,27 +5,29 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from starmart.operators.dimensions import dim_customer, dim_date, dim_product, dim_seller
 from starmart.operators.facts import fact_order_items, fact_orders
 from starmart.operators.rollups import order_metrics
-from starmart.operators.skew import find_hot_keys
+from starmart.operators.skew import HotKeys, observe_hot_keys
 from starmart.operators.staging import STAGED, stage_all
 from starmart.plans.checks import CHECKS
-from starmart.plans.layers import MARTS, STAGING, Warehouse
+from starmart.plans.layers import MARTS, STAGING, Snapshot, Warehouse
 from starmart.plans.quality import summarise
 from starmart.sources import read_all_raw
 
 
 def order_fact(
-    orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame
+    orders: DataFrame,
+    items: DataFrame,
+    payments: DataFrame,
+    reviews: DataFrame,
+    hot: HotKeys = HotKeys(),
 ) -> DataFrame:
-    """``fact_orders`` from staged tables, guarded against order ids that repeat often.
-
-    Looking for those is the one thing that runs here: a pass over the order ids.
-    """
+    """``fact_orders`` from staged tables. ``hot``: order ids that repeat very often."""
     metrics = order_metrics(items, payments, reviews, known_orders_only=True)
-    return fact_orders(orders, metrics, find_hot_keys(orders, "order_id"))
+    return fact_orders(orders, metrics, hot)
 
 
 # Marts and the staged tables each reads. No mart reads another.
@@ -41,6 +43,10 @@ MODELS = {
     "dim_date": (dim_date, ("stg_orders",)),
 }
 
+# Facts are laid out by the month of purchase, so that a month's report reads a month.
+MONTH = "order_month"
+FACTS = ("fact_orders", "fact_order_items")
+
 # The order metrics stay a view among the marts; a catalog view needs SQL text.
 ORDER_METRICS_VIEW = """
 SELECT order_id,
@@ -66,10 +72,14 @@ GROUP BY order_id, if(order_id IS NULL, child, NULL)
 """
 
 
-def model(staged: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Dimensions and facts from staged tables."""
+def model(
+    staged: Mapping[str, DataFrame], hot: HotKeys = HotKeys()
+) -> dict[str, DataFrame]:
+    """Dimensions and facts from staged tables; making the plans runs no job."""
     return {
-        name: function(*[staged[source] for source in sources])
+        name: function(
+            *[staged[source] for source in sources], *([hot] if function is order_fact else [])
+        )
         for name, (function, sources) in MODELS.items()
     }
 
@@ -87,26 +97,40 @@ def read_staging_sources(
 
 
 def build(warehouse: Warehouse, raw: Mapping[str, DataFrame]) -> None:
-    """Rebuild and publish both layers from raw tables.
+    """Rebuild both layers from raw tables and publish them as one.
 
     Staged tables are written first: the text is parsed once instead of once per
     mart and check, and a lost executor re-reads columns rather than extracts.
+    Order ids that repeat very often are noticed in passing.
     """
-    warehouse.refresh(STAGING, stage_all(raw))
-    warehouse.refresh(MARTS, model(warehouse.read_layer(STAGING)))
+    staged = stage_all(raw)
+    staged["stg_orders"], hot_keys = observe_hot_keys(staged["stg_orders"], "order_id")
+    staging = warehouse.write(STAGING, staged)
+    written = Snapshot(warehouse, {STAGING: staging}).read_layer(STAGING)
+    month = F.expr("order_date_sk div 100").cast("int")
+    marts = warehouse.write(
+        MARTS, model(written, hot_keys()), {name: (MONTH, month) for name in FACTS}
+    )
+    warehouse.publish({STAGING: staging, MARTS: marts})
 
 
 def mount(warehouse: Warehouse) -> None:
     """Make the published tables, and the order metrics view, queryable by name."""
-    staging, marts = warehouse.mount(STAGING), warehouse.mount(MARTS)
+    snapshot = warehouse.snapshot()
+    staging, marts = (warehouse.mount(layer, snapshot) for layer in (STAGING, MARTS))
     view = ORDER_METRICS_VIEW.format(staging=f"`{staging}`")
     warehouse.spark.sql(f"CREATE OR REPLACE VIEW `{marts}`.int_order_metrics AS {view}")
 
 
+def published(warehouse: Warehouse) -> dict[str, DataFrame]:
+    """Every staged table and mart of one publication."""
+    snapshot = warehouse.snapshot()
+    return {**snapshot.read_layer(STAGING), **snapshot.read_layer(MARTS)}
+
+
 def check(warehouse: Warehouse) -> DataFrame:
     """Result of every check on what is published."""
-    tables = {**warehouse.read_layer(STAGING), **warehouse.read_layer(MARTS)}
-    return summarise(warehouse.spark, CHECKS, tables)
+    return summarise(warehouse.spark, CHECKS, published(warehouse))
 
 
 def run(warehouse: Warehouse, raw: Mapping[str, DataFrame]) -> DataFrame:
