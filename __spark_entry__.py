@@ -165,7 +165,7 @@ def _csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw(spark, base, "orders")
 
 
-def _write_reviews(spark: SparkSession, sf_dir: str, base: str) -> None:
+def _reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews whose comments are whole documents, line breaks and quotes included."""
     nothing = F.lit(None).cast("string")
     reviews = adapters.load(spark, sf_dir, "documents").select(
@@ -174,16 +174,16 @@ def _write_reviews(spark: SparkSession, sf_dir: str, base: str) -> None:
         F.col("text").alias("review_comment_message"),
     )
     columns = RAW_SOURCES["order_reviews"].columns
-    full = reviews.select(*[c if c in reviews.columns else nothing.alias(c) for c in columns])
-    write_raw(full, f"{base}/order_reviews.csv")
+    return reviews.select(*[c if c in reviews.columns else nothing.alias(c) for c in columns])
+
+
+COMMENTS = ("review_id", "review_comment_title", "review_comment_message")
 
 
 def _free_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch(spark)
-    _write_reviews(spark, sf_dir, base)
-    return read_raw(spark, base, "order_reviews").select(
-        "review_id", "review_comment_title", "review_comment_message"
-    )
+    write_raw(_reviews(spark, sf_dir), f"{base}/order_reviews.csv")
+    return read_raw(spark, base, "order_reviews").select(*COMMENTS)
 
 
 def _metrics_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,11 +213,17 @@ def _dimension_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stitched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = scratch(spark)
-    _write_reviews(spark, sf_dir, base)
-    return read_stitched(spark, f"{base}/order_reviews.csv").select(
-        "review_id", "review_comment_title", "review_comment_message"
-    )
+    """The same from splits of 64 KB, far smaller than a file, that cut records anywhere."""
+    base, name = scratch(spark), "spark.sql.files.maxPartitionBytes"
+    write_raw(_reviews(spark, sf_dir), f"{base}/order_reviews.csv")
+    before = spark.conf.get(name)
+    spark.conf.set(name, "65536b")
+    try:
+        stitched = read_stitched(spark, f"{base}/order_reviews.csv").select(*COMMENTS)
+        stitched.write.parquet(f"{base}/stitched")
+    finally:
+        spark.conf.set(name, before)
+    return spark.read.schema(stitched.schema).parquet(f"{base}/stitched")
 
 
 def _published(spark: SparkSession, sf_dir: str) -> Warehouse:

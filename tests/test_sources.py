@@ -1,12 +1,13 @@
 """Reading and writing CSV extracts."""
 
+import bz2
 import gzip
 import random
 
 import pytest
 
 from starmart.sources import RAW_SOURCES, read_all_raw, read_raw, source_path, write_raw
-from starmart.sources.raw_csv import _split_bytes, read_stitched
+from starmart.sources.raw_csv import read_stitched
 from tests.conftest import failing
 from tests.fixtures import CSV, write_sources
 
@@ -119,38 +120,56 @@ def test_stitched_records_match_whatever_the_splits(spark, settings, tmp_path, s
     assert sorted(map(tuple, got.collect())) == sorted(expected)
 
 
-def test_large_free_text_files_are_stitched(spark, settings, tmp_path):
-    rows, text = _random_reviews(7, 200)
-    base = write_sources(tmp_path, order_reviews=text)
-    settings(
-        spark__sql__files__maxPartitionBytes="2000b", spark__sql__files__openCostInBytes="1"
-    )
-    reviews = read_raw(spark, base, "order_reviews")
-    assert "Window" in reviews._jdf.queryExecution().executedPlan().toString()
-    got = reviews.select("review_id", "review_comment_message")
-    assert sorted(map(tuple, got.collect())) == sorted(rows)
+# Stray quotes in unquoted and behind quoted fields, bare carriage returns, mixed line ends,
+# quotes right before and after line breaks, empty quoted fields.
+ODD = (
+    'a,b,c\n1,5" tall,x\r2,"q ""\r\n"" r",y\r\n3,"",z"z"\n4,"""\n""",\r5,p"q,"r\ns"\n\n\r\r\n'
+    '6,"end",""\r\n7,"\r",8" and 9"\n8,"a""b\n,\n""","\n"\r9,x,y'
+)
+ODD_ROWS = [
+    ("1", '5" tall', "x"), ("2", 'q "\r\n" r', "y"), ("3", None, 'z"z"'), ("4", '"\n"', None),
+    ("5", 'p"q', "r\ns"), ("6", "end", None), ("7", "\r", '8" and 9"'), ("8", 'a"b\n,\n"', "\n"),
+    ("9", "x", "y"),
+]
 
 
-@pytest.mark.parametrize(
-    ("text", "size"), [("4096", 4096), ("4096b", 4096), ("128MB", 1 << 27), ("2g", 2 << 30)]
-)
-def test_split_size_in_any_unit(spark, settings, text, size):
-    settings(spark__sql__files__maxPartitionBytes=text)
-    assert _split_bytes(spark) == size
+@pytest.mark.parametrize("split", [1, 2, 3, 5, 7, 11, 13, 40, 1000])
+def test_odd_text_is_read_alike_at_any_split(spark, settings, tmp_path, split):
+    path = tmp_path / "odd.csv"
+    path.write_text(ODD, newline="")
+    settings(
+        spark__sql__files__maxPartitionBytes=f"{split}b", spark__sql__files__openCostInBytes="1"
+    )
+    assert sorted(map(tuple, read_stitched(spark, str(path)).collect())) == ODD_ROWS
 
 
-def test_compressed_free_text_is_read_whole(spark, settings, tmp_path):
+@pytest.mark.parametrize("split", ["700b", "134217728b"])
+@pytest.mark.parametrize("end", ["csv", "csv.gz", "csv.bz2"])
+def test_sources_are_read_alike_at_any_size_and_compression(spark, settings, tmp_path, split, end):
     rows, text = _random_reviews(3, 300)
     folder = tmp_path / "order_reviews.csv"
     folder.mkdir()
-    (folder / "part.csv.gz").write_bytes(gzip.compress(text.encode()))
-    settings(spark__sql__files__maxPartitionBytes="500")
+    pack = {"csv": bytes, "csv.gz": gzip.compress, "csv.bz2": bz2.compress}[end]
+    (folder / f"part.{end}").write_bytes(pack(text.encode()))
+    settings(
+        spark__sql__files__maxPartitionBytes=split, spark__sql__files__openCostInBytes="1"
+    )
     got = read_raw(spark, str(tmp_path), "order_reviews")
-    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
     got = got.select("review_id", "review_comment_message")
     assert sorted(map(tuple, got.collect())) == sorted(rows)
 
 
+@pytest.mark.parametrize("split", ["1000000b", "2800000b", "134217728b"])
+def test_large_records_load_or_fail_alike_at_any_split(spark, settings, tmp_path, split):
+    path = tmp_path / "large.csv"
+    path.write_text('a,b\n1,"' + "filler\n" * 1_700_000 + '"\n2,x\n')
+    settings(spark__sql__files__maxPartitionBytes=split)
+    got = read_stitched(spark, str(path)).selectExpr("a", "length(b) AS size").collect()
+    assert sorted(map(tuple, got)) == [("1", 11_900_000), ("2", 1)]
+    with failing("oversized record"):
+        read_stitched(spark, str(path), max_record_bytes=5_000_000).collect()
+
+
 def test_byte_order_mark_and_blank_lines(spark, tmp_path):
     path = tmp_path / "marked.csv"
     path.write_text('\ufeffa,b\r\n1,"x\r\ny"\r\n\r\n2,z\r\n', newline="", encoding="utf-8")
@@ -168,9 +187,10 @@ def test_stitched_files_must_share_a_header(spark, tmp_path):
         read_stitched(spark, str(folder)).collect()
 
 
-def test_unbalanced_quote_stops_before_a_file_becomes_one_record(spark, settings, tmp_path):
+@pytest.mark.parametrize("split", ["4000000b", "134217728b"])
+def test_unbalanced_quote_stops_before_a_file_becomes_one_record(spark, settings, tmp_path, split):
     path = tmp_path / "open.csv"
     path.write_text('a,b\n1,"never closed\n' + "filler\n" * 2_000_000)
-    settings(spark__sql__files__maxPartitionBytes="4000000b")
+    settings(spark__sql__files__maxPartitionBytes=split)
     with failing("unbalanced quote"):
-        read_stitched(spark, str(path)).collect()
+        read_stitched(spark, str(path), max_record_bytes=2_000_000).collect()
