@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
 import importlib
 import importlib.util
 import os
+import shutil
 import sys
 import tempfile
 import uuid
@@ -61,10 +64,18 @@ def scratch(spark: SparkSession) -> str:
     if not shared:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.gettempdir()
+        shared = _own_folder()
     return f"{shared.rstrip('/')}/starmart-{uuid.uuid4().hex}"
 
 
+@functools.cache
+def _own_folder() -> str:
+    """For one machine and no shared folder: a temporary one that ends with the process."""
+    folder = tempfile.mkdtemp(prefix="starmart-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 # ---- tables -----------------------------------------------------------------
 
 
@@ -156,6 +167,28 @@ def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.summarise(spark, CHECKS, Tables(spark, sf_dir))
 
 
+def _mixed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks whose two sides have different types: text, doubles and integers."""
+    number = F.col("l_linenumber")
+    lines = adapters.load(spark, sf_dir, "lineitem").select(
+        F.lpad((F.col("l_partkey") + number).cast("string"), 12, "0").alias("part"),
+        (F.col("l_suppkey") + F.when(number == 7, 0.5).otherwise(0.0)).alias("supplier"),
+        number.cast("double").alias("line"),
+    )
+    tables = {
+        "lines": lines,
+        "parts": adapters.load(spark, sf_dir, "part").select("p_partkey"),
+        "suppliers": adapters.load(spark, sf_dir, "supplier").select("s_suppkey"),
+    }
+    checks = [
+        quality.relationships("lines", "part", "parts", "p_partkey"),
+        quality.relationships("lines", "supplier", "suppliers", "s_suppkey"),
+        quality.accepted_values("lines", "line", [1, 2, "3"]),
+        quality.unique("lines", "part"),
+    ]
+    return quality.summarise(spark, checks, tables)
+
+
 # ---- sources, sinks and layers ----------------------------------------------
 
 
@@ -467,6 +500,7 @@ def queries() -> dict[str, Query]:
         quality.relationships("stg_order_payments", "order_id", "stg_orders", "order_id")
     )
     found["dq_value_non_negative"] = _value_non_negative
+    found["dq_mixed_types"] = _mixed_types
     found["dq_summary"] = _summary
     found["dq_summary_published"] = _summary_published
 

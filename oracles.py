@@ -291,6 +291,22 @@ def oracle_sql() -> dict[str, str]:
                          + sum(freight_value) AS total_order_value
               FROM i JOIN o USING (order_id) GROUP BY i.order_id)
         WHERE total_order_value < 0""")
+    sql["dq_mixed_types"] = """
+        WITH l AS (SELECT l_partkey + l_linenumber AS part, l_linenumber AS line,
+                          CASE l_linenumber WHEN 7 THEN 0.5 ELSE l_suppkey END AS supplier
+                   FROM lineitem),
+        n AS (
+            SELECT 'relationships_lines_part__parts_p_partkey' AS test, 'part' AS "column",
+                   (SELECT count(*) FROM l WHERE part NOT IN (SELECT p_partkey FROM part))
+                       AS failures
+            UNION ALL SELECT 'relationships_lines_supplier__suppliers_s_suppkey', 'supplier',
+                   (SELECT count(*) FROM l
+                    WHERE supplier NOT IN (SELECT s_suppkey FROM supplier))
+            UNION ALL SELECT 'accepted_values_lines_line', 'line',
+                   (SELECT count(DISTINCT line) FROM l WHERE line NOT IN (1, 2, 3))
+            UNION ALL SELECT 'unique_lines_part', 'part',
+                   (SELECT count(*) FROM (SELECT part FROM l GROUP BY part HAVING count(*) > 1)))
+        SELECT test, 'lines' AS "table", "column", failures, failures = 0 AS passed FROM n"""
     sql["dq_summary"] = _with(list(dict.fromkeys(NAMES.values())), _summary())
     sql["dq_summary_published"] = sql["dq_summary"]
 

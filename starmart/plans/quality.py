@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 
 Tables = Mapping[str, DataFrame]
 
+INTEGERS = {"tinyint", "smallint", "int", "bigint"}
+FLOATS = {"float", "double"}
+TIMES = ("date", "timestamp_ntz", "timestamp")
+
 
 @dataclass(frozen=True)
 class Check:
@@ -55,11 +59,48 @@ def no_rows_where(name: str, table: str, column: str, predicate: str) -> Check:
     return Check("singular", table, column, predicate=predicate, name=name)
 
 
+def common_type(left: str, right: str) -> str:
+    """The type in which keys of two types are compared.
+
+    Numbers meet as double if one of them is, else as bigint or decimal; a number and
+    text meet as the number, dates and times as the finer one, anything else as text.
+    """
+    pair = {left, right}
+    if len(pair) == 1:
+        return left
+    numbers = [t for t in pair if t in INTEGERS or t in FLOATS or t.startswith("decimal")]
+    if len(numbers) == 2:
+        if pair & FLOATS:
+            return "double"
+        return "decimal(38,10)" if any(t.startswith("decimal") for t in pair) else "bigint"
+    if len(numbers) == 1 and "string" in pair:
+        return common_type(numbers[0], "double" if numbers[0] in FLOATS else "bigint")
+    times = [t for t in TIMES if t in pair]
+    return times[-1] if len(times) == 2 else "string"
+
+
+def key_text(value: str, own: str, wanted: str) -> str:
+    """SQL for a key's text, equal for keys that are equal in the wanted type.
+
+    Text that is no number is a key of its own; -0.0 is 0.0.
+    """
+    zero = " + 0D" if wanted in FLOATS else ""
+    if own == wanted:
+        return f"CAST({value}{zero} AS STRING)"
+    cast = f"CAST(TRY_CAST({value} AS {wanted}){zero} AS STRING)"
+    return f"coalesce({cast}, concat('?', CAST({value} AS STRING)))"
+
+
+def kind_of(tables: Tables, table: str, column: str) -> str:
+    return tables[table].schema[column].dataType.simpleString()
+
+
 def failures(check: Check, tables: Tables) -> DataFrame:
     """The offending rows of one check.
 
     not_null and singular give whole rows, unique and accepted_values each value
-    with its number of rows, relationships one row per orphaned child row.
+    with its number of rows, relationships one row per orphaned child row. Keys of
+    different types are compared in their common type, listed values in the column's.
     """
     table = tables[check.table]
     column = F.col(check.column)
@@ -78,13 +119,23 @@ def failures(check: Check, tables: Tables) -> DataFrame:
         return (
             table.groupBy(column.alias("value_field"))
             .agg(F.count(F.lit(1)).alias("n_records"))
-            .filter(~F.col("value_field").isin(*check.values))
+            .filter(~F.col("value_field").isin(
+                *[F.lit(v).cast(table.schema[check.column].dataType) for v in check.values]
+            ))
         )
     if check.kind == "relationships":
         # Two plain shuffles at most: adaptive execution can split a hot child key.
         child = table.filter(column.isNotNull()).select(column.alias("from_field"))
         parent = tables[check.parent].select(F.col(check.parent_column).alias("to_field"))
-        return child.join(parent, F.col("from_field") == F.col("to_field"), "left_anti")
+        own = kind_of(tables, check.table, check.column)
+        other = kind_of(tables, check.parent, check.parent_column)
+        equal = F.col("from_field") == F.col("to_field")
+        if own != other:
+            wanted = common_type(own, other)
+            equal = F.expr(
+                f"{key_text('from_field', own, wanted)} = {key_text('to_field', other, wanted)}"
+            )
+        return child.join(parent, equal, "left_anti")
     raise ValueError(f"unknown check kind {check.kind!r}")
 
 
@@ -100,7 +151,7 @@ def summarise(spark: SparkSession, checks: Iterable[Check], tables: Tables) -> D
     one shuffle, and every check is then read off the counts.
     """
     checks = list(checks)
-    ballots = _Ballots(checks)
+    ballots = _Ballots(checks, tables)
     votes = None
     for table in dict.fromkeys(ballots.tables):
         voted = ballots.cast(table, tables[table])
@@ -140,27 +191,36 @@ def summarise(spark: SparkSession, checks: Iterable[Check], tables: Tables) -> D
 
 
 class _Ballots:
-    """The ballots each table casts, and how a check reads their counts, as SQL."""
+    """The ballots each table casts, and how a check reads their counts, as SQL.
+
+    A keyed column is (table, column, type its key is compared in): a column that
+    refers to one of another type casts one ballot for that and one for itself.
+    """
 
-    def __init__(self, checks: list[Check]) -> None:
+    def __init__(self, checks: list[Check], tables: Tables) -> None:
+        self.kind = {
+            column: kind_of(tables, *column)
+            for c in checks
+            for column in [(c.table, c.column)] + [(c.parent, c.parent_column)] * bool(c.parent)
+            if c.kind != "singular"
+        }
         # Columns whose value matters: unique, accepted_values, both ends of a reference.
-        valued = [c for c in checks if c.kind not in ("not_null", "singular")]
-        references = [c for c in valued if c.kind == "relationships"]
+        references = [c for c in checks if c.kind == "relationships"]
+        valued = [c for c in checks if c.kind in ("unique", "accepted_values")]
         self.keyed = dict.fromkeys(
-            [(c.table, c.column) for c in valued]
-            + [(c.parent, c.parent_column) for c in references]
+            [key for c in checks if c in references for key in self._ends(c)]
+            + [self._own(c) for c in valued]
         )
-        self.domain = {column: n for n, column in enumerate(self.keyed)}
+        self.domain = {key: n for n, key in enumerate(self.keyed)}
         for check in references:
-            child = self.domain[check.table, check.column]
-            parent = self.domain[check.parent, check.parent_column]
-            for column, domain in self.domain.items():
+            child, parent = (self.domain[key] for key in self._ends(check))
+            for key, domain in self.domain.items():
                 if domain == child:
-                    self.domain[column] = parent
-        self.role: dict[tuple[str, str], int] = {}
+                    self.domain[key] = parent
+        self.role: dict[tuple[str, str, str], int] = {}
         used: dict[int, int] = {}
-        for column, domain in self.domain.items():
-            self.role[column] = used[domain] = used.get(domain, -1) + 1
+        for key, domain in self.domain.items():
+            self.role[key] = used[domain] = used.get(domain, -1) + 1
         self.width = 1 + max(self.role.values(), default=0)
 
         # Per table the conditions of its row checks; their order is their flag's place.
@@ -170,7 +230,7 @@ class _Ballots:
                 self.flags.setdefault(check.table, []).append(condition)
         self.flag_domain = {t: len(self.domain) + n for n, t in enumerate(self.flags)}
 
-        listed = [self.domain[c.table, c.column] for c in checks if c.kind == "accepted_values"]
+        listed = [self.domain[self._own(c)] for c in checks if c.kind == "accepted_values"]
         listed = sorted({*listed, *self.flag_domain.values()})
         kept = f"domain IN ({', '.join(map(str, listed))})" if listed else "false"
         self.listed_key = f"if({kept}, key, CAST(NULL AS STRING))"
@@ -182,21 +242,21 @@ class _Ballots:
             self.measures[f"values{role}"] = f"if(key IS NOT NULL AND n{role} > 0, 1, 0)"
             self.measures[f"repeated{role}"] = f"if(key IS NOT NULL AND n{role} > 1, 1, 0)"
         for check in references:
-            child, parent = self._roles(check)
+            child, parent = (self.role[key] for key in self._ends(check))
             self.measures[f"orphans{child}_{parent}"] = (
                 f"if(key IS NOT NULL AND n{parent} = 0, n{child}, 0)"
             )
 
     @property
     def tables(self) -> list[str]:
-        return [table for table, _ in self.role] + list(self.flags)
+        return [table for table, _, _ in self.role] + list(self.flags)
 
     def cast(self, table: str, rows: DataFrame) -> DataFrame:
         """A table's ballots: one per keyed column, one more from rows that fail a row check."""
         keyed = ", ".join(
-            _ballot(self.domain[table, column], role, f"CAST(`{column}` AS STRING)")
-            for (owner, column), role in self.role.items()
-            if owner == table
+            _ballot(self.domain[key], role, key_text(f"`{key[1]}`", self.kind[key[:2]], key[2]))
+            for key, role in self.role.items()
+            if key[0] == table
         )
         if table not in self.flags:
             return rows.selectExpr(f"inline(array({keyed}))")
@@ -213,32 +273,38 @@ class _Ballots:
         if condition := self._row_condition(check):
             place = 1 + self.flags[check.table].index(condition)
             return self.flag_domain[check.table], f"if(substr(value, {place}, 1) = '1', rows0, 0)"
-        own = (check.table, check.column)
+        if check.kind == "relationships":
+            child, parent = self._ends(check)
+            return self.domain[child], f"orphans{self.role[child]}_{self.role[parent]}"
+        own = self._own(check)
         role = self.role[own]
         if check.kind == "not_null":
             failed = f"nulls{role}"
         elif check.kind == "unique":
             failed = f"repeated{role}"
         elif check.kind == "accepted_values":
-            allowed = ", ".join(map(_literal, check.values))
+            kind = own[2]
+            allowed = ", ".join(
+                key_text(f"CAST({_literal(v)} AS {kind})", kind, kind) for v in check.values
+            )
             failed = f"if(value NOT IN ({allowed}), values{role}, 0)"
-        elif check.kind == "relationships":
-            failed = "orphans{}_{}".format(*self._roles(check))
         else:
             raise ValueError(f"unknown check kind {check.kind!r}")
         return self.domain[own], failed
 
-    def _roles(self, check: Check) -> tuple[int, int]:
-        return (
-            self.role[check.table, check.column],
-            self.role[check.parent, check.parent_column],
-        )
+    def _own(self, check: Check) -> tuple[str, str, str]:
+        return check.table, check.column, self.kind[check.table, check.column]
+
+    def _ends(self, check: Check) -> tuple[tuple[str, str, str], tuple[str, str, str]]:
+        child, parent = (check.table, check.column), (check.parent, check.parent_column)
+        wanted = common_type(self.kind[child], self.kind[parent])
+        return (*child, wanted), (*parent, wanted)
 
     def _row_condition(self, check: Check) -> str:
         """The failing condition of a check that needs no value, else nothing."""
         if check.kind == "singular":
             return f"({check.predicate})"
-        if check.kind == "not_null" and (check.table, check.column) not in self.keyed:
+        if check.kind == "not_null" and self._own(check) not in self.keyed:
             return f"`{check.column}` IS NULL"
         return ""
 

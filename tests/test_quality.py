@@ -4,6 +4,7 @@ from collections import Counter
 
 import pytest
 
+from starmart.plans import quality
 from starmart.plans.checks import CHECKS
 from starmart.plans.quality import (
     accepted_values,
@@ -103,3 +104,43 @@ def test_the_registered_checks():
         "fact_order_items": 11,
     }
     assert len({check.test for check in CHECKS}) == 64
+
+
+KEYS = {
+    "int": "CAST(id AS INT)", "bigint": "id", "double": "CAST(id AS DOUBLE)",
+    "string": "if(id % 3 = 0, concat('0', id), CAST(id AS STRING))",
+    "decimal": "CAST(id AS DECIMAL(10, 2))",
+    "date": "date_add(DATE'2020-01-01', CAST(id AS INT))",
+    "timestamp_ntz": "CAST(date_add(DATE'2020-01-01', CAST(id AS INT)) AS TIMESTAMP_NTZ)",
+}
+NUMERIC = ["int", "bigint", "double", "string", "decimal"]
+
+
+@pytest.mark.parametrize(
+    ("child", "parent"),
+    [(a, b) for a in NUMERIC for b in NUMERIC]
+    + [("date", "timestamp_ntz"), ("timestamp_ntz", "date"), ("date", "string")],
+)
+def test_keys_of_different_types_count_as_their_rows(spark, child, parent):
+    odd = spark.sql("SELECT 'none' AS k UNION ALL SELECT NULL") if child == "string" else None
+    children = spark.range(12).selectExpr(f"{KEYS[child]} AS k")
+    if odd is not None:
+        children = children.unionAll(odd)
+    made = {"c": children, "p": spark.range(9).selectExpr(f"{KEYS[parent]} AS k")}
+    checks = [
+        quality.relationships("c", "k", "p", "k"), quality.unique("c", "k"),
+        quality.not_null("c", "k"), quality.unique("p", "k"),
+    ]
+    if child in NUMERIC:
+        checks.append(quality.accepted_values("c", "k", [1, 2, 4]))
+    found = {r.test: r.failures for r in quality.summarise(spark, checks, made).collect()}
+    assert found == {c.test: quality.failures(c, made).count() for c in checks}
+    if child in NUMERIC and parent in NUMERIC and child != "string" and parent != "string":
+        assert found[checks[0].test] == 3
+
+
+def test_negative_zero_is_zero(spark):
+    made = {"c": spark.sql("SELECT -0.0D AS k"), "p": spark.sql("SELECT 0.0D AS k")}
+    check = quality.relationships("c", "k", "p", "k")
+    assert quality.summarise(spark, [check], made).first().failures == 0
+    assert quality.failures(check, made).count() == 0
