@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import sys
 import tempfile
 import uuid
@@ -29,10 +32,18 @@ def scratch(spark: SparkSession, name: str) -> str:
     if not shared:
         if not spark.conf.get("spark.master", "local").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = f"file://{tempfile.gettempdir()}/starmart-scratch"
+        shared = _own_folder()
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@functools.cache
+def _own_folder() -> str:
+    """For one machine and no shared folder: a temporary one that ends with the process."""
+    folder = tempfile.mkdtemp(prefix="starmart-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return f"file://{folder}"
+
+
 def written(df: DataFrame, path: str) -> DataFrame:
     """Write a table and read it back: later steps survive lost executors without its lineage."""
     df.write.parquet(path)
