@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -44,7 +45,7 @@ MARKS = (
     "doc_id bigint, n_words bigint, whole bigint, whole2 bigint, kept_sha256 string, "
     "anchors array<bigint>"
 )
-RUNS = "doc_id bigint, version int, place int, run bigint, run2 bigint"
+RUNS = "doc_id bigint, version int, run bigint, run2 bigint, place int, more array<int>"
 CLEANED = "doc_id bigint, whole bigint, whole2 bigint, n_removed bigint, cut_sha256 string"
 # One character per word: hash modulo PLANE, past the surrogates.
 PLANE, SURROGATES = 0x100000, 0xD800
@@ -114,7 +115,10 @@ def compile_phrases(found: Words, wanted: np.ndarray, phrase: int) -> ahocorasic
 def locate(
     batches: Iterator[pa.RecordBatch], window: int, phrase: int
 ) -> Iterator[pa.RecordBatch]:
-    """The hash of every run around an occurrence of a phrase of the batch's automaton."""
+    """Every text's runs around occurrences of phrases of the batch's automaton.
+
+    A run that a text repeats is one row, with its first place and the further ones.
+    """
     for batch in batches:
         text, wanted = batch.column("text"), batch.column("anchors")
         for a, b in slices(text):
@@ -136,13 +140,22 @@ def locate(
                     covered[min(begin, high - window) + 1] -= 1
             at = np.flatnonzero(np.cumsum(covered)[:-1] > 0)
             row = np.searchsorted(found.first, at, side="right") - 1
-            take = pa.array(row)
-            runs = [window_hashes(found.hashes, window, base)[at] for base in WINDOW_BASES]
+            one, two = (window_hashes(found.hashes, window, base)[at] for base in WINDOW_BASES)
+            order = np.lexsort((at, two, one, row))
+            at, row, one, two = at[order], row[order], one[order], two[order]
+            new = np.ones(len(at), bool)
+            new[1:] = (row[1:] != row[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+            places = (at - found.first[row]).astype(np.int32)
+            counts = np.diff(np.flatnonzero(np.concatenate((new, [True]))))
+            ends = np.concatenate(([0], np.cumsum(counts - 1))).astype(np.int32)
+            more = pa.ListArray.from_arrays(pa.array(ends), pa.array(places[~new]))
+            more = pa.compute.if_else(pa.array(counts > 1), more, pa.scalar(None, more.type))
+            take = pa.array(row[new])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").slice(a, b - a).take(take),
                  batch.column("version").slice(a, b - a).take(take),
-                 pa.array((at - found.first[row]).astype(np.int32)), *map(signed, runs)],
-                ["doc_id", "version", "place", "run", "run2"],
+                 signed(one[new]), signed(two[new]), pa.array(places[new]), more],
+                ["doc_id", "version", "run", "run2", "place", "more"],
             )
 
 
@@ -218,9 +231,15 @@ def remove_repeats(docs: DataFrame, window: int = 50, phrase: int = 25) -> DataF
     owners = runs.groupBy("run", "run2").agg(
         F.min("doc_id").alias("low"), F.max("doc_id").alias("high")
     )
-    owners = owners.where("low < high").select("run", "run2", "low")
+    # Written, so that both sides of the join are plain shuffles, whose hot runs can be split.
+    owners = written(
+        owners.where("low < high").select("run", "run2", "low"), f"{folder}/owners"
+    )
     repeats = runs.join(owners, ["run", "run2"]).where("doc_id > low")
-    places = repeats.groupBy("doc_id", "version").agg(F.collect_set("place").alias("places"))
+    every = F.concat(F.array("place"), F.coalesce("more", F.array().cast("array<int>")))
+    places = repeats.groupBy("doc_id", "version").agg(
+        F.array_distinct(F.flatten(F.collect_set(every))).alias("places")
+    )
     cleaned = held.join(places, ["doc_id", "version"])
     cleaned = cleaned.mapInArrow(lambda it: cut(it, window), CLEANED)
     return _assembled(marks, first, cleaned.dropDuplicates(["doc_id", "whole", "whole2"]))
