@@ -38,7 +38,7 @@ HOT_SHARE = 2_000
 TOKEN_BITS = 48
 PART_TOKENS = 2_000_000
 BATCH_ROWS = 1 << 16
-BATCH_TOKENS = 6_000_000
+BATCH_TOKENS = 2_500_000
 HUB_ROUNDS = 1
 HOT_RANK = np.uint32(2**32 - 1)
 
@@ -446,9 +446,15 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
 
     grouped = filled.join(labels.withColumnRenamed("node", "class"), "class", "left")
     grouped = grouped.withColumn("label", F.coalesce("label", "class"))
-    lowest = grouped.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    lowest = grouped.groupBy("label").agg(
+        F.min("doc_id").alias("lowest"), F.count(F.lit(1)).alias("rows")
+    )
+    # Written, so that both sides of the join are plain shuffles, whose hot groups can be split.
+    lowest = written(lowest.where("rows > 1").select("label", "lowest"), f"{folder}/lowest")
+    several = F.col("lowest").isNotNull()
+    component = F.when(several, F.col("lowest")).otherwise(F.col("doc_id")).alias("component_id")
     columns = ["doc_id", "n_shingles", "component_id"]
-    return grouped.join(lowest, "label").select(*columns).unionAll(
+    return grouped.join(lowest, "label", "left").select(*columns[:2], component).unionAll(
         sets.where("n_shingles = 0").select(*columns[:2], F.col("doc_id").alias("component_id"))
     )
 
