@@ -17,8 +17,8 @@ from pyspark.sql.window import Window
 # A word is a maximal run of anything but blanks, tabs and line ends.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
-# At most so many 64-bit ids (16 MB) are broadcast; more are joined by shuffling.
-BROADCAST_IDS = 2_000_000
+# At most so many 64-bit ids (some 64 MB as a hash table) are broadcast; more are shuffled.
+BROADCAST_IDS = 1_000_000
 
 
 def by_value(module: str) -> None:

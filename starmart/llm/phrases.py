@@ -242,14 +242,23 @@ def remove_repeats(docs: DataFrame, window: int = 50, phrase: int = 25) -> DataF
     )
     cleaned = held.join(places, ["doc_id", "version"])
     cleaned = cleaned.mapInArrow(lambda it: cut(it, window), CLEANED)
-    return _assembled(marks, first, cleaned.dropDuplicates(["doc_id", "whole", "whole2"]))
+    cleaned = cleaned.dropDuplicates(["doc_id", "whole", "whole2"])
+    copied = written(
+        known.groupBy("whole", "whole2")
+        .agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
+        .where("first_id < last_id")
+        .drop("last_id"),
+        f"{folder}/copied",
+    )
+    return _assembled(marks, copied, cleaned)
 
 
-def _assembled(marks: DataFrame, first: DataFrame, cleaned: DataFrame) -> DataFrame:
-    """Copies lose all, texts with repeats some, the others nothing."""
-    rows = marks.drop("anchors").join(
-        first.select("whole", "whole2", "first_id"), ["whole", "whole2"], "left"
-    )
+def _assembled(marks: DataFrame, copied: DataFrame, cleaned: DataFrame) -> DataFrame:
+    """Copies lose all, texts with repeats some, the others nothing.
+
+    copied is a written table, so that a large group of copies can be split in the join.
+    """
+    rows = marks.drop("anchors").join(copied, ["whole", "whole2"], "left")
     rows = rows.join(cleaned, ["doc_id", "whole", "whole2"], "left")
     copy = F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False))
     return rows.select(

@@ -22,7 +22,8 @@ def corpus(seed: int, docs: int = 120) -> list[tuple]:
         source = draw.choices(names, [40, 5, 5, 5, 3, 1, 1])[0]
         text = draw.choice([" ", "\n"]).join(f"d{i}w{j}" for j in range(draw.choice([0, 1, 7, 50, 300])))
         rows.append((i, text, source, len(text), "n", 1))
-    return rows + [(500, None, "a", None, None, None), (501, "", "empty", 0, "n", 1), rows[5], rows[5]]
+    return rows + [(500, None, "a", None, None, None), (501, "", "empty", 0, "n", 1), rows[5], rows[5],
+                   (None, "no id here", "b", None, None, None)]
 
 
 def plain_targets(rows: list[tuple]) -> dict:
