@@ -157,20 +157,22 @@ def _send(classes: dict[int, np.ndarray], hot: np.ndarray, parts: int) -> pa.Rec
     warm = _in(hot, every)
     cold = np.sort((every[~warm] << np.uint64(16)) | place[~warm])
     width = -(-(1 << TOKEN_BITS) // parts)
-    edges = np.searchsorted(cold, (np.arange(1, parts) * width).astype(np.uint64) << np.uint64(16))
+    part = (cold >> np.uint64(16)) // np.uint64(width)
     rows = []
-    for part, run in enumerate(np.split(cold, edges)):
+    # Ranges without n-grams of this batch cost nothing, however many there are.
+    for run in np.split(cold, np.flatnonzero(np.diff(part)) + 1):
         if len(run):
+            number = int(run[0] >> np.uint64(16)) // width
             held, local = np.unique(run & np.uint64(0xFFFF), return_inverse=True)
             run = (run & ~np.uint64(0xFFFF)) | local.astype(np.uint64)
-            rows.append((part, 0, pack(run), keys[held].tobytes(), None, None))
+            rows.append((number, 0, pack(run), keys[held].tobytes(), None, None))
     bucket = keys % np.uint64(parts)
     warm_by_class = np.split(every[warm], np.cumsum(np.bincount(place[warm].astype(np.int64),
                                                                 minlength=len(sets)))[:-1])
-    for part in np.unique(bucket):
-        own = np.flatnonzero(bucket == part)
+    order = np.argsort(bucket, kind="stable")
+    for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
         lists = [warm_by_class[i] for i in own]
-        rows.append((int(part), 1, keys[own].tobytes(), sizes[own].tobytes(),
+        rows.append((int(bucket[own[0]]), 1, keys[own].tobytes(), sizes[own].tobytes(),
                      np.array([len(x) for x in lists], np.uint32).tobytes(),
                      np.concatenate(lists).tobytes()))
     return _packed(rows)
