@@ -23,10 +23,10 @@ from starmart.llm.common import WORD, let, scratch, written
 
 LABELLED_ROWS, POOL_ROWS = 4000, 4000
 SHAPES, PAGE_FEATURES = 1 << 11, 1 << 8
-ROUNDS = 3
+ROUNDS = 2
 # Most documents a view passes on per round, and how sure it must be of them.
 PASSED_ON, SURE = 400, 0.95
-ITERATIONS, REGULARISATION = 40, 1e-3
+ITERATIONS, TOLERANCE, REGULARISATION, CALIBRATION = 25, 1e-4, 1e-3, 1e-4
 VIEWS = ("text_view", "page_view")
 
 
@@ -39,8 +39,11 @@ class Calibrated(NamedTuple):
 
 
 class Classifier(NamedTuple):
+    """Calibrated views, and the weights with which their log odds are added up."""
+
     views: dict[str, Calibrated]
-    prior: float
+    weights: tuple[float, float]
+    offset: float
 
 
 # ---- views ------------------------------------------------------------------------
@@ -108,11 +111,13 @@ def sample(docs: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
     fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(4)).alias("_fold")
     # At most LABELLED_ROWS + POOL_ROWS ids are broadcast.
     some = docs.join(F.broadcast(chosen.select("*", fold)), "doc_id").dropDuplicates(["doc_id"])
-    return written(with_views(some).repartition(8), f"{folder}/sample")
+    return written(with_views(some).repartition(4), f"{folder}/sample")
 
 
 def regression(view: str, label: str = "_label", weight: float = REGULARISATION) -> LogisticRegression:
-    return LogisticRegression(featuresCol=view, labelCol=label, maxIter=ITERATIONS, regParam=weight)
+    return LogisticRegression(
+        featuresCol=view, labelCol=label, maxIter=ITERATIONS, tol=TOLERANCE, regParam=weight
+    )
 
 
 def margin(raw: Column | str) -> Column:
@@ -147,7 +152,13 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> Classifie
                 new = new.join(F.broadcast(passed.select("doc_id")), "doc_id", "left_anti")
             sure = _surest(models[view].transform(new), prior)
             given[other].append(written(sure, f"{folder}/passed-{turn}-{other}"))
-    return Classifier({v: _calibrate(models[v], v, held, prior) for v in VIEWS}, prior)
+    margins = held.select("_label", *VIEWS)
+    for view in VIEWS:
+        margins = _raw(margins, models[view], view)
+    margins = written(
+        margins.select("_label", *[margin(f"{v}_raw").alias(v) for v in VIEWS]), f"{folder}/margins"
+    )
+    return _calibrated(models, margins, math.log(prior / (1 - prior)))
 
 
 def _surest(scored: DataFrame, prior: float) -> DataFrame:
@@ -162,18 +173,41 @@ def _surest(scored: DataFrame, prior: float) -> DataFrame:
     )
 
 
-def _calibrate(
-    model: LogisticRegressionModel, view: str, held: DataFrame, prior: float
-) -> Calibrated:
-    """Platt scaling on held-out labels; without two kinds of them the margin stands as it is."""
-    margins = model.transform(held.select("_label", view)).select("_label", margin("rawPrediction").alias("m"))
+def _raw(rows: DataFrame, model: LogisticRegressionModel, view: str) -> DataFrame:
+    model = model.copy().setRawPredictionCol(f"{view}_raw").setProbabilityCol("")
+    return model.setPredictionCol("").transform(rows)
+
+
+def _calibrated(models: dict, margins: DataFrame, prior: float) -> Classifier:
+    """Platt scaling of each view, and of their sum, on held-out labels.
+
+    Without two kinds of them margins stand as they are and are added relative to the prior. A
+    view that says nothing, or the opposite, has no weight.
+    """
     if margins.select("_label").distinct().count() < 2:
-        return Calibrated(model, 1.0, 0.0)
-    line = VectorAssembler(inputCols=["m"], outputCol="v").transform(margins)
-    fitted = regression("v", weight=1e-2).fit(line)
-    # A view that says nothing must not turn around.
-    slope = max(0.0, float(fitted.coefficients[0]))
-    return Calibrated(model, slope, float(fitted.intercept) if slope else math.log(prior / (1 - prior)))
+        return Classifier({v: Calibrated(models[v], 1.0, 0.0) for v in VIEWS}, (1.0, 1.0), -prior)
+
+    def line(columns: list[str], rows: DataFrame) -> tuple[list[float], float]:
+        rows = VectorAssembler(inputCols=columns, outputCol="_v").transform(rows)
+        fitted = regression("_v", weight=CALIBRATION).fit(rows.select("_label", "_v"))
+        return [max(0.0, float(c)) for c in fitted.coefficients], float(fitted.intercept)
+
+    views = {}
+    for view in VIEWS:
+        (slope,), offset = line([view], margins)
+        views[view] = Calibrated(models[view], slope, offset if slope else prior)
+    odds = margins.select("_label", *[
+        (F.col(v) * c.slope + c.offset).alias(v) for v, c in views.items()
+    ])
+    weights, offset = line(list(VIEWS), odds)
+    useful = [v for v, w in zip(VIEWS, weights, strict=True) if w]
+    if not useful:
+        return Classifier(views, (1.0, 1.0), -prior)
+    if len(useful) == 1:
+        # The other's weight was negative; the offset that went with it does not hold alone.
+        (one,), offset = line(useful, odds)
+        weights = [one if w else 0.0 for w in weights]
+    return Classifier(views, (weights[0], weights[1]), offset)
 
 
 # ---- scoring ---------------------------------------------------------------------------
@@ -187,25 +221,26 @@ def _with_scores(rows: DataFrame, classifier: Classifier) -> DataFrame:
     """Scores beside doc_id and the columns whose names begin with an underscore."""
     kept = [c for c in rows.columns if c.startswith("_") or c == "doc_id"]
     rows = with_views(rows)
-    prior = math.log(classifier.prior / (1 - classifier.prior))
     odds = []
     for view, (model, slope, offset) in classifier.views.items():
-        model = model.copy().setRawPredictionCol(f"{view}_raw").setProbabilityCol("")
-        rows = model.setPredictionCol("").transform(rows)
+        rows = _raw(rows, model, view)
         odds.append(slope * margin(f"{view}_raw") + offset)
+    weights = classifier.weights
     rows = rows.select(*kept, odds[0].alias("_text_odds"), odds[1].alias("_page_odds"))
     return rows.select(
         *kept, chance(F.col("_text_odds")).alias("text_score"),
         chance(F.col("_page_odds")).alias("page_score"),
-        chance(F.col("_text_odds") + F.col("_page_odds") - prior).alias("score"),
+        chance(
+            weights[0] * F.col("_text_odds") + weights[1] * F.col("_page_odds") + classifier.offset
+        ).alias("score"),
     )
 
 
 def score(docs: DataFrame, classifier: Classifier | None, threshold: float = 0.5) -> DataFrame:
     """Per row of docs (doc_id, text, source, lang, n_chars): both views' and the joint probability.
 
-    (doc_id, text_score, page_score, score, kept). The views' odds, relative to the prior, are
-    multiplied. A document is kept from the threshold on.
+    (doc_id, text_score, page_score, score, kept). score adds up the views' calibrated log odds
+    with the weights that fit held-out labels. A document is kept from the threshold on.
 
     Defined cases: NULL and empty texts and NULL metadata are scored as such. Rows are judged one
     by one, so equal rows give equal rows; a NULL doc_id is kept as such. Without a classifier
