@@ -19,6 +19,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 # At most so many 64-bit ids (some 64 MB as a hash table) are broadcast; more are shuffled.
 BROADCAST_IDS = 1_000_000
+BATCH_ROWS = 1000
 
 
 def by_value(module: str) -> None:
@@ -45,9 +46,19 @@ def _own_folder() -> str:
 
 
 def written(df: DataFrame, path: str) -> DataFrame:
-    """Write a table and read it back: later steps survive lost executors without its lineage."""
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write a table and read it back: later steps survive lost executors without its lineage.
+
+    Meanwhile rows go to Python in batches of at most BATCH_ROWS, so that whole texts do not
+    fill the executors' memory outside the heap; the session's setting is put back.
+    """
+    spark, name = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(name, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def having(

@@ -4,7 +4,7 @@ Texts are compared by their sets of distinct word n-grams, held as 64-bit hashes
 the same set are one class; only classes are compared.
 
 1. One scan writes (doc_id, set size, class) and the n-grams that are common already within
-   one Arrow batch. Summed, they give the hot n-grams: those in at least one of HOT_SHARE
+   one batch of some thousand texts. Summed, they give the hot n-grams: those in at least one of HOT_SHARE
    classes, at most HOT_SHARE times the mean set size, whatever the corpus. They rank last in
    the rare-first order and never travel.
 2. A second scan sends every other n-gram of a class to the range it falls into, packed to
@@ -36,9 +36,9 @@ by_value(__name__)
 
 HOT_SHARE = 2_000
 TOKEN_BITS = 48
-PART_TOKENS = 2_000_000
+PART_TOKENS = 1_000_000
 BATCH_ROWS = 1 << 16
-BATCH_TOKENS = 2_500_000
+BATCH_TOKENS = 1_500_000
 HUB_ROUNDS = 1
 HOT_RANK = np.uint32(2**32 - 1)
 
@@ -91,19 +91,24 @@ def _common(classes: dict[int, np.ndarray], share: int) -> pa.RecordBatch:
 
 
 def describe(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    classes, held = {}, 0
     for batch in batches:
-        ids, text, classes = batch.column("doc_id"), batch.column("text"), {}
+        ids, text = batch.column("doc_id"), batch.column("text")
         for a, b in slices(text):
             sets = shingle_sets(text.slice(a, b - a), n)
             keys = np.array([class_id(s) if len(s) else 0 for s in sets], np.uint64)
             sizes = np.array([len(s) for s in sets], np.int64)
             classes |= {int(k): s for k, s in zip(keys, sets, strict=True) if len(s)}
+            held += int(sizes.sum())
+            if held > BATCH_TOKENS:
+                yield _common(classes, HOT_SHARE)
+                classes, held = {}, 0
             none = pa.nulls(b - a, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(a, b - a), pa.array(sizes), signed(keys), none, none],
                 ["doc_id", "n_shingles", "class", "token", "seen"],
             )
-        yield _common(classes, HOT_SHARE)
+    yield _common(classes, HOT_SHARE)
 
 
 # ---- packing ------------------------------------------------------------------
@@ -150,12 +155,14 @@ def _packed(rows: list[tuple]) -> pa.RecordBatch:
 def _send(classes: dict[int, np.ndarray], hot: np.ndarray, parts: int) -> pa.RecordBatch:
     """kind 0: n-grams for a range. kind 1: each class's size and hot n-grams, for its bucket."""
     keys = np.fromiter(classes, np.uint64, len(classes))
-    sets = [s >> np.uint64(64 - TOKEN_BITS) for s in classes.values()]
-    sizes = np.array([len(s) for s in sets], np.uint32)
-    every = np.concatenate(sets)
-    place = np.repeat(np.arange(len(sets), dtype=np.uint64), sizes)
+    sizes = np.array([len(s) for s in classes.values()], np.uint32)
+    every = np.concatenate(list(classes.values()))
+    every >>= np.uint64(64 - TOKEN_BITS)
+    place = np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)
     warm = _in(hot, every)
-    cold = np.sort((every[~warm] << np.uint64(16)) | place[~warm])
+    cold = every[~warm] << np.uint64(16)
+    cold |= place[~warm]
+    cold.sort()
     width = -(-(1 << TOKEN_BITS) // parts)
     part = (cold >> np.uint64(16)) // np.uint64(width)
     rows = []
@@ -168,7 +175,7 @@ def _send(classes: dict[int, np.ndarray], hot: np.ndarray, parts: int) -> pa.Rec
             rows.append((number, 0, pack(run), keys[held].tobytes(), None, None))
     bucket = keys % np.uint64(parts)
     warm_by_class = np.split(every[warm], np.cumsum(np.bincount(place[warm].astype(np.int64),
-                                                                minlength=len(sets)))[:-1])
+                                                                minlength=len(sizes)))[:-1])
     order = np.argsort(bucket, kind="stable")
     for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
         lists = [warm_by_class[i] for i in own]
@@ -181,8 +188,9 @@ def _send(classes: dict[int, np.ndarray], hot: np.ndarray, parts: int) -> pa.Rec
 def send(
     batches: Iterator[pa.RecordBatch], n: int, hot: np.ndarray, parts: int
 ) -> Iterator[pa.RecordBatch]:
+    classes, size = {}, 0
     for batch in batches:
-        text, classes, size = batch.column("text"), {}, 0
+        text = batch.column("text")
         for a, b in slices(text):
             for tokens in shingle_sets(text.slice(a, b - a), n):
                 if not len(tokens) or (key := int(class_id(tokens))) in classes:
@@ -192,8 +200,8 @@ def send(
                 if len(classes) == BATCH_ROWS or size > BATCH_TOKENS:
                     yield _send(classes, hot, parts)
                     classes, size = {}, 0
-        if classes:
-            yield _send(classes, hot, parts)
+    if classes:
+        yield _send(classes, hot, parts)
 
 
 def count_range(table: pa.Table, parts: int) -> pa.Table:

@@ -14,7 +14,7 @@ from fractions import Fraction
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
@@ -90,9 +90,9 @@ def permuted(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray
     return out.astype(np.int64)
 
 
-@F.pandas_udf(LongType())
-def _permuted(index: pd.Series, size: pd.Series, key: pd.Series) -> pd.Series:
-    return pd.Series(permuted(index.to_numpy(), size.to_numpy(), key.to_numpy()))
+@F.arrow_udf(LongType())
+def _permuted(index: pa.Array, size: pa.Array, key: pa.Array) -> pa.Array:
+    return pa.array(permuted(*[np.asarray(x).astype(np.int64) for x in (index, size, key)]))
 
 
 def draw_slots(slots: list[int], shard_slots: int, seed: int) -> list[tuple[int, int, int, int]]:

@@ -16,8 +16,8 @@ from starmart.llm.common import by_value
 
 by_value(__name__)
 
-SLICE_BYTES = 4 << 20
-CHUNK_BYTES = 1 << 20
+SLICE_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 FULL = 1 << 64
 BASE, WINDOW_BASES = 0x9E3779B97F4A7C15, (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
