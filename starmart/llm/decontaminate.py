@@ -9,7 +9,7 @@ and of the training texts.
 2. One scan of the training texts lays the masks and keeps the seeds whose bits are set; a text
    without any is done. This scan shuffles nothing.
 3. Kept seeds are joined with the benchmark's by hash. A hit fixes how the two texts are aligned;
-   equal alignments are verified once, by the best-scoring stretch of the aligned words.
+   equal alignments are verified once, by the best-scoring stretch of enough aligned words.
 """
 
 from __future__ import annotations
@@ -125,13 +125,19 @@ def scan(
         yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
-def best_stretch(equal: np.ndarray, percent: int) -> tuple[int, int]:
-    """The stretch with the best score: 100 - percent for an equal word, minus percent otherwise."""
+def best_stretch(equal: np.ndarray, percent: int, least: int) -> tuple[int, int] | None:
+    """The stretch of at least `least` words with the best score, None where none has one from 0.
+
+    100 - percent for an equal word, minus percent otherwise: 0 is reached by `percent` of equal
+    words. A better but shorter stretch inside, or beside, does not count.
+    """
+    if len(equal) < least:
+        return None
     steps = np.where(equal, 100 - percent, -percent)
     sums = np.concatenate(([0], np.cumsum(steps)))
-    low = np.minimum.accumulate(sums)
-    end = int(np.argmax(sums - low))
-    return int(np.argmin(sums[: end + 1])) if end else 0, end
+    scores = sums[least:] - np.minimum.accumulate(sums[: len(sums) - least])
+    last = int(np.argmax(scores))
+    return (int(np.argmin(sums[: last + 1])), last + least) if scores[last] >= 0 else None
 
 
 def verify(
@@ -146,9 +152,10 @@ def verify(
             skip = max(0, -r["shift"])
             size = min(len(doc), len(item) - skip)
             equal = doc[:size] == item[skip : skip + size]
-            a, b = best_stretch(equal, percent)
             # An item of fewer words must be met from end to end.
-            if b - a >= min(least, len(item)):
+            stretch = best_stretch(equal, percent, min(least, len(item)))
+            if stretch:
+                a, b = stretch
                 rows.append((r["doc_id"], r["whole"], r["item_id"], max(0, r["shift"]) + a,
                              skip + a, b - a, int(equal[a:b].sum()), b - a == len(item)))
         columns = list(zip(*rows, strict=True)) or [[]] * len(names)
@@ -167,8 +174,8 @@ def overlaps(
     """One row per (doc_id, item_id) that share a passage, with its best alignment.
 
     docs (doc_id, text) and benchmark (item_id, text). A passage is a stretch of at least
-    `least` aligned words, or of a shorter item's all words, whose equal words outscore the
-    substituted ones at `percent`; it holds at least one seed: the words that one of the masks
+    `least` aligned words, or of a shorter item's all words, of which at least `percent` in a
+    hundred are equal; its alignment holds at least one seed: the words that one of the masks
     looks at are equal. Texts are compared as runs of letters and digits with A-Z lower-cased.
 
     Columns: doc_id, item_id, doc_start, item_start (in words), n_words, n_equal, covers_item.
