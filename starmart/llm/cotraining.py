@@ -3,9 +3,10 @@
 The text view sees the shapes of words (letters folded to a and A, digits to 9) and how words
 repeat; the page view sees where a document comes from and how it is laid out: source, language,
 stated length, lines. Both are logistic regressions. They start from the labelled documents; each
-round, each view labels the unlabelled documents it is surest of, for the other view to learn
-from. Held-out labels calibrate both, and their calibrated odds are combined into one score for
-every document. Fitting uses a bounded sample; scoring is one pass that shuffles nothing.
+round, each view scores all unlabelled documents and labels those it is surest of, for the other
+view to learn from. Held-out labels calibrate both, and their calibrated odds are combined into
+one score for every document. Views of all documents are written once and scored once a round;
+scoring, then and at the end, shuffles no document. Fitting uses a bounded sample of labels.
 """
 
 from __future__ import annotations
@@ -15,18 +16,18 @@ from typing import NamedTuple
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import FeatureHasher, HashingTF, Normalizer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import WORD, let, scratch, written
+from starmart.llm.common import WORD, having, let, scratch, written
 
-LABELLED_ROWS, POOL_ROWS = 4000, 4000
+LABELLED_ROWS = 4000
 SHAPES, PAGE_FEATURES = 1 << 11, 1 << 8
-ROUNDS = 2
+ROUNDS = 3
 # Most documents a view passes on per round, and how sure it must be of them.
 PASSED_ON, SURE = 400, 0.95
-ITERATIONS, TOLERANCE, REGULARISATION, CALIBRATION = 25, 1e-4, 1e-3, 1e-4
+ITERATIONS, TOLERANCE, REGULARISATION, CALIBRATION = 40, 1e-4, 1e-3, 1e-4
 VIEWS = ("text_view", "page_view")
 
 
@@ -92,28 +93,36 @@ def with_views(docs: DataFrame) -> DataFrame:
 # ---- training ------------------------------------------------------------------------
 
 
-def sample(docs: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
-    """At most LABELLED_ROWS labelled and POOL_ROWS other documents, those of smallest hash.
-
-    (doc_id, _label, _fold): _label is NULL in the pool; one labelled document in four is of fold
-    0, for calibration. Documents with contradicting labels belong to the pool.
-    """
-    known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
+def agreed(labels: DataFrame) -> DataFrame:
+    """(doc_id, _label) of the documents whose labels do not contradict each other."""
+    return labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.min("quality").alias("low"), F.max("quality").alias("high")
     ).where("low = high").select("doc_id", F.col("low").cast("double").alias("_label"))
+
+
+def sample(docs: DataFrame, known: DataFrame, folder: str) -> DataFrame:
+    """Views of at most LABELLED_ROWS labelled documents, those of smallest hash.
+
+    (doc_id, _label, _fold): one document in four is of fold 0, for calibration.
+    """
     order = [F.xxhash64("doc_id", F.lit("sample")), F.col("doc_id")]
     ids = docs.select("doc_id").where("doc_id is not null").distinct()
-    labelled = ids.join(known, "doc_id").orderBy(*order).limit(LABELLED_ROWS)
-    pool = ids.join(known, "doc_id", "left_anti").withColumn("_label", F.lit(None).cast("double"))
     chosen = written(
-        labelled.unionAll(pool.orderBy(*order).limit(POOL_ROWS)), f"{folder}/chosen"
+        ids.join(known, "doc_id").orderBy(*order).limit(LABELLED_ROWS), f"{folder}/chosen"
     )
     fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(4)).alias("_fold")
-    # At most LABELLED_ROWS + POOL_ROWS ids are broadcast.
+    # At most LABELLED_ROWS ids are broadcast.
     some = docs.join(F.broadcast(chosen.select("*", fold)), "doc_id").dropDuplicates(["doc_id"])
     return written(with_views(some).repartition(4), f"{folder}/sample")
 
 
+def all_views(docs: DataFrame, folder: str) -> DataFrame:
+    """Views of every row with a doc_id, and a hash of the row (_row) that tells rows of one id apart."""
+    facts = ["text", "source", "lang", "n_chars"]
+    rows = docs.where("doc_id is not null").select("doc_id", *facts, F.xxhash64(*facts).alias("_row"))
+    return written(with_views(rows), f"{folder}/views")
+
+
 def regression(view: str, label: str = "_label", weight: float = REGULARISATION) -> LogisticRegression:
     return LogisticRegression(
         featuresCol=view, labelCol=label, maxIter=ITERATIONS, tol=TOLERANCE, regParam=weight
@@ -127,14 +136,15 @@ def margin(raw: Column | str) -> Column:
 def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> Classifier | None:
     """Both views, co-trained and calibrated; None where the labels are not of two kinds."""
     folder = scratch(docs.sparkSession, "cotraining")
-    rows = sample(docs, labels, folder)
-    own = rows.where("_label is not null and _fold <> 0").select("doc_id", "_label", *VIEWS)
-    held = rows.where("_label is not null and _fold = 0")
+    known = written(agreed(labels), f"{folder}/known")
+    rows = sample(docs, known, folder)
+    own = rows.where("_fold <> 0").select("doc_id", "_label", *VIEWS)
+    held = rows.where("_fold = 0")
     shares = own.agg(F.sum("_label"), F.count(F.lit(1))).first()
     if not shares[1] or shares[0] in (0.0, float(shares[1])):
         return None
     prior = shares[0] / shares[1]
-    pool = rows.where("_label is null").select("doc_id", *VIEWS)
+    pool = all_views(docs, folder)
 
     given: dict[str, list[DataFrame]] = {v: [] for v in VIEWS}
     models = {}
@@ -142,16 +152,21 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> Classifie
         for view in VIEWS:
             learned = own
             for passed in given[view]:
-                learned = learned.unionByName(pool.join(F.broadcast(passed), "doc_id"))
+                learned = learned.unionByName(passed)
             models[view] = regression(view).fit(learned.select("_label", view))
         if turn == rounds:
             break
+        scored = written(_sure(pool, models, known), f"{folder}/sure-{turn}")
         for view, other in zip(VIEWS, reversed(VIEWS), strict=True):
-            new = pool.select("doc_id", view)
+            new = scored.select("doc_id", array_to_vector(
+                F.array(1 - F.col(view), F.col(view))).alias("probability"))
             for passed in given[other]:
                 new = new.join(F.broadcast(passed.select("doc_id")), "doc_id", "left_anti")
-            sure = _surest(models[view].transform(new), prior)
-            given[other].append(written(sure, f"{folder}/passed-{turn}-{other}"))
+            # At most PASSED_ON + 1 ids are broadcast.
+            sure = scored.select("doc_id", "_row").join(F.broadcast(_surest(new, prior)), "doc_id")
+            sure = pool.join(F.broadcast(sure), ["doc_id", "_row"]).dropDuplicates(["doc_id"])
+            given[other].append(written(
+                sure.select("doc_id", "_label", *VIEWS), f"{folder}/passed-{turn}-{other}"))
     margins = held.select("_label", *VIEWS)
     for view in VIEWS:
         margins = _raw(margins, models[view], view)
@@ -161,6 +176,22 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> Classifie
     return _calibrated(models, margins, math.log(prior / (1 - prior)))
 
 
+def _sure(pool: DataFrame, models: dict, known: DataFrame) -> DataFrame:
+    """(doc_id, _row, chance by each view) of the unlabelled documents that a view is sure of.
+
+    Of several rows with one doc_id one is taken.
+    """
+    for view in VIEWS:
+        pool = _raw(pool, models[view], view)
+    rows = pool.select("doc_id", "_row", *[chance(margin(f"{v}_raw")).alias(v) for v in VIEWS])
+    sure = F.lit(False)
+    for view in VIEWS:
+        sure = sure | (F.col(view) >= SURE) | (F.col(view) <= 1 - SURE)
+    rows = having(rows.where(sure), known, "doc_id", "left_anti")
+    one = rows.groupBy("doc_id").agg(F.min(F.struct("_row", *VIEWS)).alias("one"))
+    return one.select("doc_id", "one.*")
+
+
 def _surest(scored: DataFrame, prior: float) -> DataFrame:
     """The surest documents of each label, in the proportion of the labels."""
     chance = F.get(vector_to_array("probability"), F.lit(1))
