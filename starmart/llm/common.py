@@ -75,6 +75,16 @@ def having(
     return rows.join(chosen, key, how)
 
 
+def smallest_present(known: DataFrame, docs: DataFrame, most: int, folder: str) -> DataFrame:
+    """Of the rows of known (doc_id, ...) whose doc_id is in docs, the `most` of smallest hash, written.
+
+    Only ids are shuffled.
+    """
+    ids = docs.select("doc_id").where("doc_id is not null").distinct()
+    present = known.join(ids, "doc_id", "left_semi")
+    return written(present.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most), folder)
+
+
 def word_count(text: Column | str) -> Column:
     """Words of a text; none for NULL."""
     return F.coalesce(F.regexp_count(F.col(text) if isinstance(text, str) else text,

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.arrays import upto
-from starmart.llm.common import WORD, let, scratch, written
+from starmart.llm.common import WORD, let, scratch, smallest_present, written
 
 WINDOW = 5
 # Fixed value: the characters that count as symbols.
@@ -125,14 +125,14 @@ def statistics(docs: DataFrame) -> DataFrame:
 
 
 def labelled_statistics(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> DataFrame:
-    """Statistics and label (bad) of at most `most` labelled documents, those of smallest hash.
+    """Statistics and label (bad) of at most `most` labelled documents, those of smallest hash in docs.
 
     A document with contradicting labels, or without one, is not used.
     """
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.min("quality").alias("low"), F.max("quality").alias("high")
     ).where("low = high").select("doc_id", (F.col("low") == 0).alias("bad"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    chosen = smallest_present(known, docs, most, scratch(docs.sparkSession, "rules-labels"))
     # At most `most` ids are broadcast; the texts stay where they are.
     some = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id")), "doc_id",
                                              "left_semi")

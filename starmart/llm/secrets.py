@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.arrays import matches, running
-from starmart.llm.common import let
+from starmart.llm.common import let, scratch, smallest_present
 
 # The base patterns, the group whose length counts, and the least length.
 KINDS = {
@@ -46,12 +46,12 @@ SPAN = "array<struct<start:bigint,end:bigint,kind:int>>"
 def samples(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS) -> DataFrame:
     """Labelled strings (value, is_random) from at most `most` labelled documents.
 
-    The documents are those of good quality with the smallest hashes. Their words, alone and
+    The documents are those of docs, of good quality, with the smallest hashes. Their words, alone and
     joined in pairs as identifiers are, are ordinary; their digests, in hexadecimal and base64,
     are random, and so are the values of the fixed patterns they hold.
     """
     chosen = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    chosen = smallest_present(chosen, docs, most, scratch(docs.sparkSession, "secrets-labels"))
     some = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     some = some.join(F.broadcast(chosen), "doc_id")
     digest = F.unhex(F.sha2("text", 512))
