@@ -75,9 +75,58 @@ FROM p JOIN f USING (body)
 """
 
 
+CRC32 = """list_reduce(
+    list_concat([4294967295], flatten(list_transform(string_split({}, ''), lambda b: [
+        CAST(ascii(b) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, (c & 1) * 3988292384) END)"""
+
+TRIE = f"""
+WITH t AS (
+    SELECT conv_id, ifnull(role, '') AS role, ifnull(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos
+    FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+    SELECT conv_id, count(*) AS own, conv_id - conv_id % 5 AS base,
+           xor({CRC32.format("CAST(conv_id AS VARCHAR)")}, 4294967295) % 9 AS h
+    FROM t GROUP BY conv_id),
+p AS (SELECT c.*, least(h, ifnull(b.own, 0)) AS taken
+      FROM c LEFT JOIN (SELECT conv_id, own FROM c) b ON b.conv_id = c.base),
+r AS (
+    SELECT p.conv_id, t.pos, t.role, t.text FROM p JOIN t ON t.conv_id = p.base AND t.pos < p.taken
+    UNION ALL
+    SELECT p.conv_id, t.pos - h + taken, t.role, t.text FROM p JOIN t ON t.conv_id = p.conv_id AND t.pos >= h),
+m AS (
+    SELECT conv_id, pos + 1 AS depth, strlen(text) AS size,
+           md5(string_agg(md5(role) || md5(text), '' ORDER BY pos)
+               OVER (PARTITION BY conv_id ORDER BY pos)) AS node
+    FROM r
+    UNION ALL SELECT conv_id, 0, 0, '' FROM p),
+n AS (
+    SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(size) AS saved
+    FROM m GROUP BY node, depth),
+e AS (
+    SELECT node, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends
+    FROM (SELECT conv_id, arg_max(node, depth) AS node FROM m GROUP BY conv_id) GROUP BY node),
+u AS (
+    SELECT n.node, a.node AS above, n.depth - a.depth AS up
+    FROM n JOIN m a ON a.conv_id = n.conv_id AND a.depth <= n.depth),
+k AS (SELECT above AS node, count(*) AS children FROM u WHERE up = 1 GROUP BY above),
+s AS (
+    SELECT u.above AS node, sum(n.saved) AS saved, count(*) FILTER (WHERE k.node IS NULL) AS leaves
+    FROM u JOIN n USING (node) LEFT JOIN k ON k.node = u.node GROUP BY u.above)
+SELECT n.conv_id, n.depth, b.conv_id AS parent_conv_id, n.n_convs,
+       ifnull(k.children, 0) AS n_children, s.leaves AS n_leaves,
+       CAST(s.saved AS BIGINT) AS saved_tokens, ifnull(e.ends, sha256('')) AS ends_sha256
+FROM n JOIN s USING (node) LEFT JOIN k USING (node) LEFT JOIN e USING (node)
+LEFT JOIN (SELECT node, above FROM u WHERE up = 1) q USING (node)
+LEFT JOIN n b ON b.node = q.above
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op6_warc_revisits": WARC,
         "op8_repeated_phrases": PHRASES,
         "op9_ngram_jaccard": JACCARD,
+        "op12_prefix_trie": TRIE,
     }

@@ -12,11 +12,14 @@ from starmart.llm.jaccard import jaccard_components
 from starmart.llm.mixing import mix_counts
 from starmart.llm.oracles import oracle_sql  # noqa: F401
 from starmart.llm.phrases import remove_repeats
+from starmart.llm.pieces import encoding_digests
 from starmart.llm.pii import find_personal_data
+from starmart.llm.prefix_trie import trie_nodes
 from starmart.llm.rules import judge, labelled_statistics, learn
 from starmart.llm.secrets import find_secrets, samples, train
 from starmart.llm.sharding import shard_rows
 from starmart.llm.warc import archived_pages
+from starmart.llm.whitening import whitened_components
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +72,21 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened_components(table(spark, sf_dir, "embeddings"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_nodes(table(spark, sf_dir, "conversations"))
+
+
+def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return encoding_digests(table(spark, sf_dir, "documents"), model)
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_quality_classifier,
@@ -81,5 +99,8 @@ def queries() -> dict[str, Query]:
         op8_repeated_phrases,
         op9_ngram_jaccard,
         op10_personal_data,
+        op11_whitening,
+        op12_prefix_trie,
+        op13_sentence_pieces,
     ]
     return {query.__name__: query for query in found}

@@ -13,6 +13,8 @@ COLUMNS = {
     "op4_mix_sources": ["doc_id", "size", "source_size", "target", "taken"],
     "op5_quality_rules": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule"],
     "op7_shards": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
+    "op11_whitening": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
+    "op13_sentence_pieces": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     "op10_personal_data": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
 }
 
@@ -34,10 +36,12 @@ def test_query_gives_its_columns_for_every_row(name, spark):
     found = queries.queries()[name](spark, SF_DIR)
     assert found.columns == COLUMNS[name]
     documents = spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
+    if name == "op11_whitening":
+        documents = 32 * spark.read.parquet(f"{SF_DIR}/embeddings.parquet").count()
     assert found.count() == documents or name == "op3_decontaminate"
 
 
 def test_every_operator_is_registered():
     found = [int(name[2:].split("_")[0]) for name in queries.queries()]
-    assert sorted(found) == list(range(1, 11))
+    assert sorted(found) == list(range(1, 14))
     assert set(queries.queries()) == set(queries.oracle_sql()) | set(COLUMNS)
