@@ -1,15 +1,18 @@
 """WARC archives whose repeated payloads are revisit records.
 
-Headers (id, digest, length) are shuffled by payload digest to find the original of each group
-of equal payloads; groups are aggregated with partial results, so a payload that very many pages
-share is no burden. Archives are written by Spark's own committer as text, one record per row,
-and read back by walking the records of each file. Revisit records are joined to the originals
-they refer to.
+Only headers (id, digest, length) are shuffled, by payload digest, to find the original of each
+group of equal payloads; groups are aggregated with partial results, so a payload that very many
+pages share is no burden. Payloads stay where they are read: the digests that occur more than once
+go back to the pages, each with its original. Every record is a gzip member of its own, as readers
+expect, closed by an empty member. Spark's text writer commits them with that empty member as line
+end, and its reader cuts files there again, so archives may be of any size: a task reads a split,
+and a row is a record.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 from collections.abc import Iterator
 
@@ -17,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm.common import by_value, scratch, written
+from starmart.llm.common import BROADCAST_IDS, by_value, scratch, written
 
 by_value(__name__)
 
@@ -26,9 +29,12 @@ END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 DATE = "2000-01-01T00:00:00Z"
-# A file is read as one row, so it holds a bounded number of records.
-FILE_RECORDS = 4096
-BATCH_BYTES = 32 << 20
+# An empty gzip member. Compressed text cannot hold it: its first two bytes are no UTF-8, and in
+# a compressed stream 20 given bytes do not occur by chance.
+CLOSING = gzip.compress(b"", mtime=0)
+CUT = {"lineSep": CLOSING.decode("latin-1"), "encoding": "ISO-8859-1"}
+LEVEL = 6
+BATCH_BYTES = 8 << 20
 
 RECORDS = (
     "record_id string, record_type string, page_id bigint, uri string, refers_to_record string, "
@@ -36,9 +42,8 @@ RECORDS = (
 )
 
 
-def base32_sha1(payload: Column) -> Column:
-    """Bare upper-case base32: a digest has 160 bits, 8 groups of 20, 4 digits each."""
-    digest = F.sha1(payload)
+def base32(digest: Column) -> Column:
+    """Upper-case base32 of 160 bits in hexadecimal: 8 groups of 20, 4 digits each."""
     digits = F.concat(*[
         F.lpad(F.conv(F.substring(digest, 5 * i + 1, 5), 16, 32), 4, "0") for i in range(8)
     ])
@@ -64,12 +69,13 @@ def header_value(value: Column) -> Column:
     return value
 
 
-def plan_records(pages: DataFrame, least: int = 0) -> DataFrame:
+def plan_records(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
     """pages (page_id, url, html) with what their records say: digest, type, original.
 
     Among payloads of at least `least` bytes that are equal, the smallest page_id is the
     response. Rows that repeat it are responses too; a NULL page_id refers to the smallest known
-    one, or is a response where there is none.
+    one, or is a response where there is none. The digests that repeat are written under folder;
+    they are broadcast if they were counted to be at most BROADCAST_IDS.
     """
     rows = pages.select(
         F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
@@ -77,32 +83,32 @@ def plan_records(pages: DataFrame, least: int = 0) -> DataFrame:
     )
     rows = rows.withColumns({
         "payload_bytes": F.octet_length("html").cast("long"),
-        "payload_digest": base32_sha1(F.encode("html", "UTF-8")),
+        "digest": F.unhex(F.sha1(F.encode("html", "UTF-8"))),
     })
-    long = F.col("payload_bytes") >= least
-    firsts = rows.where(long).groupBy("payload_digest", "payload_bytes").agg(
-        F.min("page_id").alias("original")
-    )
-    firsts = firsts.select(F.col("payload_digest").alias("digest"),
-                           F.col("payload_bytes").alias("bytes"), "original")
-    rows = rows.join(
-        firsts,
-        (F.col("payload_digest") == F.col("digest")) & (F.col("payload_bytes") == F.col("bytes")),
-        "left",
-    ).drop("digest", "bytes")
+    headers = rows.where(F.col("payload_bytes") >= least).select("page_id", "digest", "payload_bytes")
+    repeated = headers.groupBy("digest", "payload_bytes").agg(
+        F.min("page_id").alias("original"), F.count(F.lit(1)).alias("copies")
+    ).where("copies > 1 and original is not null").drop("copies")
+    repeated = written(repeated, f"{folder}/repeated")
+    if repeated.count() <= BROADCAST_IDS:
+        repeated = F.broadcast(repeated)
+    rows = rows.join(repeated, ["digest", "payload_bytes"], "left")
     revisit = F.col("original").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("original"))
-    return rows.withColumn("refers_to", F.when(revisit, F.col("original"))).drop("original")
+    return rows.select(
+        "page_id", "url", "html", "payload_bytes", base32(F.hex("digest")).alias("payload_digest"),
+        F.when(revisit, F.col("original")).alias("refers_to"),
+    )
 
 
-def record_text(least: int = 0) -> Column:
-    """A whole record but for the two line ends that close it."""
+def record_text(date: str = DATE) -> Column:
+    """A whole record."""
     revisit = F.col("refers_to").isNotNull()
     block = F.when(revisit, F.lit(HTTP)).otherwise(F.concat(F.lit(HTTP), F.col("html")))
     lines = [
         F.lit(VERSION),
         F.concat(F.lit("WARC-Type: "), F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
         F.concat(F.lit("WARC-Record-ID: "), record_id(F.col("page_id"), F.col("payload_digest"))),
-        F.lit(f"WARC-Date: {DATE}"),
+        F.lit(f"WARC-Date: {date}"),
         F.concat(F.lit("WARC-Target-URI: "), header_value(F.col("url"))),
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("payload_digest")),
         F.when(revisit, F.lit(f"WARC-Profile: {PROFILE}")),
@@ -113,21 +119,31 @@ def record_text(least: int = 0) -> Column:
         F.concat(F.lit("Content-Length: "), F.octet_length(block).cast("string")),
     ]
     # concat_ws leaves out the lines that are NULL: no URL, no page id, no original.
-    return F.concat(F.concat_ws("\r\n", *lines), F.lit(END), block)
+    return F.concat(F.concat_ws("\r\n", *lines), F.lit(END), block, F.lit(END))
+
+
+def compress_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records as gzip members, about BATCH_BYTES at a time."""
+    members, size = [], 0
+    for batch in batches:
+        for text in batch.column("record"):
+            members.append(gzip.compress(text.as_buffer(), LEVEL, mtime=0))
+            size += len(members[-1])
+            if size > BATCH_BYTES:
+                yield pa.RecordBatch.from_arrays([pa.array(members, pa.binary())], ["member"])
+                members, size = [], 0
+    yield pa.RecordBatch.from_arrays([pa.array(members, pa.binary())], ["member"])
 
 
-def write_archives(
-    pages: DataFrame, path: str, least: int = 0, compression: str = "none"
-) -> DataFrame:
-    """Write one record per row of pages (page_id, url, html), FILE_RECORDS to a file at most.
+def write_archives(pages: DataFrame, folder: str, least: int = 0, date: str = DATE) -> DataFrame:
+    """Write one record per row of pages (page_id, url, html) under folder/archives.
 
-    gzip compresses a file as one member.
+    date goes into the records' WARC-Date.
     """
-    records = plan_records(pages, least)
-    records.select(record_text(least)).write.option("lineSep", END).option(
-        "compression", compression
-    ).option("maxRecordsPerFile", FILE_RECORDS).text(path)
-    return read_archives(pages.sparkSession, path)
+    records = plan_records(pages, folder, least).select(record_text(date).alias("record"))
+    members = records.mapInArrow(compress_batches, "member binary")
+    members.select(F.col("member").cast("string")).write.options(**CUT).text(f"{folder}/archives")
+    return read_archives(pages.sparkSession, f"{folder}/archives")
 
 
 def parse(archive: bytes) -> Iterator[tuple[dict[str, str], memoryview]]:
@@ -150,21 +166,13 @@ def parse(archive: bytes) -> Iterator[tuple[dict[str, str], memoryview]]:
         at = end + 4
 
 
-def _gunzip(content: bytes) -> bytes:
-    if content[:2] != b"\x1f\x8b":
-        return content
-    import gzip
-
-    return gzip.decompress(content)
-
-
 def read_records(batches: Iterator[pa.RecordBatch], payloads: bool) -> Iterator[pa.RecordBatch]:
     names = [part.split()[0] for part in RECORDS.split(", ")]
     kinds = [pa.string(), pa.string(), pa.int64(), *[pa.string()] * 4, pa.int64(), pa.binary()]
+    rows, size = [], 0
     for batch in batches:
-        for file in batch.column("content"):
-            rows, size = [], 0
-            for headers, block in parse(_gunzip(file.as_py())):
+        for member in batch.column("member"):
+            for headers, block in parse(gzip.decompress(member.as_buffer())):
                 body = bytes(block).partition(b"\r\n\r\n")[2]
                 whole = headers["warc-type"] == "response"
                 digest = base64.b32encode(hashlib.sha1(body).digest()).decode() if whole else None
@@ -175,11 +183,11 @@ def read_records(batches: Iterator[pa.RecordBatch], payloads: bool) -> Iterator[
                     headers["warc-payload-digest"].removeprefix("sha1:"), digest,
                     len(body) if whole else None, body if whole and payloads else None,
                 ))
-                size += len(block)
-                if size > BATCH_BYTES:
-                    yield _batch(rows, names, kinds)
-                    rows, size = [], 0
-            yield _batch(rows, names, kinds)
+                size += len(block) if payloads else 1000
+            if size > BATCH_BYTES:
+                yield _batch(rows, names, kinds)
+                rows, size = [], 0
+    yield _batch(rows, names, kinds)
 
 
 def _batch(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
@@ -190,9 +198,9 @@ def _batch(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
 
 
 def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
-    """Records of all archives under path. A file is one row, so files should be of bounded size."""
-    files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInArrow(lambda it: read_records(it, payloads), RECORDS)
+    """Records of all archives under path, which write_archives() has written."""
+    members = spark.read.options(**CUT).text(path).select(F.col("value").cast("binary").alias("member"))
+    return members.mapInArrow(lambda it: read_records(it, payloads), RECORDS)
 
 
 def resolve(records: DataFrame) -> DataFrame:
@@ -228,7 +236,7 @@ def resolve(records: DataFrame) -> DataFrame:
     ))
 
 
-def archived_pages(pages: DataFrame, least: int = 0, compression: str = "none") -> DataFrame:
+def archived_pages(pages: DataFrame, least: int = 0, date: str = DATE) -> DataFrame:
     """Write pages (page_id, url, html) to archives, read them back and resolve the revisits.
 
     One row per page: page_id, payload_bytes, payload_digest (bare base32 SHA-1, of the full
@@ -240,5 +248,5 @@ def archived_pages(pages: DataFrame, least: int = 0, compression: str = "none")
     header. No rows give no rows. Other columns are not read.
     """
     folder = scratch(pages.sparkSession, "warc")
-    records = write_archives(pages, f"{folder}/archives", least, compression)
+    records = write_archives(pages, folder, least, date)
     return resolve(written(records.drop("payload"), f"{folder}/records"))

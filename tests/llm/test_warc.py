@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import random
 from collections import Counter, defaultdict
@@ -41,18 +42,50 @@ def pages(seed: int) -> list[tuple]:
     return rows + [rows[0], rows[0], (None, "u", rows[0][2], None, None), (None, None, "only here", None, None)]
 
 
-@pytest.mark.parametrize(("seed", "least", "compression"), [(1, 0, "none"), (2, 30, "gzip")])
-def test_equals_grouping(spark, seed, least, compression):
+@pytest.mark.parametrize(("seed", "least", "limit"), [(1, 0, 10**6), (2, 30, 10**6), (3, 0, 2)])
+def test_equals_grouping(spark, seed, least, limit, monkeypatch):
+    """limit 2: more digests repeat than may be broadcast."""
+    monkeypatch.setattr(W, "BROADCAST_IDS", limit)
     rows = pages(seed)
     docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
-    found = Counter(map(tuple, W.archived_pages(docs, least, compression).collect()))
+    found = Counter(map(tuple, W.archived_pages(docs, least).collect()))
     assert found == brute(rows, least)
 
 
+def test_payloads_are_not_shuffled(spark, tmp_path):
+    """Headers are: the plan that brings the originals back to the pages has no exchange of rows."""
+    plan = W.plan_records(spark.createDataFrame(pages(4), SCHEMA), f"file://{tmp_path}/p")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+
+
+def test_any_gzip_reader_finds_the_records(spark, tmp_path):
+    """Each record is a member, an empty one closes it; a split may begin anywhere in a file."""
+    rows = pages(5)
+    folder = f"file://{tmp_path}/w"
+    W.write_archives(spark.createDataFrame(rows, SCHEMA).coalesce(1), folder, date="2024-05-06T07:08:09Z")
+    (file,) = (tmp_path / "w/archives").glob("part-*")
+    whole = gzip.decompress(file.read_bytes())
+    assert len(list(W.parse(whole))) == len(rows)
+    assert {h["warc-date"] for h, _ in W.parse(whole)} == {"2024-05-06T07:08:09Z"}
+    members = file.read_bytes().split(W.CLOSING)
+    assert members.pop() == b"" and len(members) == len(rows)
+    assert all(len(list(W.parse(gzip.decompress(m)))) == 1 for m in members)
+
+
+def test_files_may_be_larger_than_a_task(spark, tmp_path, settings):
+    settings(spark__sql__files__maxPartitionBytes="100KB", spark__sql__files__openCostInBytes="1KB")
+    draw = random.Random(6)
+    rows = [(i, "u", draw.randbytes(3000).hex(), "", 0) for i in range(300)]
+    found = W.write_archives(spark.createDataFrame(rows, SCHEMA).coalesce(1), f"file://{tmp_path}/w")
+    assert found.rdd.getNumPartitions() > 5
+    assert sorted(r.page_id for r in found.collect()) == list(range(300))
+
+
 def test_payloads_and_headers_come_back(spark, tmp_path):
     rows = pages(3)
     W.write_archives(spark.createDataFrame(rows, SCHEMA), f"file://{tmp_path}/a")
-    back = W.read_archives(spark, f"file://{tmp_path}/a", payloads=True).collect()
+    back = W.read_archives(spark, f"file://{tmp_path}/a/archives", payloads=True).collect()
     assert len(back) == len(rows)
     stored = {bytes(r.payload) for r in back if r.record_type == "response"}
     assert stored == {(r[2] or "").encode() for r in rows}
@@ -69,7 +102,7 @@ def test_damaged_payload_has_no_facts(spark):
 
 def test_digests(spark):
     text = spark.createDataFrame([("",), ("abc",)], "t string")
-    got = [r[0] for r in text.select(W.base32_sha1(F.encode("t", "UTF-8"))).collect()]
+    got = [r[0] for r in text.select(W.base32(F.sha1(F.encode("t", "UTF-8")))).collect()]
     assert got == [base64.b32encode(hashlib.sha1(x).digest()).decode() for x in (b"", b"abc")]
 
 
