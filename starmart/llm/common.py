@@ -85,6 +85,14 @@ def smallest_present(known: DataFrame, docs: DataFrame, most: int, folder: str)
     return written(present.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most), folder)
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """The name, lengthened until no column of df has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def word_count(text: Column | str) -> Column:
     """Words of a text; none for NULL."""
     return F.coalesce(F.regexp_count(F.col(text) if isinstance(text, str) else text,

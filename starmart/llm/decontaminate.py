@@ -2,7 +2,8 @@
 
 A mask looks at some of the words of a span and ignores the others, so a passage keeps most of
 its seeds when words are substituted. All masks are laid at every place of the benchmark texts
-and of the training texts.
+and of the training texts. An item shorter than the masks has one seed, of all its words; the
+training texts are looked through for seeds of the lengths that occur.
 
 1. Benchmark seeds are a table. Two bits of each seed are set in a bitmap of fixed size (8 MB),
    the only thing that is broadcast.
@@ -21,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import by_value, having, scratch, written
-from starmart.llm.tokens import WINDOW_BASES, mix, signed, slices, text_hashes, words
+from starmart.llm.common import by_value, having, scratch, spare, written
+from starmart.llm.tokens import WINDOW_BASES, Words, mix, signed, slices, text_hashes, words
 
 by_value(__name__)
 
@@ -30,6 +31,7 @@ by_value(__name__)
 MASKS = ("1101011", "1110101", "1011011", "1111110", "1001111")
 BITMAP_BITS = 26
 # Words here are runs of letters and digits (any byte over 127 is taken for one), in lower case.
+SHORT = 1 << 32
 INSIDE = np.zeros(256, bool)
 INSIDE[48:58] = INSIDE[65:91] = INSIDE[97:123] = INSIDE[128:] = True
 
@@ -60,6 +62,14 @@ def seeds(hashes: np.ndarray, masks: tuple[str, ...]) -> tuple[np.ndarray, np.nd
     return np.concatenate(places), np.concatenate(found)
 
 
+def short_seeds(hashes: np.ndarray, length: int) -> np.ndarray:
+    """The seed of every run of length words, all of which count."""
+    value = np.full(max(0, len(hashes) - length + 1), SHORT + length, np.uint64)
+    for at in range(length):
+        value = mix(value ^ hashes[at : at + len(value)])
+    return value
+
+
 def bits(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The two bits of each seed."""
     return values >> np.uint64(64 - BITMAP_BITS), values & np.uint64((1 << BITMAP_BITS) - 1)
@@ -83,6 +93,8 @@ def item_seeds(
             for row in range(b - a):
                 own = found.hashes[found.first[row] : found.first[row + 1]]
                 places, values = seeds(own, masks)
+                if 0 < len(own) < min(map(len, masks)):
+                    places, values = np.zeros(1, np.int64), short_seeds(own, len(own))
                 rows.append({
                     "item_id": batch.column("item_id")[a + row].as_py(), "words": own.tobytes(),
                     "places": places.tolist(), "seeds": values.view(np.int64).tolist(),
@@ -94,9 +106,9 @@ def item_seeds(
 
 
 def scan(
-    batches: Iterator[pa.RecordBatch], masks: tuple[str, ...], bitmap: np.ndarray
+    batches: Iterator[pa.RecordBatch], masks: tuple[str, ...], bitmap: np.ndarray, shorts: list[int]
 ) -> Iterator[pa.RecordBatch]:
-    """Texts with seeds whose bits are set."""
+    """Texts with seeds whose bits are set; of a short item's seed the first place in each text."""
     schema = pa.schema([
         ("doc_id", pa.int64()), ("whole", pa.int64()), ("words", pa.binary()),
         ("places", pa.list_(pa.int64())), ("seeds", pa.list_(pa.int64())),
@@ -108,6 +120,9 @@ def scan(
             places, values = seeds(found.hashes, masks)
             hit = np.flatnonzero(in_bitmap(bitmap, values))
             places, values = places[hit], values[hit]
+            for length in shorts:
+                first, seed = _first_places(found, short_seeds(found.hashes, length), length, bitmap)
+                places, values = np.concatenate((places, first)), np.concatenate((values, seed))
             row = np.searchsorted(found.first, places, side="right") - 1
             order = np.argsort(row, kind="stable")
             whole = text_hashes(found, WINDOW_BASES[0]).view(np.int64)
@@ -125,6 +140,21 @@ def scan(
         yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
+def _first_places(
+    found: Words, values: np.ndarray, length: int, bitmap: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Of the seeds whose bits are set and that lie in one text, the first place in each text."""
+    hit = np.flatnonzero(in_bitmap(bitmap, values))
+    row = np.searchsorted(found.first, hit, side="right") - 1
+    inside = hit + length <= found.first[row + 1]
+    hit, row = hit[inside], row[inside]
+    order = np.lexsort((hit, values[hit], row))
+    seed, text = values[hit][order], row[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (seed[1:] != seed[:-1]) | (text[1:] != text[:-1])
+    return hit[order][new], seed[new]
+
+
 def best_stretch(equal: np.ndarray, percent: int, least: int) -> tuple[int, int] | None:
     """The stretch of at least `least` words with the best score, None where none has one from 0.
 
@@ -176,11 +206,11 @@ def overlaps(
     docs (doc_id, text) and benchmark (item_id, text). A passage is a stretch of at least
     `least` aligned words, or of a shorter item's all words, of which at least `percent` in a
     hundred are equal; its alignment holds at least one seed: the words that one of the masks
-    looks at are equal. Texts are compared as runs of letters and digits with A-Z lower-cased.
+    looks at are equal, or all words of an item shorter than every mask. Texts are compared as runs of letters and digits with A-Z lower-cased.
 
     Columns: doc_id, item_id, doc_start, item_start (in words), n_words, n_equal, covers_item.
 
-    Defined cases: NULL and empty texts share nothing, nor do items shorter than every mask.
+    Defined cases: NULL and empty texts share nothing.
     Rows with NULL ids are compared like others and carry the NULL. Equal rows give one row. No
     rows on either side give no rows. Other columns are not read.
     """
@@ -188,10 +218,13 @@ def overlaps(
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text")
     items = written(items.mapInArrow(lambda it: item_seeds(it, masks), ITEMS), f"{folder}/items")
     bitmap = _bitmap(items)
+    size = (F.length("words") / 8).cast("int")
+    short = items.where((size > 0) & (size < min(map(len, masks)))).select(size.alias("size"))
+    shorts = sorted(r.size for r in short.distinct().collect())
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     held = written(
-        texts.mapInArrow(lambda it: scan(it, masks, bitmap), HELD), f"{folder}/held"
+        texts.mapInArrow(lambda it: scan(it, masks, bitmap, shorts), HELD), f"{folder}/held"
     )
     spread = [F.explode(F.arrays_zip("places", "seeds")).alias("s")]
     doc_seeds = held.select("doc_id", "whole", *spread)
@@ -245,7 +278,14 @@ def _bitmap(items: DataFrame) -> np.ndarray:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **limits) -> DataFrame:
-    """The rows of docs that share no passage with the benchmark. Rows with a NULL id stay."""
-    caught = overlaps(docs, benchmark, **limits).where("doc_id is not null")
-    folder = scratch(docs.sparkSession, "decontaminate-ids")
-    return having(docs, written(caught.select("doc_id").distinct(), folder), "doc_id", "left_anti")
+    """The rows of docs that share no passage with the benchmark.
+
+    Each row is judged by its own text, whatever its id: rows without an id and rows that share one
+    too. Texts are told apart by 64-bit hashes. Columns are kept.
+    """
+    own, name = F.xxhash64("text"), spare(docs, "_text")
+    judged = docs.where("text is not null").select(own.alias("doc_id"), "text")
+    folder = scratch(docs.sparkSession, "decontaminate-texts")
+    caught = overlaps(judged, benchmark, **limits).select(F.col("doc_id").alias(name)).distinct()
+    caught = written(caught, folder)
+    return having(docs.withColumn(name, own), caught, name, "left_anti").drop(name)
