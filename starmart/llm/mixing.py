@@ -2,14 +2,17 @@
 
 The words of a source, text after text, are packed into blocks of a fixed length. A target says
 how many words the mix takes: whole passes over the source, then some of its blocks, the last one
-cut to the word. Output shards draw how many slots each source fills from a multinomial over
-what the sources still owe, so that shards are mixed at random and the totals come out exact. The
-slots of a source run through a pseudorandom permutation of its block numbers, another one for
+cut to the word. How many slots of an output shard each source fills is drawn down a tree over the
+shards: the slots of a node are split between its halves by a multinomial over what the sources
+have in it, so that shards are mixed at random and the totals come out exact. Every draw is seeded
+by its node, so a task works out the shards it is given from the root, and none is made on the
+driver. The slots of a source run through a pseudorandom permutation of its block numbers, another one for
 each pass, and are joined with the blocks' contents by (source, block).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from fractions import Fraction
 from typing import NamedTuple
 
@@ -37,6 +40,8 @@ SHARD_SLOTS = 8192
 WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3
 ROUNDS = 6
+# Numbers of slots a task keeps of the splits it has drawn; others are drawn again.
+KEPT_COUNTS = 1 << 20
 
 
 class Source(NamedTuple):
@@ -95,21 +100,55 @@ def _permuted(index: pa.Array, size: pa.Array, key: pa.Array) -> pa.Array:
     return pa.array(permuted(*[np.asarray(x).astype(np.int64) for x in (index, size, key)]))
 
 
-def draw_slots(slots: list[int], shard_slots: int, seed: int) -> list[tuple[int, int, int, int]]:
-    """(shard, source, first slot, slots): multinomial draws over what the sources still owe."""
-    random = np.random.default_rng(seed)
-    left, next_slot, out, shard = np.array(slots, np.int64), np.zeros(len(slots), np.int64), [], 0
-    while (owed := int(left.sum())) > 0:
-        counts, room = np.zeros(len(left), np.int64), min(shard_slots, owed)
-        while room:
-            free = left - counts
-            drawn = np.minimum(random.multinomial(room, free / free.sum()), free)
-            counts, room = counts + drawn, room - int(drawn.sum())
-        out += [
-            (shard, int(s), int(next_slot[s]), int(counts[s])) for s in np.flatnonzero(counts)
-        ]
-        left, next_slot, shard = left - counts, next_slot + counts, shard + 1
-    return out
+class SlotTree:
+    """Which slots of each source the output shards get, however many shards there are.
+
+    A node is a range of shards; a leaf's slots follow from the splits on its way from the root.
+    """
+
+    def __init__(self, slots: list[int], shard_slots: int, seed: int):
+        self.slots, self.shard_slots, self.seed = np.array(slots, np.int64), shard_slots, seed
+        self.total = int(self.slots.sum())
+        self.shards = -(-self.total // shard_slots)
+        self.known: dict[tuple[int, int], np.ndarray] = {}
+
+    def room(self, low: int, high: int) -> int:
+        return min(high * self.shard_slots, self.total) - low * self.shard_slots
+
+    def left(self, low: int, high: int, counts: np.ndarray) -> np.ndarray:
+        """Slots of the first half of a node's shards, by source."""
+        if (low, high) not in self.known:
+            if len(self.known) * len(counts) >= KEPT_COUNTS:
+                self.known.clear()
+            random = np.random.default_rng([self.seed, low, high])
+            found, room = np.zeros(len(counts), np.int64), self.room(low, (low + high) // 2)
+            while room:
+                free = counts - found
+                drawn = np.minimum(random.multinomial(room, free / free.sum()), free)
+                found, room = found + drawn, room - int(drawn.sum())
+            self.known[low, high] = found
+        return self.known[low, high]
+
+    def shard(self, number: int) -> list[tuple[int, int, int, int]]:
+        """(shard, source, first slot, slots) of the sources that a shard has slots of."""
+        low, high, counts, first = 0, self.shards, self.slots, np.zeros(len(self.slots), np.int64)
+        while high - low > 1:
+            left, middle = self.left(low, high, counts), (low + high) // 2
+            if number < middle:
+                counts, high = left, middle
+            else:
+                first, counts, low = first + left, counts - left, middle
+        return [(number, int(s), int(first[s]), int(counts[s])) for s in np.flatnonzero(counts)]
+
+
+def shard_batches(batches: Iterator[pa.RecordBatch], tree: SlotTree) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        runs = [run for number in batch.column("id").to_pylist() for run in tree.shard(number)]
+        columns = list(zip(*runs)) or [()] * 4
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds)], ["shard", "_source", "first", "n"]
+        )
 
 
 def mix_sources(
@@ -122,8 +161,9 @@ def mix_sources(
 ) -> Mix:
     """Plan the mix of docs (doc_id, source, _size in words): what it takes, piece by piece.
 
-    The names of the sources and their sizes, and a count per output shard and source, pass
-    through the driver; texts, blocks and slots do not. picks: (shard, slot, turn, _source,
+    The names of the sources and their sizes pass through the driver and are broadcast; texts,
+    blocks, slots and output shards do not. Further columns of docs come back in rows, so they must
+    not have the names used here: callers put them into one struct. picks: (shard, slot, turn, _source,
     block, _row, start, words): in its slot, the mix takes `words` words of row _row from word
     `start`; turn numbers the pass over the source.
     """
@@ -161,8 +201,8 @@ def mix_sources(
         (F.least(F.col("at") + F.col("_size"), (F.col("block") + 1) * block_words)
          - F.greatest("at", F.col("block") * block_words)).alias("held"),
     )
-    slots = _slots(spark, named, draw_slots([_slot_count(p) for p in plan], shard_slots, seed),
-                   block_words, seed)
+    tree = SlotTree([_slot_count(p) for p in plan], shard_slots, seed)
+    slots = _slots(spark, named, tree, block_words)
     picks = slots.join(pieces, ["_source", "block"])
     words = F.least("held", F.col("take") - F.col("inside"))
     picks = picks.withColumn("words", words).where("words > 0").select(
@@ -184,10 +224,11 @@ def _slot_count(quota: tuple[int, int, int, int, int]) -> int:
     return passes * blocks + extra + (cut > 0)
 
 
-def _slots(spark, sources: DataFrame, drawn: list, block_words: int, seed: int) -> DataFrame:
+def _slots(spark, sources: DataFrame, tree: SlotTree, block_words: int) -> DataFrame:
     """A row per slot: its block, the pass it belongs to, and the words it takes from the block."""
-    runs = spark.createDataFrame(drawn, "shard bigint, _source int, first bigint, n bigint")
-    runs = runs.repartition(max(1, min(len(drawn), spark.sparkContext.defaultParallelism * 4)))
+    runs = spark.range(tree.shards).mapInArrow(
+        lambda it: shard_batches(it, tree), "shard bigint, _source int, first bigint, n bigint"
+    )
     slots = runs.join(F.broadcast(sources), "_source").select(
         "*", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("k")
     )
@@ -198,7 +239,7 @@ def _slots(spark, sources: DataFrame, drawn: list, block_words: int, seed: int)
     tail = ~whole & (rest >= F.col("full"))
     index = F.when(whole, F.expr("k % blocks")).otherwise(F.when(tail, F.lit(0)).otherwise(rest))
     size = F.when(whole, F.col("blocks")).otherwise(F.greatest("full", F.lit(1)))
-    key = F.xxhash64(F.lit(seed), F.coalesce("_name", F.lit("")), F.isnull("_name"), turn)
+    key = F.xxhash64(F.lit(tree.seed), F.coalesce("_name", F.lit("")), F.isnull("_name"), turn)
     block = F.when(tail, F.col("full")).otherwise(_permuted(index, size, key))
     take = F.when(whole | (rest < F.col("extra")), F.lit(block_words)).otherwise(F.col("cut"))
     return slots.select(
@@ -236,23 +277,27 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix as rows of docs: one row per text and pass that takes words of it.
 
     A text taken whole is unchanged. Of a text taken in part, the words taken are joined by one
-    blank, and n_chars, where there is such a column, is counted anew. Rows keep all columns.
+    blank, and n_chars, where there is such a column, is counted anew. Rows keep all columns,
+    whatever their names.
     """
-    mixed = mix_sources(docs.withColumn("_size", word_count("text")), **options)
+    own = docs.select(
+        "doc_id", "source", word_count("text").alias("_size"), F.struct(*docs.columns).alias("_own")
+    )
+    mixed = mix_sources(own, **options)
     parts = mixed.picks.groupBy("_row", "turn").agg(
         F.sum("words").alias("_words"),
         F.sort_array(F.collect_list(F.struct("start", "words"))).alias("_pieces"),
     ).drop("turn")
-    every = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    text = F.col("_own")["text"]
+    every = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
     cut = F.concat_ws(" ", F.flatten(F.transform(
         "_pieces", lambda p: F.slice(F.col("_all"), p["start"].cast("int") + 1, p["words"].cast("int"))
     )))
     whole = F.col("_words") == F.col("_size")
     rows = mixed.rows.join(parts, "_row")
     rows = rows.withColumn("_all", F.when(~whole, every))
-    rows = rows.withColumn("text", F.when(whole, F.col("text")).otherwise(cut))
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn(
-            "n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length("text"))
-        )
-    return rows.select(*docs.columns)
+    rows = rows.withColumn("_text", F.when(whole, text).otherwise(cut))
+    columns = {c: F.col("_own")[c] for c in docs.columns} | {"text": F.col("_text")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(whole, columns["n_chars"]).otherwise(F.length("_text"))
+    return rows.select(*[value.alias(name) for name, value in columns.items()])

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from starmart.llm import mixing as M
@@ -74,7 +75,8 @@ def test_permutations():
 
 
 def test_draws_cover_every_slot_once():
-    drawn = M.draw_slots([100, 0, 7, 1], 10, 3)
+    tree = M.SlotTree([100, 0, 7, 1], 10, 3)
+    drawn = [run for number in range(tree.shards) for run in tree.shard(number)]
     for source, slots in enumerate([100, 0, 7, 1]):
         own = [(first, n) for _, s, first, n in drawn if s == source]
         assert [f for f, _ in own] == list(np.cumsum([0] + [n for _, n in own])[:-1])
@@ -82,7 +84,45 @@ def test_draws_cover_every_slot_once():
     per_shard = Counter()
     for shard, _, _, n in drawn:
         per_shard[shard] += n
-    assert set(per_shard.values()) <= {10, 8}
+    assert [per_shard[i] for i in range(11)] == [10] * 10 + [8]
+
+
+def test_any_task_draws_a_shard_alike(monkeypatch):
+    """Shards follow from the seed alone, in any order and with no split kept."""
+    slots = [5_000, 300, 20_000, 1]
+    tree = M.SlotTree(slots, 64, 9)
+    want = {n: tree.shard(n) for n in range(tree.shards)}
+    monkeypatch.setattr(M, "KEPT_COUNTS", 8)
+    other = M.SlotTree(slots, 64, 9)
+    for n in random.Random(1).sample(range(tree.shards), 60):
+        assert other.shard(n) == want[n]
+    assert any(M.SlotTree(slots, 64, 10).shard(n) != want[n] for n in range(9))
+    # Shards are alike: each holds about its share of every large source.
+    for source in (0, 2):
+        own = [sum(n for _, s, _, n in want[k] if s == source) for k in range(tree.shards - 1)]
+        share = 64 * slots[source] / sum(slots)
+        assert abs(np.mean(own) - share) < 1 and 1 < np.std(own) < 3 * share**0.5
+
+
+def test_a_million_shards_need_no_list():
+    tree = M.SlotTree([7 * 10**9, 10**9], 8192, 1)
+    assert tree.shards == 976_563
+    numbers = range(0, tree.shards - 1, 9973)
+    (batch,) = M.shard_batches([pa.record_batch([pa.array(numbers)], ["id"])], tree)
+    rows = batch.to_pylist()
+    assert {r["shard"] for r in rows} == set(numbers)
+    assert all(abs(r["n"] - (7168 if r["_source"] == 0 else 1024)) < 300 for r in rows)
+    assert len(tree.known) < 3000
+
+
+def test_columns_may_have_any_names(spark):
+    names = ["_row", "_size", "_name", "_pieces", "_own", "_source", "_text", "_words", "shard", "block", "at", "slot"]
+    rows = [(i, "a b c", "s", *(k for k, _ in enumerate(names))) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, " + ", ".join(f"{n} int" for n in names))
+    mixed = M.mix_documents(docs, block_words=4)
+    assert mixed.columns == docs.columns
+    assert Counter(map(tuple, mixed.collect())) == Counter(rows)
+    assert sum(r.taken for r in M.mix_counts(docs, block_words=4).collect()) == 15
 
 
 def test_documents_hold_the_words_that_are_taken(spark):
