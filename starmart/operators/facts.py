@@ -18,12 +18,15 @@ def delivered_on_time(delivered: Column, estimated: Column) -> Column:
     return F.when(delivered.isNotNull(), F.coalesce(delivered <= estimated, F.lit(False)))
 
 
-def fact_orders(orders: DataFrame, metrics: DataFrame, hot: HotKeys = HotKeys()) -> DataFrame:
+def fact_orders(
+    orders: DataFrame, metrics: DataFrame, hot: HotKeys | None = None
+) -> DataFrame:
     """One row per order, with the measures of its children.
 
     An order without any child keeps NULL measures: the zeros of ``metrics``
     stand for children missing of one kind, not for no children at all.
-    ``hot`` names order ids that repeat very often among the orders.
+    ``hot`` names order ids that repeat very often among the orders, where that is
+    known; else the plan looks for them itself.
     """
     purchased = F.col("order_purchase_timestamp")
     delivered = F.col("order_delivered_customer_date")

@@ -6,6 +6,10 @@ partitioned by the key, is not one. Here the few hot keys are found first and
 their rows are joined to a broadcast of the at most ``MAX_HOT_KEYS`` matching
 rows instead, leaving the rest an ordinary join that reuses the grouping's
 partitioning.
+
+Hot keys that nobody has noted before are found by the join itself: a sketch of the
+key column is broadcast, and where it names no key, adaptive execution drops the
+other way.
 """
 
 from __future__ import annotations
@@ -56,6 +60,23 @@ def observe_hot_keys(
     return watched, lambda: _hot(seen.get, min_rows)
 
 
+def hot_key_rows(df: DataFrame, key: str, min_rows: int | None = None) -> DataFrame:
+    """The hot keys of ``df`` as rows (``hot_key``), found when the plan runs.
+
+    One pass over the key column; at most ``MAX_HOT_KEYS`` rows, and one for NULL.
+    """
+    share = F.greatest(
+        F.col("total") / MAX_HOT_KEYS, F.lit(MIN_HOT_ROWS if min_rows is None else min_rows)
+    )
+    named = F.filter("top", lambda t: t["item"].isNotNull() & (t["count"] >= share))
+    keys = F.transform(named, lambda t: t["item"])
+    missing = F.when(F.col("nulls") >= share, F.array(F.lit(None).cast("string")))
+    nothing = F.array().cast("array<string>")
+    return df.agg(*_sketch(key)).select(
+        F.explode(F.concat(keys, F.coalesce(missing, nothing))).alias("hot_key")
+    )
+
+
 def _sketch(key: str) -> list[Column]:
     text = F.col(key).cast("string")
     return [
@@ -76,9 +97,20 @@ def _hot(found: Mapping, min_rows: int) -> HotKeys:
 
 
 def left_join_unique(
-    left: DataFrame, right: DataFrame, key: str, hot: HotKeys = HotKeys()
+    left: DataFrame, right: DataFrame, key: str, hot: HotKeys | None = None
 ) -> DataFrame:
-    """Left join on a text key; ``right`` has at most one row per non-NULL key."""
+    """Left join on a text key; ``right`` has at most one row per non-NULL key.
+
+    ``hot``: the hot keys of ``left``, where they are known; else the plan finds them.
+    """
+    if hot is None:
+        # At most MAX_HOT_KEYS + 1 rows, like those of ``right`` that match them.
+        names = F.broadcast(hot_key_rows(left, key))
+        is_hot = F.col(key).eqNullSafe(F.col("hot_key"))
+        matching = F.broadcast(right.join(names, F.col(key) == F.col("hot_key"), "left_semi"))
+        spread = left.join(names, is_hot, "left_semi").join(matching, key, "left")
+        cold = left.join(names, is_hot, "left_anti")
+        return cold.join(right, key, "left").unionByName(spread)
     if not hot:
         return left.join(right, key, "left")
     is_hot = hot.matches(F.col(key))

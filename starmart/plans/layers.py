@@ -1,21 +1,27 @@
 """Where staged tables and marts live, and how readers find them.
 
-Every build writes a fresh folder per layer and then appends one row to a small
+Every build writes a fresh folder per layer and then adds one numbered entry to a
 publication log, which names the current version of every layer. A reader resolves
-the newest row once, so it sees either the old build or the new one in full, over
+the newest entry once, so it sees either the old build or the new one in full, over
 all layers, and no plan overwrites a path it reads.
+
+An entry is created only if its number is still free, and only if the layers it
+replaces are those its build began from. Of two builds at once, one is published and
+the other gets a ``PublicationConflict``; neither is lost unnoticed or mixed.
 """
 
 from __future__ import annotations
 
 import json
+import os
+import re
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import UTC, datetime, timedelta
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -24,10 +30,13 @@ STAGING = "staging"
 MARTS = "marts"
 # ``tables`` holds each table's schema as JSON, so that reading infers nothing.
 LOG_SCHEMA = (
-    "layers map<string, struct<version: string, tables: map<string, string>>>, "
+    "number bigint, layers map<string, struct<version: string, tables: map<string, string>>>, "
     "published_at timestamp_ntz"
 )
+ENTRY = "{:012d}.json"
 VERSION_TIME = "%Y%m%dT%H%M%S%f"
+# Points at which the values of a clustered column are known.
+SKETCHED = 1024
 # An unpublished folder younger than this may belong to a build that still runs.
 RUNNING = timedelta(days=1)
 
@@ -40,6 +49,61 @@ class Build:
     tables: Mapping[str, str]
 
 
+@dataclass(frozen=True)
+class Publication:
+    """An entry of the log: its number, from 1, and the current build of every layer."""
+
+    number: int
+    layers: Mapping[str, Build]
+
+    def version(self, layer: str) -> str | None:
+        return self.layers[layer].version if layer in self.layers else None
+
+
+@dataclass(frozen=True)
+class Ranges:
+    """Ranges of a column that hold about as many rows each: upper bounds of all but the last.
+
+    A value that fills several ranges is their common bound, and its rows are spread over them.
+    Where a sketch cannot tell so many ranges apart, each is dealt to several ``parts``.
+    """
+
+    column: str
+    bounds: tuple = ()
+    parts: int = 1
+
+    @staticmethod
+    def of(table: DataFrame, column: str, value: Column, rows: int) -> Ranges:
+        """Bounds from one pass over the values in ``table``, about ``rows`` to a range or part."""
+        points = [(i + 1) / SKETCHED for i in range(SKETCHED)]
+        found = table.agg(
+            F.count(value).alias("n"),
+            F.percentile_approx(value, points, 10 * SKETCHED).alias("sketch"),
+        ).first()
+        wanted = max(1, -(-found["n"] // rows))
+        count = min(SKETCHED, wanted)
+        bounds = [found["sketch"][(i + 1) * SKETCHED // count - 1] for i in range(count - 1)]
+        return Ranges(column, tuple(bounds), -(-wanted // count))
+
+    def deal(self, table: DataFrame) -> DataFrame:
+        """The table by ranges, NULL in the first, each sorted."""
+        if self.bounds:
+            bounds, own = F.array(*map(F.lit, self.bounds)), F.col(self.column)
+            below = F.size(F.filter(bounds, lambda b: b < own))
+            equal = F.size(F.filter(bounds, lambda b: b == own))
+            spread = F.xxhash64(*table.columns)
+            place = F.coalesce(below + F.pmod(spread, equal + 1), F.lit(0)) * self.parts
+            part = F.pmod(F.shiftright(spread, 32), F.lit(self.parts))
+            table = table.repartitionById(
+                (len(self.bounds) + 1) * self.parts, (place + part).cast("int")
+            )
+        return table.sortWithinPartitions(self.column)
+
+
+class PublicationConflict(RuntimeError):
+    """What a build started from was replaced while it ran; nothing was published."""
+
+
 class Snapshot:
     """The layers as one publication left them, whatever is published later."""
 
@@ -67,7 +131,11 @@ class Snapshot:
 
 
 class Warehouse:
-    """Staging and mart layers as Parquet under one root folder; one build at a time."""
+    """Staging and mart layers as Parquet under one root folder.
+
+    Builds may run at once, in this or other processes. The file system must refuse to rename
+    onto an existing name in one step, as HDFS does; on a local one a hard link does the same.
+    """
 
     def __init__(self, spark: SparkSession, root: str, prefix: str = "main_") -> None:
         self.spark = spark
@@ -78,60 +146,64 @@ class Warehouse:
         self,
         layer: str,
         tables: Mapping[str, DataFrame],
-        partitions: Mapping[str, tuple[str, Column]] | None = None,
+        clustered: Mapping[str, Ranges] | None = None,
         writers: int = 4,
     ) -> Build:
         """Write a layer in full, without publishing it.
 
-        The tables are independent jobs, so a few are written at a time.
-        ``partitions`` names a further column and its expression for tables that
-        are laid out by it; rows meet by its value first, large values split
-        over several tasks, so that a value's rows fill few files.
+        The tables are independent jobs, so a few are written at a time. Those named in
+        ``clustered`` are dealt out by ranges of a column and sorted by it, so that a filter on
+        it reads few row groups.
         """
         version = f"{datetime.now(UTC):{VERSION_TIME}}-{uuid.uuid4().hex[:8]}"
         laid_out = dict(tables)
-        for name, (column, value) in (partitions or {}).items():
-            laid_out[name] = tables[name].withColumn(column, value).hint("rebalance", column)
+        for name, ranges in (clustered or {}).items():
+            laid_out[name] = ranges.deal(tables[name])
 
         def write(name: str) -> None:
-            writer = laid_out[name].write
-            if name in (partitions or {}):
-                writer = writer.partitionBy(partitions[name][0])
-            writer.parquet(self.path(layer, version, name))
+            laid_out[name].write.parquet(self.path(layer, version, name))
 
         with ThreadPoolExecutor(max_workers=writers) as pool:
             list(pool.map(write, laid_out))
-        return Build(version, {name: t.schema.json() for name, t in laid_out.items()})
-
-    def publish(self, layers: Mapping[str, Build]) -> None:
-        """Make the given layers current, all at once; others stay as they are."""
-        current = {**self._layers(), **layers}
-        entry = F.create_map(*[
-            part
-            for name, build in current.items()
-            for part in (F.lit(name), F.struct(
-                F.lit(build.version).alias("version"),
-                F.create_map(*[F.lit(x) for item in build.tables.items() for x in item])
-                .alias("tables"),
-            ))
-        ])
-        now = F.lit(f"{datetime.now(UTC):%Y-%m-%d %H:%M:%S.%f}").cast("timestamp_ntz")
-        self.spark.range(0, 1, 1, 1).select(
-            entry.alias("layers"), now.alias("published_at")
-        ).write.mode("append").parquet(f"{self.root}/publications")
+        return Build(version, {name: t.schema.json() for name, t in tables.items()})
+
+    def publish(
+        self,
+        layers: Mapping[str, Build],
+        parent: Publication | None = None,
+        reads: Iterable[str] = (),
+    ) -> Publication:
+        """Make the given layers current, all at once; others stay as they are.
+
+        ``parent`` is what ``newest()`` gave when the build began. If the given layers, or those
+        it ``reads``, are no longer the parent's, ``PublicationConflict`` is raised. Without a
+        parent only a publication at the same instant is guarded against.
+        """
+        while True:
+            newest = self.newest()
+            for name in {*layers, *reads} if parent else ():
+                if newest.version(name) != parent.version(name):
+                    raise PublicationConflict(
+                        f"{name}: publication {newest.number} replaced "
+                        f"{parent.version(name)} by {newest.version(name)}"
+                    )
+            entry = Publication(newest.number + 1, {**newest.layers, **layers})
+            if self._add(entry):
+                return entry
 
     def refresh(self, layer: str, tables: Mapping[str, DataFrame]) -> str:
         """Rebuild and publish one layer; nothing is published unless every table succeeds."""
+        parent = self.newest()
         build = self.write(layer, tables)
-        self.publish({layer: build})
+        self.publish({layer: build}, parent)
         return build.version
 
     def snapshot(self) -> Snapshot:
         """What is published now; read several tables through one snapshot."""
-        layers = self._layers()
-        if not layers:
+        newest = self.newest()
+        if not newest.layers:
             raise LookupError(f"nothing published under {self.root}")
-        return Snapshot(self, layers)
+        return Snapshot(self, newest.layers)
 
     def read(self, layer: str, name: str) -> DataFrame:
         return self.snapshot().read(layer, name)
@@ -161,7 +233,10 @@ class Warehouse:
         """
         if keep < 1:
             raise ValueError("the current build must be kept")
-        newest = self._log().orderBy(F.desc("published_at")).select(
+        if not self._entries():
+            return []
+        log = self.spark.read.schema(LOG_SCHEMA).json(f"{self.root}/publications/*.json")
+        newest = log.orderBy(F.desc("number")).select(
             F.col("layers")[layer]["version"].alias("version")
         )
         published = list(dict.fromkeys(
@@ -171,9 +246,7 @@ class Warehouse:
             return []
         kept = set(published[:keep])
         limit = f"{datetime.now(UTC) - running:{VERSION_TIME}}"
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        folder = hadoop.Path(f"{self.root}/{layer}")
-        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        files, folder = self._files(layer)
         deleted = []
         for status in files.listStatus(folder):
             name = status.getPath().getName()
@@ -186,23 +259,82 @@ class Warehouse:
     def path(self, layer: str, version: str, name: str) -> str:
         return f"{self.root}/{layer}/{version}/{name}"
 
-    def _log(self) -> DataFrame:
-        return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/publications")
-
-    def _layers(self) -> dict[str, Build]:
-        """The newest publication, or nothing where there is none yet."""
+    def newest(self) -> Publication:
+        """The newest entry of the log; number 0, without layers, where there is none yet."""
+        entries = self._entries()
+        if not entries:
+            return Publication(0, {})
+        files, folder = self._files("publications")
+        stream = files.open(self._hadoop.Path(folder, max(entries)))
         try:
-            newest = self._log().orderBy(F.desc("published_at")).first()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return {}
-        if newest is None:
-            return {}
-        return {
-            name: Build(build["version"], dict(build["tables"]))
-            for name, build in newest["layers"].items()
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        entry = json.loads(text)
+        return Publication(entry["number"], {
+            name: Build(build["version"], build["tables"])
+            for name, build in entry["layers"].items()
+        })
+
+    @property
+    def _hadoop(self):
+        return self.spark._jvm.org.apache.hadoop.fs
+
+    def _files(self, folder: str):
+        """The file system of a folder under the root, and the folder."""
+        path = self._hadoop.Path(f"{self.root}/{folder}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _entries(self) -> list[str]:
+        files, folder = self._files("publications")
+        if not files.exists(folder):
+            return []
+        names = [status.getPath().getName() for status in files.listStatus(folder)]
+        return [name for name in names if re.fullmatch(r"\d{12}\.json", name)]
+
+    def _add(self, entry: Publication) -> bool:
+        """Put an entry under its number, whole and at once; False if the number is taken."""
+        files, folder = self._files("publications")
+        files.mkdirs(folder)
+        draft = self._hadoop.Path(folder, f"_{uuid.uuid4().hex}")
+        final = self._hadoop.Path(folder, ENTRY.format(entry.number))
+        content = {
+            "number": entry.number,
+            "layers": {
+                name: {"version": b.version, "tables": dict(b.tables)}
+                for name, b in entry.layers.items()
+            },
+            "published_at": f"{datetime.now(UTC):%Y-%m-%dT%H:%M:%S.%f}",
         }
+        stream = files.create(draft, False)
+        try:
+            stream.write(bytearray(json.dumps(content).encode()))
+        finally:
+            stream.close()
+        try:
+            return self._rename(files, draft, final)
+        finally:
+            files.delete(draft, False)
+
+    def _rename(self, files, draft, final) -> bool:
+        if files.getUri().getScheme() == "file":
+            try:
+                os.link(draft.toUri().getPath(), final.toUri().getPath())
+            except FileExistsError:
+                return False
+            return True
+        context = self._hadoop.FileContext.getFileContext(
+            files.getUri(), self.spark._jsc.hadoopConfiguration()
+        )
+        options = getattr(self._hadoop, "Options$Rename")
+        none = self.spark.sparkContext._gateway.new_array(options, 0)
+        try:
+            context.rename(files.makeQualified(draft), files.makeQualified(final), none)
+        except Py4JJavaError:
+            if files.exists(final):
+                return False
+            raise
+        return True
 
 
 def create_views(tables: Mapping[str, DataFrame]) -> None:

@@ -7,13 +7,14 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starmart.functions import date_key
 from starmart.operators.dimensions import dim_customer, dim_date, dim_product, dim_seller
 from starmart.operators.facts import fact_order_items, fact_orders
 from starmart.operators.rollups import order_metrics
 from starmart.operators.skew import HotKeys, observe_hot_keys
 from starmart.operators.staging import STAGED, stage_all
 from starmart.plans.checks import CHECKS
-from starmart.plans.layers import MARTS, STAGING, Snapshot, Warehouse
+from starmart.plans.layers import MARTS, STAGING, Ranges, Snapshot, Warehouse
 from starmart.plans.quality import summarise
 from starmart.sources import read_all_raw
 
@@ -23,9 +24,9 @@ def order_fact(
     items: DataFrame,
     payments: DataFrame,
     reviews: DataFrame,
-    hot: HotKeys = HotKeys(),
+    hot: HotKeys | None = None,
 ) -> DataFrame:
-    """``fact_orders`` from staged tables. ``hot``: order ids that repeat very often."""
+    """``fact_orders`` from staged tables. ``hot``: order ids that repeat very often, if known."""
     metrics = order_metrics(items, payments, reviews, known_orders_only=True)
     return fact_orders(orders, metrics, hot)
 
@@ -43,9 +44,10 @@ MODELS = {
     "dim_date": (dim_date, ("stg_orders",)),
 }
 
-# Facts are laid out by the month of purchase, so that a month's report reads a month.
-MONTH = "order_month"
+# Facts are laid out by purchase date, so that a month's report reads a month.
 FACTS = ("fact_orders", "fact_order_items")
+DATE = "order_date_sk"
+ROWS_PER_RANGE = 1_000_000
 
 # The order metrics stay a view among the marts; a catalog view needs SQL text.
 ORDER_METRICS_VIEW = """
@@ -73,7 +75,7 @@ GROUP BY order_id, if(order_id IS NULL, child, NULL)
 
 
 def model(
-    staged: Mapping[str, DataFrame], hot: HotKeys = HotKeys()
+    staged: Mapping[str, DataFrame], hot: HotKeys | None = None
 ) -> dict[str, DataFrame]:
     """Dimensions and facts from staged tables; making the plans runs no job."""
     return {
@@ -101,17 +103,22 @@ def build(warehouse: Warehouse, raw: Mapping[str, DataFrame]) -> None:
 
     Staged tables are written first: the text is parsed once instead of once per
     mart and check, and a lost executor re-reads columns rather than extracts.
-    Order ids that repeat very often are noticed in passing.
+    Order ids that repeat very often are noticed in passing. Facts are clustered by the
+    order date, whose ranges come from the staged orders. Raises PublicationConflict if
+    another build was published meanwhile.
     """
+    parent = warehouse.newest()
     staged = stage_all(raw)
     staged["stg_orders"], hot_keys = observe_hot_keys(staged["stg_orders"], "order_id")
     staging = warehouse.write(STAGING, staged)
     written = Snapshot(warehouse, {STAGING: staging}).read_layer(STAGING)
-    month = F.expr("order_date_sk div 100").cast("int")
+    dates = Ranges.of(
+        written["stg_orders"], DATE, date_key(F.col("order_purchase_timestamp")), ROWS_PER_RANGE
+    )
     marts = warehouse.write(
-        MARTS, model(written, hot_keys()), {name: (MONTH, month) for name in FACTS}
+        MARTS, model(written, hot_keys()), dict.fromkeys(FACTS, dates)
     )
-    warehouse.publish({STAGING: staging, MARTS: marts})
+    warehouse.publish({STAGING: staging, MARTS: marts}, parent)
 
 
 def mount(warehouse: Warehouse) -> None:

@@ -1,5 +1,7 @@
 """Building, publishing, mounting and checking a whole warehouse."""
 
+import threading
+from concurrent.futures import ThreadPoolExecutor
 from datetime import timedelta
 
 import pytest
@@ -7,7 +9,9 @@ import pytest
 from starmart import __main__ as command_line
 from starmart.operators.staging import stage_all
 from starmart.plans import pipeline
-from starmart.plans.layers import MARTS, STAGING, Warehouse, create_views
+from starmart.plans.layers import (
+    MARTS, STAGING, Build, PublicationConflict, Warehouse, create_views,
+)
 from tests.conftest import failing
 from tests.fixtures import CSV, write_sources
 
@@ -29,7 +33,6 @@ def test_published_tables_equal_the_lazy_ones(spark, tmp_path):
     published = {**warehouse.read_layer(STAGING), **warehouse.read_layer(MARTS)}
     assert set(published) == set(expected) and len(published) == 13
     for name, table in published.items():
-        table = table.drop(pipeline.MONTH)
         assert table.dtypes == expected[name].dtypes
         assert rows(table) == rows(expected[name]), name
 
@@ -109,6 +112,80 @@ def test_one_reader_sees_one_build_of_all_layers(spark, tmp_path):
                                 warehouse.read(MARTS, "dim_seller"))} == {3}
 
 
+def test_of_two_builds_at_once_one_is_published(spark, tmp_path, monkeypatch):
+    """Both begin from the same publication; the loser hears of it and nothing is mixed."""
+    warehouse = Warehouse(spark, f"{tmp_path}/wh")
+    pipeline.build(warehouse, raw(warehouse, tmp_path))
+    first = warehouse.newest()
+    both = threading.Barrier(2)
+    publish = Warehouse.publish
+
+    def together(self, *arguments, **options):
+        both.wait(60)
+        return publish(self, *arguments, **options)
+
+    monkeypatch.setattr(Warehouse, "publish", together)
+    folders = [tmp_path / "a", tmp_path / "b"]
+    sources = []
+    for n, folder in enumerate(folders):
+        folder.mkdir()
+        more = CSV["sellers"] + "".join(f"s{k},5,natal,rn\n" for k in range(3, 4 + n))
+        sources.append(raw(warehouse, folder, sellers=more))
+    outcomes = []
+
+    def build(source):
+        try:
+            pipeline.build(Warehouse(spark, f"{tmp_path}/wh"), source)
+            outcomes.append("published")
+        except PublicationConflict as conflict:
+            outcomes.append("conflict")
+            assert f"publication {first.number + 1} replaced" in str(conflict)
+
+    threads = [threading.Thread(target=build, args=(s,)) for s in sources]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert sorted(outcomes) == ["conflict", "published"]
+    assert warehouse.newest().number == first.number + 1
+    after = warehouse.snapshot()
+    assert after.read(MARTS, "dim_seller").count() == after.read(STAGING, "stg_sellers").count() in (3, 4)
+
+
+def test_entries_are_created_once_each(spark, tmp_path):
+    """Many publications at the same instant: every number is taken once, none is lost."""
+    warehouse = Warehouse(spark, f"{tmp_path}/wh")
+    layers = {f"layer{n}": Build(f"v{n}", {}) for n in range(12)}
+    with ThreadPoolExecutor(12) as pool:
+        list(pool.map(lambda item: warehouse.publish(dict([item])), layers.items()))
+    newest = warehouse.newest()
+    assert newest.number == 12 and newest.layers == layers
+    names = sorted(p.name for p in (tmp_path / "wh/publications").iterdir() if p.suffix == ".json")
+    assert names == [f"{n:012d}.json" for n in range(1, 13)]
+
+
+def test_a_build_that_read_a_replaced_layer_is_refused(spark, tmp_path):
+    warehouse = Warehouse(spark, f"{tmp_path}/wh")
+    warehouse.refresh(STAGING, {"t": spark.range(1)})
+    parent = warehouse.newest()
+    marts = warehouse.write(MARTS, {"t": spark.range(2)})
+    warehouse.refresh("other", {"t": spark.range(3)})
+    warehouse.publish({MARTS: marts}, parent, reads=[STAGING])
+    warehouse.refresh(STAGING, {"t": spark.range(4)})
+    with pytest.raises(PublicationConflict, match="staging"):
+        warehouse.publish({"third": marts}, parent, reads=[STAGING])
+    with pytest.raises(PublicationConflict, match="marts"):
+        warehouse.publish({MARTS: marts}, parent)
+    assert set(warehouse.newest().layers) == {STAGING, MARTS, "other"}
+
+
+def test_an_entry_is_never_seen_half_written(spark, tmp_path):
+    warehouse = Warehouse(spark, f"{tmp_path}/wh")
+    warehouse.publish({"l": Build("v1", {})})
+    (tmp_path / "wh/publications/_draft").write_text("{")
+    assert warehouse.newest().number == 1 and warehouse.prune("none") == []
+
+
 def test_reading_what_is_not_there(spark, tmp_path):
     warehouse = Warehouse(spark, f"{tmp_path}/wh")
     with pytest.raises(Exception):
