@@ -75,14 +75,12 @@ class Ranges:
     @staticmethod
     def of(table: DataFrame, column: str, value: Column, rows: int) -> Ranges:
         """Bounds from one pass over the values in ``table``, about ``rows`` to a range or part."""
-        points = [(i + 1) / SKETCHED for i in range(SKETCHED)]
-        found = table.agg(
-            F.count(value).alias("n"),
-            F.percentile_approx(value, points, 10 * SKETCHED).alias("sketch"),
-        ).first()
-        wanted = max(1, -(-found["n"] // rows))
+        wanted = -(-table.count() // rows)
+        if wanted <= 1:
+            return Ranges(column)
         count = min(SKETCHED, wanted)
-        bounds = [found["sketch"][(i + 1) * SKETCHED // count - 1] for i in range(count - 1)]
+        points = [(i + 1) / count for i in range(count - 1)]
+        bounds = table.agg(F.percentile_approx(value, points, 10 * SKETCHED)).first()[0] or []
         return Ranges(column, tuple(bounds), -(-wanted // count))
 
     def deal(self, table: DataFrame) -> DataFrame:

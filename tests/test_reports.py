@@ -100,6 +100,19 @@ def test_repeated_dimension_rows_count_as_a_join_would(spark, fact_orders):
     }
 
 
+def test_copies_that_contradict_each_other(spark):
+    """Many keys, some with equal copies, some with differing or missing values, one of them hot."""
+    fact = spark.range(4000).selectExpr("if(id % 3 = 0, 'k7', concat('k', id % 500)) AS customer_sk",
+                                        "double(id % 17) AS total_order_value")
+    dimension = spark.range(1200).selectExpr(
+        "if(id % 4 = 0, 'k7', concat('k', id % 450)) AS customer_sk",
+        "CASE WHEN id % 90 = 0 THEN NULL WHEN id % 5 = 0 THEN concat('S', id % 7) ELSE concat('S', id % 450 % 6) END AS customer_state")
+    joined = fact.join(dimension, "customer_sk").groupBy("customer_state").sum("total_order_value").collect()
+    found = reports.state_revenue(fact, dimension).collect()
+    assert {tuple(r) for r in found} == {tuple(r) for r in joined} and len(found) == len(joined)
+    assert [r.revenue for r in found] == sorted((r.revenue for r in found), reverse=True)
+
+
 def test_installments(fact_orders):
     assert rows(reports.installment_distribution(fact_orders)) == [(1, 1), (3, 2)]
 
