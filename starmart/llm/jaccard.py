@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import by_value, having, scratch, written
+from starmart.llm.common import by_value, having, scratch, spare, written
 from starmart.llm.components import components
 from starmart.llm.tokens import mix, signed, slices, window_hashes, words
 
@@ -470,19 +470,32 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
 
 
 def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """docs with one document of each component: the one with the smallest doc_id.
+    """docs with one row of each component: one with the smallest doc_id, NULL last.
 
-    Rows that repeat a doc_id are one document, of which one row stays. Rows without a doc_id
-    stay. Columns are kept.
+    Each row is judged by its own text, whatever its id: rows that share an id but no text both
+    stay, and rows without an id are found like others. Of rows with the same id and text one
+    stays, and all of those without words. Rows are told apart by 64-bit hashes. Columns are kept.
     """
     folder = scratch(docs.sparkSession, "near-copies")
-    found = written(jaccard_components(docs, n, percent).where("doc_id is not null"),
-                    f"{folder}/components")
-    copies = found.where("doc_id <> component_id").select("doc_id").distinct()
-    left = having(docs, written(copies, f"{folder}/copies"), "doc_id", "left_anti")
-    again = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
-    again = written(again.select("doc_id"), f"{folder}/again")
+    name = spare(docs, "_row")
+    rows = docs.withColumn(name, F.xxhash64("doc_id", "text"))
+    judged = rows.select(F.col(name).alias("doc_id"), "text")
+    found = jaccard_components(judged, n, percent).where("n_shingles > 0")
+    found = written(found.groupBy(F.col("doc_id").alias(name), F.col("component_id").alias("component")).agg(
+        F.count(F.lit(1)).alias("copies")), f"{folder}/components")
+    several = written(
+        found.groupBy("component").agg(F.sum("copies").alias("rows")).where("rows > 1").select("component"),
+        f"{folder}/several",
+    )
+    members = written(found.join(several, "component"), f"{folder}/members")
+    ids = having(rows.select(name, F.col("doc_id").alias("own")), members.select(name), name).distinct()
+    first = F.min(F.struct(F.col("own").isNull(), "own", name)).alias("first")
+    kept = members.join(ids, name).groupBy("component").agg(first).select(F.col("first")[name].alias(name))
+    kept = written(kept, f"{folder}/kept")
+    gone = written(members.select(name).join(kept, name, "left_anti"), f"{folder}/gone")
+    left = having(rows, gone, name, "left_anti")
+    again = written(members.where("copies > 1").select(name).join(kept, name, "left_semi"), f"{folder}/again")
     if again.isEmpty():
-        return left
-    once = having(left, again, "doc_id").dropDuplicates(["doc_id"])
-    return having(left, again, "doc_id", "left_anti").unionByName(once)
+        return left.drop(name)
+    once = having(left, again, name).dropDuplicates([name])
+    return having(left, again, name, "left_anti").unionByName(once).drop(name)

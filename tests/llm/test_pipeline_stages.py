@@ -82,8 +82,13 @@ def test_run_gives_what_the_stages_give(spark, tables):
     assert found and {r.doc_id for r in found} <= ids
 
 
-def test_rows_that_repeat_an_id_are_one_document(spark):
+def test_each_row_is_judged_by_its_own_text(spark):
+    """Repeated and missing ids: copies go whatever their id, other texts stay."""
     text = " ".join(f"w{i}" for i in range(20))
-    rows = [(1, text, "a"), (1, text, "a"), (2, text, "b"), (None, text, "c"), (3, "else", None), (3, "else", None)]
-    left = drop_near_copies(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
-    assert sorted(map(str, (r.doc_id for r in left.collect()))) == ["1", "3", "None"]
+    other = " ".join(f"v{i}" for i in range(20))
+    rows = [(1, text, "a"), (1, text, "b"), (2, text, "c"), (None, text, "d"), (3, "else", "e"), (3, "else", "f"),
+            (2, other, "g"), (None, other + " x", "h"), (None, "alone here", "i"), (4, "", "j"), (4, "", "k"), (None, None, "l")]
+    left = drop_near_copies(spark.createDataFrame(rows, "doc_id bigint, text string, _row string"))
+    assert left.columns == ["doc_id", "text", "_row"]
+    kept = Counter((r.doc_id, r.text) for r in left.collect())
+    assert kept == Counter([(1, text), (3, "else"), (2, other), (None, "alone here"), (4, ""), (4, ""), (None, None)])
