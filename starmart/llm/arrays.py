@@ -52,9 +52,10 @@ def running(values: Column, merge: Callable[[Column, Column], Column], zero: Col
 
 
 def matches(text: Column, pattern: str, group: int = 0) -> Column:
-    """Leftmost non-overlapping matches: an array of (start, end, size).
+    """Leftmost non-overlapping matches: an array of (start, end, size, found).
 
-    start and end are code points, end exclusive; size is the length of the group.
+    start and end are code points, end exclusive; size is the length of the group; found is the
+    match itself, which would take a walk from the text's beginning to cut out again.
     """
 
     def place(found: Column, between: Column, groups: Column) -> Column:
@@ -66,7 +67,7 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
         # A gap counts the match before it, so its running total is where the next one starts.
         return F.transform(starts, lambda s, i: F.struct(
             s.alias("start"), (s + F.length(F.get(found, i))).alias("end"),
-            F.length(F.get(groups, i)).alias("size"),
+            F.length(F.get(groups, i)).alias("size"), F.get(found, i).alias("found"),
         ))
 
     regex = F.lit(pattern)

@@ -125,9 +125,7 @@ def base_spans(text: Column, kind: str) -> Column:
 
 def random_runs(text: Column, ratios: Column, margin: float) -> Column:
     runs = matches(text, f"{RUN}{{{LEAST_RUN},}}")
-    likely = F.filter(runs, lambda m: log_ratio(
-        F.substring(text, m["start"].cast("int") + 1, (m["end"] - m["start"]).cast("int")), ratios
-    ) > margin)
+    likely = F.filter(runs, lambda m: log_ratio(m["found"], ratios) > margin)
     return F.transform(likely, lambda m: F.struct(
         m["start"].alias("start"), m["end"].alias("end"),
         F.lit(ORDER.index("markov")).alias("kind"),

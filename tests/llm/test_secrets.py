@@ -85,3 +85,23 @@ def test_running_folds(spark):
         row = spark.range(1).select(F.sequence(F.lit(1), F.lit(n)).cast("array<bigint>").alias("v") if n else F.array().cast("array<bigint>").alias("v"))
         got = row.select(arrays.running_total(F.col("v")).alias("r")).first().r
         assert got == [i * (i + 1) // 2 for i in range(1, n + 1)]
+
+
+def test_time_grows_with_the_text_and_not_with_its_square(spark):
+    """Long texts of runs that the model looks at, one after the other."""
+    import time
+
+    ratios = S.train(spark.createDataFrame(
+        [("x9Kq2LpV7bTn4RzW1cYd", True), ("internal_identifier_name", False)] * 5, "value string, is_random boolean"))
+    draw = random.Random(1)
+
+    def seconds(runs: int) -> float:
+        text = " ".join("".join(draw.choices("abcdefghijklmnop0123456789QRSTUVWXYZ", k=24)) for _ in range(runs))
+        docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+        began = time.perf_counter()
+        S.find_secrets(docs, ratios).collect()
+        return time.perf_counter() - began
+
+    seconds(100)
+    small = min(seconds(10_000) for _ in range(2))
+    assert min(seconds(40_000) for _ in range(2)) < 6 * small + 1
