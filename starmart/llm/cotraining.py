@@ -1,11 +1,13 @@
 """Co-trained quality classifier over two views of a document.
 
-The text view sees the shapes of words (letters folded to a and A, digits to 9) and how words
-repeat; the page view sees where a document comes from and how it is laid out: source, language,
-stated length, lines. Both are logistic regressions. They start from the labelled documents; each
+The text view sees nothing but the text: its words, the shapes of its words (letters folded to a
+and A, digits to 9), how words and lines repeat and how long they are. The page view sees nothing of
+the text: source, language and stated length. All models are logistic regressions; the text view has
+one of words and one of shapes, whose margins are added with the weights that fit held-out labels,
+so that words count for as much as they tell. Both views start from the labelled documents; each
 round, each view scores all unlabelled documents and labels those it is surest of, for the other
 view to learn from. Held-out labels calibrate both, and their calibrated odds are combined into
-one score for every document. Views of all documents are written once and scored once a round;
+one score for every document. Features of all documents are written once and scored once a round;
 scoring, then and at the end, shuffles no document. Fitting uses a bounded sample of labels.
 """
 
@@ -16,78 +18,84 @@ from typing import NamedTuple
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import FeatureHasher, HashingTF, Normalizer, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.common import WORD, having, let, scratch, written
 
 LABELLED_ROWS = 4000
-SHAPES, PAGE_FEATURES = 1 << 11, 1 << 8
+SHAPES, WORDS, PAGE_FEATURES = 1 << 11, 1 << 16, 1 << 8
 ROUNDS = 3
 # Most documents a view passes on per round, and how sure it must be of them.
 PASSED_ON, SURE = 400, 0.95
 ITERATIONS, TOLERANCE, REGULARISATION, CALIBRATION = 40, 1e-4, 1e-3, 1e-4
-VIEWS = ("text_view", "page_view")
+# The models of each view, by the columns of their features.
+PARTS = {"text": ("shape_features", "word_features"), "page": ("page_features",)}
+FEATURES = (*PARTS["text"], *PARTS["page"])
 
 
-class Calibrated(NamedTuple):
-    """A model and the line that turns its margin into log odds."""
+class View(NamedTuple):
+    """Models, and the line that turns their margins into log odds."""
 
-    model: LogisticRegressionModel
-    slope: float
+    models: dict[str, LogisticRegressionModel]
+    slopes: dict[str, float]
     offset: float
 
 
 class Classifier(NamedTuple):
-    """Calibrated views, and the weights with which their log odds are added up."""
+    """Both views, and the weights with which their log odds are added up."""
 
-    views: dict[str, Calibrated]
-    weights: tuple[float, float]
+    views: dict[str, View]
+    weights: dict[str, float]
     offset: float
 
 
 # ---- views ------------------------------------------------------------------------
 
 
-def with_views(docs: DataFrame) -> DataFrame:
-    """doc_id and both feature vectors of every row of docs; other columns given are kept."""
+def with_features(docs: DataFrame) -> DataFrame:
+    """doc_id and all feature vectors of every row of docs; columns that begin with _ are kept."""
     text = F.col("_text")
     kept = [c for c in docs.columns if c.startswith("_") or c == "doc_id"]
     rows = docs.withColumn("_text", F.coalesce("text", F.lit("")))
     shape = F.regexp_replace(text, r"\p{Ll}+", "a")
     shape = F.regexp_replace(F.regexp_replace(shape, r"\p{Lu}+", "A"), r"\p{Nd}+", "9")
-    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
     lines = let(F.split(text, "\n", -1), lambda x: F.struct(
         F.size(x).alias("n"), F.size(F.array_distinct(x)).alias("d")))
     rows = rows.select(
         *kept, F.regexp_extract_all(shape, F.lit(WORD), F.lit(0)).alias("_shapes"),
-        let(words, lambda w: F.struct(
-            F.size(w).alias("n"), F.size(F.array_distinct(w)).alias("d"),
-            F.size(F.filter(w, lambda x, i: x == F.get(w, i - 1))).alias("same"))).alias("_w"),
+        F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)).alias("_words"),
         lines.alias("_l"), F.length(text).alias("_size"),
         F.coalesce(F.col("source").cast("string"), F.lit("-")).alias("_source"),
         F.coalesce(F.col("lang").cast("string"), F.lit("-")).alias("_lang"),
         F.log1p(F.greatest(F.coalesce(F.col("n_chars").cast("double"), F.lit(0.0)), F.lit(0.0)))
         .alias("_stated"),
     )
-    n, n_lines = F.greatest(F.col("_w.n"), F.lit(1)), F.greatest(F.col("_l.n"), F.lit(1))
+    words = F.col("_words")
+    same = F.size(F.filter(words, lambda x, i: x == F.get(words, i - 1)))
+    n, n_lines = F.greatest(F.size(words), F.lit(1)), F.greatest(F.col("_l.n"), F.lit(1))
     rows = rows.select(
-        *kept, "_shapes", "_source", "_lang", "_stated",
-        (F.col("_w.d") / n).alias("_distinct"), (F.col("_w.same") / n).alias("_same"),
-        (F.col("_size") / n).alias("_mean"), F.log1p(F.col("_w.n").cast("double")).alias("_many"),
+        *kept, "_shapes", "_words", "_source", "_lang", "_stated",
+        (F.size(F.array_distinct(words)) / n).alias("_distinct"), (same / n).alias("_same"),
+        (F.col("_size") / n).alias("_mean"), F.log1p(F.size(words).cast("double")).alias("_many"),
         F.log1p(F.col("_l.n").cast("double")).alias("_lines"),
         F.log1p(F.col("_size") / n_lines).alias("_width"),
         (1 - F.col("_l.d") / n_lines).alias("_again"),
     )
+    shapes, known, page = FEATURES
     rows = HashingTF(inputCol="_shapes", outputCol="_counts", numFeatures=SHAPES).transform(rows)
     rows = Normalizer(inputCol="_counts", outputCol="_share", p=1.0).transform(rows)
-    rows = VectorAssembler(
-        inputCols=["_share", "_distinct", "_same", "_mean", "_many"], outputCol=VIEWS[0]
+    layout = ["_distinct", "_same", "_mean", "_many", "_lines", "_width", "_again"]
+    rows = VectorAssembler(inputCols=["_share", *layout], outputCol=shapes).transform(rows)
+    rows = HashingTF(
+        inputCol="_words", outputCol="_present", numFeatures=WORDS, binary=True
     ).transform(rows)
-    page = ["_source", "_lang", "_stated", "_lines", "_width", "_again"]
-    rows = FeatureHasher(inputCols=page, outputCol=VIEWS[1], numFeatures=PAGE_FEATURES).transform(rows)
-    return rows.select(*kept, *VIEWS)
+    rows = Normalizer(inputCol="_present", outputCol=known, p=2.0).transform(rows)
+    rows = FeatureHasher(
+        inputCols=["_source", "_lang", "_stated"], outputCol=page, numFeatures=PAGE_FEATURES
+    ).transform(rows)
+    return rows.select(*kept, *FEATURES)
 
 
 # ---- training ------------------------------------------------------------------------
@@ -111,21 +119,28 @@ def sample(docs: DataFrame, known: DataFrame, folder: str) -> DataFrame:
         ids.join(known, "doc_id").orderBy(*order).limit(LABELLED_ROWS), f"{folder}/chosen"
     )
     fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(4)).alias("_fold")
-    # At most LABELLED_ROWS ids are broadcast.
-    some = docs.join(F.broadcast(chosen.select("*", fold)), "doc_id").dropDuplicates(["doc_id"])
-    return written(with_views(some).repartition(4), f"{folder}/sample")
+    # At most LABELLED_ROWS ids are broadcast. Of rows that share an id, that of least hash is taken.
+    facts = ["text", "source", "lang", "n_chars"]
+    some = docs.select("doc_id", F.struct(F.xxhash64(*facts).alias("row"), *facts).alias("one"))
+    some = some.join(F.broadcast(chosen.select("*", fold)), "doc_id")
+    one = some.groupBy("doc_id", "_label", "_fold").agg(F.min("one").alias("one"))
+    rows = one.select("doc_id", "_label", "_fold", *[f"one.{c}" for c in facts])
+    return written(with_features(rows).repartition(4), f"{folder}/sample")
 
 
-def all_views(docs: DataFrame, folder: str) -> DataFrame:
-    """Views of every row with a doc_id, and a hash of the row (_row) that tells rows of one id apart."""
+def all_features(docs: DataFrame, folder: str) -> DataFrame:
+    """Features of every row with a doc_id, and a hash of the row (_row) that tells rows of one id apart."""
     facts = ["text", "source", "lang", "n_chars"]
     rows = docs.where("doc_id is not null").select("doc_id", *facts, F.xxhash64(*facts).alias("_row"))
-    return written(with_views(rows), f"{folder}/views")
+    return written(with_features(rows), f"{folder}/features")
 
 
-def regression(view: str, label: str = "_label", weight: float = REGULARISATION) -> LogisticRegression:
+def regression(features: str, weight: float = REGULARISATION) -> LogisticRegression:
+    # Words are few times present and of equal length already: scaled by their spread, rare ones
+    # would rule.
     return LogisticRegression(
-        featuresCol=view, labelCol=label, maxIter=ITERATIONS, tol=TOLERANCE, regParam=weight
+        featuresCol=features, labelCol="_label", maxIter=ITERATIONS, tol=TOLERANCE, regParam=weight,
+        standardization=features != PARTS["text"][1],
     )
 
 
@@ -138,64 +153,65 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> Classifie
     folder = scratch(docs.sparkSession, "cotraining")
     known = written(agreed(labels), f"{folder}/known")
     rows = sample(docs, known, folder)
-    own = rows.where("_fold <> 0").select("doc_id", "_label", *VIEWS)
+    own = rows.where("_fold <> 0").select("doc_id", "_label", *FEATURES)
     held = rows.where("_fold = 0")
     shares = own.agg(F.sum("_label"), F.count(F.lit(1))).first()
     if not shares[1] or shares[0] in (0.0, float(shares[1])):
         return None
     prior = shares[0] / shares[1]
-    pool = all_views(docs, folder)
+    two_kinds = held.select("_label").distinct().count() == 2
+    pool = all_features(docs, folder) if rounds else None
 
-    given: dict[str, list[DataFrame]] = {v: [] for v in VIEWS}
-    models = {}
+    given: dict[str, list[DataFrame]] = {v: [] for v in PARTS}
     for turn in range(rounds + 1):
-        for view in VIEWS:
+        views = {}
+        for view, parts in PARTS.items():
             learned = own
             for passed in given[view]:
                 learned = learned.unionByName(passed)
-            models[view] = regression(view).fit(learned.select("_label", view))
+            models = {p: regression(p).fit(learned.select("_label", p)) for p in parts}
+            margins = held.select("_label", *parts)
+            for part in parts:
+                margins = _raw(margins, models[part], part)
+            margins = margins.select("_label", *[margin(f"{p}_raw").alias(p) for p in parts])
+            margins = written(margins, f"{folder}/margins-{turn}-{view}")
+            views[view] = View(models, *_line(margins, parts, two_kinds, prior))
         if turn == rounds:
             break
-        scored = written(_sure(pool, models, known), f"{folder}/sure-{turn}")
-        for view, other in zip(VIEWS, reversed(VIEWS), strict=True):
-            new = scored.select("doc_id", array_to_vector(
-                F.array(1 - F.col(view), F.col(view))).alias("probability"))
+        scored = written(_sure(pool, views, known), f"{folder}/sure-{turn}")
+        for view, other in zip(PARTS, reversed(PARTS), strict=True):
+            new = scored.select("doc_id", F.col(view).alias("p"))
             for passed in given[other]:
                 new = new.join(F.broadcast(passed.select("doc_id")), "doc_id", "left_anti")
             # At most PASSED_ON + 1 ids are broadcast.
             sure = scored.select("doc_id", "_row").join(F.broadcast(_surest(new, prior)), "doc_id")
             sure = pool.join(F.broadcast(sure), ["doc_id", "_row"]).dropDuplicates(["doc_id"])
             given[other].append(written(
-                sure.select("doc_id", "_label", *VIEWS), f"{folder}/passed-{turn}-{other}"))
-    margins = held.select("_label", *VIEWS)
-    for view in VIEWS:
-        margins = _raw(margins, models[view], view)
-    margins = written(
-        margins.select("_label", *[margin(f"{v}_raw").alias(v) for v in VIEWS]), f"{folder}/margins"
-    )
-    return _calibrated(models, margins, math.log(prior / (1 - prior)))
+                sure.select("doc_id", "_label", *FEATURES), f"{folder}/passed-{turn}-{other}"))
+    joint = _with_odds(held.select("_label", *FEATURES), views, ["_label"])
+    joint = written(joint, f"{folder}/odds")
+    if not two_kinds:
+        return Classifier(views, dict.fromkeys(PARTS, 1.0), -math.log(prior / (1 - prior)))
+    return Classifier(views, *_line(joint, tuple(PARTS), two_kinds, prior))
 
 
-def _sure(pool: DataFrame, models: dict, known: DataFrame) -> DataFrame:
+def _sure(pool: DataFrame, views: dict[str, View], known: DataFrame) -> DataFrame:
     """(doc_id, _row, chance by each view) of the unlabelled documents that a view is sure of.
 
     Of several rows with one doc_id one is taken.
     """
-    for view in VIEWS:
-        pool = _raw(pool, models[view], view)
-    rows = pool.select("doc_id", "_row", *[chance(margin(f"{v}_raw")).alias(v) for v in VIEWS])
+    rows = _with_odds(pool, views, ["doc_id", "_row"])
+    rows = rows.select("doc_id", "_row", *[chance(F.col(v)).alias(v) for v in PARTS])
     sure = F.lit(False)
-    for view in VIEWS:
+    for view in PARTS:
         sure = sure | (F.col(view) >= SURE) | (F.col(view) <= 1 - SURE)
     rows = having(rows.where(sure), known, "doc_id", "left_anti")
-    one = rows.groupBy("doc_id").agg(F.min(F.struct("_row", *VIEWS)).alias("one"))
+    one = rows.groupBy("doc_id").agg(F.min(F.struct("_row", *PARTS)).alias("one"))
     return one.select("doc_id", "one.*")
 
 
 def _surest(scored: DataFrame, prior: float) -> DataFrame:
-    """The surest documents of each label, in the proportion of the labels."""
-    chance = F.get(vector_to_array("probability"), F.lit(1))
-    scored = scored.select("doc_id", chance.alias("p"))
+    """The surest documents of each label, in the proportion of the labels. scored: doc_id, p."""
     good, bad = (max(1, round(PASSED_ON * x)) for x in (prior, 1 - prior))
     best = scored.where(F.col("p") >= SURE).orderBy(F.desc("p"), "doc_id").limit(good)
     worst = scored.where(F.col("p") <= 1 - SURE).orderBy("p", "doc_id").limit(bad)
@@ -204,41 +220,42 @@ def _surest(scored: DataFrame, prior: float) -> DataFrame:
     )
 
 
-def _raw(rows: DataFrame, model: LogisticRegressionModel, view: str) -> DataFrame:
-    model = model.copy().setRawPredictionCol(f"{view}_raw").setProbabilityCol("")
+def _raw(rows: DataFrame, model: LogisticRegressionModel, part: str) -> DataFrame:
+    model = model.copy().setRawPredictionCol(f"{part}_raw").setProbabilityCol("")
     return model.setPredictionCol("").transform(rows)
 
 
-def _calibrated(models: dict, margins: DataFrame, prior: float) -> Classifier:
-    """Platt scaling of each view, and of their sum, on held-out labels.
-
-    Without two kinds of them margins stand as they are and are added relative to the prior. A
-    view that says nothing, or the opposite, has no weight.
+def _with_odds(rows: DataFrame, views: dict[str, View], kept: list[str]) -> DataFrame:
+    """The kept columns and each view's log odds, under its name."""
+    odds = []
+    for name, (models, slopes, offset) in views.items():
+        total = F.lit(offset)
+        for part, model in models.items():
+            rows = _raw(rows, model, part)
+            total = total + slopes[part] * margin(f"{part}_raw")
+        odds.append(total.alias(name))
+    return rows.select(*kept, *odds)
+
+
+def _line(
+    rows: DataFrame, columns: tuple[str, ...], two_kinds: bool, prior: float
+) -> tuple[dict[str, float], float]:
+    """Slopes and offset that turn the columns into log odds of _label, as Platt scaling does.
+
+    A column that says nothing, or the opposite, has no slope, and the others are fitted without
+    it. Without two kinds of labels the columns' mean stands as it is.
     """
-    if margins.select("_label").distinct().count() < 2:
-        return Classifier({v: Calibrated(models[v], 1.0, 0.0) for v in VIEWS}, (1.0, 1.0), -prior)
-
-    def line(columns: list[str], rows: DataFrame) -> tuple[list[float], float]:
-        rows = VectorAssembler(inputCols=columns, outputCol="_v").transform(rows)
-        fitted = regression("_v", weight=CALIBRATION).fit(rows.select("_label", "_v"))
-        return [max(0.0, float(c)) for c in fitted.coefficients], float(fitted.intercept)
-
-    views = {}
-    for view in VIEWS:
-        (slope,), offset = line([view], margins)
-        views[view] = Calibrated(models[view], slope, offset if slope else prior)
-    odds = margins.select("_label", *[
-        (F.col(v) * c.slope + c.offset).alias(v) for v, c in views.items()
-    ])
-    weights, offset = line(list(VIEWS), odds)
-    useful = [v for v, w in zip(VIEWS, weights, strict=True) if w]
-    if not useful:
-        return Classifier(views, (1.0, 1.0), -prior)
-    if len(useful) == 1:
-        # The other's weight was negative; the offset that went with it does not hold alone.
-        (one,), offset = line(useful, odds)
-        weights = [one if w else 0.0 for w in weights]
-    return Classifier(views, (weights[0], weights[1]), offset)
+    if not two_kinds:
+        return dict.fromkeys(columns, 1.0 / len(columns)), 0.0
+    useful = list(columns)
+    while useful:
+        vectors = VectorAssembler(inputCols=useful, outputCol="_v").transform(rows)
+        fitted = regression("_v", weight=CALIBRATION).fit(vectors.select("_label", "_v"))
+        found = dict(zip(useful, map(float, fitted.coefficients), strict=True))
+        if min(found.values()) > 0:
+            return {c: found.get(c, 0.0) for c in columns}, float(fitted.intercept)
+        useful.remove(min(found, key=found.get))
+    return dict.fromkeys(columns, 0.0), math.log(prior / (1 - prior))
 
 
 # ---- scoring ---------------------------------------------------------------------------
@@ -251,19 +268,12 @@ def chance(odds: Column) -> Column:
 def _with_scores(rows: DataFrame, classifier: Classifier) -> DataFrame:
     """Scores beside doc_id and the columns whose names begin with an underscore."""
     kept = [c for c in rows.columns if c.startswith("_") or c == "doc_id"]
-    rows = with_views(rows)
-    odds = []
-    for view, (model, slope, offset) in classifier.views.items():
-        rows = _raw(rows, model, view)
-        odds.append(slope * margin(f"{view}_raw") + offset)
+    rows = _with_odds(with_features(rows), classifier.views, kept)
     weights = classifier.weights
-    rows = rows.select(*kept, odds[0].alias("_text_odds"), odds[1].alias("_page_odds"))
+    joint = weights["text"] * F.col("text") + weights["page"] * F.col("page") + classifier.offset
     return rows.select(
-        *kept, chance(F.col("_text_odds")).alias("text_score"),
-        chance(F.col("_page_odds")).alias("page_score"),
-        chance(
-            weights[0] * F.col("_text_odds") + weights[1] * F.col("_page_odds") + classifier.offset
-        ).alias("score"),
+        *kept, chance(F.col("text")).alias("text_score"), chance(F.col("page")).alias("page_score"),
+        chance(joint).alias("score"),
     )
 
 

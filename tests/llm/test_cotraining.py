@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
+
 from starmart.llm import cotraining as C
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, score int, text_view string"
@@ -48,14 +50,66 @@ def test_held_out_accuracy_and_passing_on(spark):
 
 
 def test_surest_documents_are_shared_by_label(spark):
-    from pyspark.ml.linalg import Vectors
-    from pyspark.sql import Row
-
-    rows = [Row(doc_id=i, probability=Vectors.dense([1 - p, p])) for i, p in enumerate([0.99, 0.96, 0.5, 0.04, 0.01, 0.97])]
-    got = {(r.doc_id, r._label) for r in C._surest(spark.createDataFrame(rows), 0.75).collect()}
+    rows = [(i, p) for i, p in enumerate([0.99, 0.96, 0.5, 0.04, 0.01, 0.97])]
+    got = {(r.doc_id, r._label) for r in C._surest(spark.createDataFrame(rows, "doc_id bigint, p double"), 0.75).collect()}
     assert got == {(0, 1.0), (1, 1.0), (5, 1.0), (3, 0.0), (4, 0.0)}
 
 
+def test_labels_that_depend_on_vocabulary_alone(spark):
+    """Good and bad texts have the same shapes, lengths and metadata, and differ in a third of their words."""
+    draw = random.Random(8)
+    common, good_words, bad_words = (["".join(draw.choices("abcdefghij", k=6)) for _ in range(n)] for n in (300, 60, 60))
+    rows, good = [], []
+    for i in range(800):
+        good.append(draw.random() < 0.6)
+        own = good_words if good[-1] else bad_words
+        text = " ".join(draw.choice(own if draw.random() < 0.33 else common) for _ in range(40))
+        rows.append((i, text, "en", draw.choice("ab"), len(text), 1, "x"))
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    model = C.train(docs, spark.createDataFrame([(i, int(good[i]), 0) for i in range(500)], LABELS))
+    found = {r.doc_id: r.kept for r in C.score(docs, model).collect()}
+    assert sum(found[i] == good[i] for i in range(500, 800)) >= 0.95 * 300
+
+
+def test_the_page_view_sees_nothing_of_the_text(spark):
+    rows = [(1, "short", "en", "a", 10, 1, "x"), (2, "quite another\ntext\n\nwith lines", "en", "a", 10, 1, "x")]
+    page = [r.page_features for r in C.with_features(spark.createDataFrame(rows, SCHEMA)).collect()]
+    assert page[0] == page[1]
+
+
+def test_repeated_ids_train_alike_whatever_their_order(spark):
+    """Rows that share an id but differ: the same one is learned from, in any order."""
+    rows, good = corpus(6, 240)
+    rows += [(i, "other text " + str(i), "de", "z", 3, 1, "x") for i in range(60)] + rows[:30]
+    labels = spark.createDataFrame([(i, good[i], 0) for i in range(150)], LABELS)
+    scores = []
+    for seed in (1, 2):
+        random.Random(seed).shuffle(rows)
+        docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+        model = C.train(docs, labels, rounds=1)
+        scores.append(sorted((r.doc_id, round(r.score, 6)) for r in C.score(docs, model).collect()))
+    assert scores[0] == scores[1]
+
+
+def test_exchange_equals_choosing_among_all(spark):
+    """What a round passes on, against sorting every unlabelled document by its chance."""
+    rows, good = corpus(7, 400)
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    known = spark.createDataFrame([(i, float(good[i])) for i in range(100)], "doc_id bigint, _label double")
+    model = C.train(docs, spark.createDataFrame([(i, good[i], 0) for i in range(100)], LABELS), rounds=0)
+    pool = C.with_features(docs.select("doc_id", "text", "source", "lang", "n_chars", F.xxhash64("text").alias("_row")))
+    scored = C._sure(pool, model.views, known)
+    every = {r.doc_id: (r.text_score, r.page_score) for r in C.score(docs, model).collect() if r.doc_id >= 100}
+    sure = {i: p for i, p in every.items() if any(x >= C.SURE or x <= 1 - C.SURE for x in p)}
+    found = {r.doc_id: (r.text, r.page) for r in scored.collect()}
+    assert found.keys() == sure.keys() and all(abs(a - b) < 1e-9 for i in sure for a, b in zip(found[i], sure[i]))
+    for at, view in enumerate(("text", "page")):
+        chosen = {(r.doc_id, r._label) for r in C._surest(scored.select("doc_id", F.col(view).alias("p")), 0.8).collect()}
+        best = sorted((i for i in sure if sure[i][at] >= C.SURE), key=lambda i: (-sure[i][at], i))[: round(400 * 0.8)]
+        worst = sorted((i for i in sure if sure[i][at] <= 1 - C.SURE), key=lambda i: (sure[i][at], i))[: round(400 * 0.2)]
+        assert chosen == {(i, 1.0) for i in best} | {(i, 0.0) for i in worst}
+
+
 def test_without_two_labels_all_is_kept(spark):
     rows, _ = corpus(5, 20)
     docs = spark.createDataFrame(rows, SCHEMA)
