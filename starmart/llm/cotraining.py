@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 from typing import NamedTuple
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import FeatureHasher, HashingTF, Normalizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -30,6 +31,7 @@ ROUNDS = 3
 # Most documents a view passes on per round, and how sure it must be of them.
 PASSED_ON, SURE = 400, 0.95
 ITERATIONS, TOLERANCE, REGULARISATION, CALIBRATION = 40, 1e-4, 1e-3, 1e-4
+NEWTON_STEPS = 100
 # The models of each view, by the columns of their features.
 PARTS = {"text": ("shape_features", "word_features"), "page": ("page_features",)}
 FEATURES = (*PARTS["text"], *PARTS["page"])
@@ -135,11 +137,11 @@ def all_features(docs: DataFrame, folder: str) -> DataFrame:
     return written(with_features(rows), f"{folder}/features")
 
 
-def regression(features: str, weight: float = REGULARISATION) -> LogisticRegression:
+def regression(features: str) -> LogisticRegression:
     # Words are few times present and of equal length already: scaled by their spread, rare ones
     # would rule.
     return LogisticRegression(
-        featuresCol=features, labelCol="_label", maxIter=ITERATIONS, tol=TOLERANCE, regParam=weight,
+        featuresCol=features, labelCol="_label", maxIter=ITERATIONS, tol=TOLERANCE, regParam=REGULARISATION,
         standardization=features != PARTS["text"][1],
     )
 
@@ -159,23 +161,20 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> Classifie
     if not shares[1] or shares[0] in (0.0, float(shares[1])):
         return None
     prior = shares[0] / shares[1]
-    two_kinds = held.select("_label").distinct().count() == 2
+    # At most LABELLED_ROWS numbers, like the margins below.
+    truth = np.array([r[0] for r in held.orderBy("doc_id").select("_label").collect()])
     pool = all_features(docs, folder) if rounds else None
 
     given: dict[str, list[DataFrame]] = {v: [] for v in PARTS}
     for turn in range(rounds + 1):
-        views = {}
+        views, margins = {}, {}
         for view, parts in PARTS.items():
             learned = own
             for passed in given[view]:
                 learned = learned.unionByName(passed)
             models = {p: regression(p).fit(learned.select("_label", p)) for p in parts}
-            margins = held.select("_label", *parts)
-            for part in parts:
-                margins = _raw(margins, models[part], part)
-            margins = margins.select("_label", *[margin(f"{p}_raw").alias(p) for p in parts])
-            margins = written(margins, f"{folder}/margins-{turn}-{view}")
-            views[view] = View(models, *_line(margins, parts, two_kinds, prior))
+            margins[view] = _margins(held, models)
+            views[view] = View(models, *_line(margins[view], truth, prior))
         if turn == rounds:
             break
         scored = written(_sure(pool, views, known), f"{folder}/sure-{turn}")
@@ -188,11 +187,22 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> Classifie
             sure = pool.join(F.broadcast(sure), ["doc_id", "_row"]).dropDuplicates(["doc_id"])
             given[other].append(written(
                 sure.select("doc_id", "_label", *FEATURES), f"{folder}/passed-{turn}-{other}"))
-    joint = _with_odds(held.select("_label", *FEATURES), views, ["_label"])
-    joint = written(joint, f"{folder}/odds")
-    if not two_kinds:
+    if len(set(truth)) < 2:
         return Classifier(views, dict.fromkeys(PARTS, 1.0), -math.log(prior / (1 - prior)))
-    return Classifier(views, *_line(joint, tuple(PARTS), two_kinds, prior))
+    odds = {
+        name: sum(view.slopes[p] * m for p, m in margins[name].items()) + view.offset
+        for name, view in views.items()
+    }
+    return Classifier(views, *_line(odds, truth, prior))
+
+
+def _margins(held: DataFrame, models: dict[str, LogisticRegressionModel]) -> dict[str, np.ndarray]:
+    """Each model's margins of the held-out documents, by doc_id."""
+    rows = held
+    for part, model in models.items():
+        rows = _raw(rows, model, part)
+    found = rows.orderBy("doc_id").select(*[margin(f"{p}_raw").alias(p) for p in models]).collect()
+    return {p: np.array([r[p] for r in found]) for p in models}
 
 
 def _sure(pool: DataFrame, views: dict[str, View], known: DataFrame) -> DataFrame:
@@ -238,26 +248,40 @@ def _with_odds(rows: DataFrame, views: dict[str, View], kept: list[str]) -> Data
 
 
 def _line(
-    rows: DataFrame, columns: tuple[str, ...], two_kinds: bool, prior: float
+    columns: dict[str, np.ndarray], truth: np.ndarray, prior: float
 ) -> tuple[dict[str, float], float]:
-    """Slopes and offset that turn the columns into log odds of _label, as Platt scaling does.
+    """Slopes and offset that turn the columns into log odds of truth, as Platt scaling does.
 
     A column that says nothing, or the opposite, has no slope, and the others are fitted without
-    it. Without two kinds of labels the columns' mean stands as it is.
+    it. Without two kinds of truth the columns' mean stands as it is.
     """
-    if not two_kinds:
+    if len(set(truth)) < 2:
         return dict.fromkeys(columns, 1.0 / len(columns)), 0.0
-    useful = list(columns)
+    useful = [name for name, values in columns.items() if values.std() > 0]
     while useful:
-        vectors = VectorAssembler(inputCols=useful, outputCol="_v").transform(rows)
-        fitted = regression("_v", weight=CALIBRATION).fit(vectors.select("_label", "_v"))
-        found = dict(zip(useful, map(float, fitted.coefficients), strict=True))
-        if min(found.values()) > 0:
-            return {c: found.get(c, 0.0) for c in columns}, float(fitted.intercept)
-        useful.remove(min(found, key=found.get))
+        slopes, offset = _fitted(np.stack([columns[c] for c in useful], axis=1), truth)
+        if slopes.min() > 0:
+            return dict.fromkeys(columns, 0.0) | dict(zip(useful, slopes.tolist())), offset
+        useful.pop(int(slopes.argmin()))
     return dict.fromkeys(columns, 0.0), math.log(prior / (1 - prior))
 
 
+def _fitted(values: np.ndarray, truth: np.ndarray) -> tuple[np.ndarray, float]:
+    """Logistic regression on few columns, by Newton's method on their standard scores."""
+    middle, spread = values.mean(axis=0), values.std(axis=0)
+    x = np.column_stack([(values - middle) / spread, np.ones(len(values))])
+    ridge = np.diag([CALIBRATION] * values.shape[1] + [0.0])
+    w = np.zeros(x.shape[1])
+    for _ in range(NEWTON_STEPS):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (p - truth) / len(x) + ridge @ w
+        bend = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x / len(x) + ridge
+        step = np.linalg.solve(bend, slope)
+        w -= step * min(1.0, 5.0 / max(1e-12, float(np.abs(step).max())))
+    slopes = w[:-1] / spread
+    return slopes, float(w[-1] - slopes @ middle)
+
+
 # ---- scoring ---------------------------------------------------------------------------
 
 
