@@ -1,4 +1,4 @@
-"""Command line: ``build`` a warehouse from CSV extracts, ``mount``, ``check``, ``report``, ``prune``.
+"""Command line: ``build`` a warehouse from CSV extracts, ``mount``, ``check``, ``report``, ``sql``, ``prune``.
 
     python -m starmart build --raw RAW --warehouse ROOT
     python -m starmart check --warehouse ROOT
@@ -64,11 +64,13 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
                        help="print the offending rows of this check instead")
     report = commands.add_parser("report", help="print a report over the published marts")
     report.add_argument("name", choices=REPORTS)
+    sql = commands.add_parser("sql", help="run SQL over one publication")
+    sql.add_argument("query", help="layers in braces, as in {marts}.fact_orders")
     prune = commands.add_parser("prune", help="delete builds older than the newest few")
     prune.add_argument("--keep", type=int, default=2)
-    for command in (check, report):
+    for command in (check, report, sql):
         command.add_argument("--output", help="write rows here as CSV instead of printing them")
-    for command in (build, mount, check, report, prune):
+    for command in (build, mount, check, report, sql, prune):
         command.add_argument("--warehouse", required=True, help="root folder of the layers")
     options = parser.parse_args(arguments)
 
@@ -93,6 +95,9 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
         for row in results:
             print("PASS" if row["passed"] else f"FAIL {row['failures']}", row["test"])
         return 0 if all(row["passed"] for row in results) else 1
+    if options.command == "sql":
+        show(pipeline.query(warehouse, options.query), options.output)
+        return 0
     if options.command == "prune":
         for layer in (STAGING, MARTS):
             for version in warehouse.prune(layer, options.keep):

@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import threading
 import uuid
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -139,6 +140,8 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self.prefix = prefix
+        self._attaching = threading.Lock()
+        self._attached: set[str] = set()
 
     def write(
         self,
@@ -223,6 +226,47 @@ class Warehouse:
             )
         return database
 
+    def attach(
+        self, snapshot: Snapshot, views: Mapping[str, Mapping[str, str]] | None = None
+    ) -> dict[str, str]:
+        """A database of its own for each layer's build; returns their names by layer.
+
+        Such a database never changes, so whoever knows its name sees one build. ``views`` holds
+        further views of a layer as SQL, in which other layers stand in braces.
+        """
+        names = {layer: self._database(layer, b.version) for layer, b in snapshot.layers.items()}
+        with self._attaching:
+            for layer, name in names.items():
+                if name in self._attached:
+                    continue
+                build = snapshot.build(layer)
+                place = f"{self.root}/{layer}/{build.version}"
+                self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{place}'")
+                found = {
+                    t: f"SELECT * FROM parquet.`{snapshot.path(layer, t)}`" for t in build.tables
+                }
+                quoted = {other: f"`{n}`" for other, n in names.items()}
+                for view, text in (views or {}).get(layer, {}).items():
+                    found[view] = text.format(**quoted)
+                for view, text in found.items():
+                    self.spark.sql(f"CREATE OR REPLACE VIEW `{name}`.`{view}` AS {text}")
+                self._attached.add(name)
+        return names
+
+    def sql(
+        self, query: str, views: Mapping[str, Mapping[str, str]] | None = None
+    ) -> DataFrame:
+        """Run SQL in which layers stand in braces, as in ``{marts}.fact_orders``.
+
+        The newest publication is looked up once for the whole query, so that it sees one build
+        of all layers, whatever is published meanwhile.
+        """
+        names = self.attach(self.snapshot(), views)
+        return self.spark.sql(query.format(**{layer: f"`{n}`" for layer, n in names.items()}))
+
+    def _database(self, layer: str, version: str) -> str:
+        return f"{self.prefix}{layer}_{version}".replace("-", "_").lower()
+
     def prune(self, layer: str, keep: int = 2, running: timedelta = RUNNING) -> list[str]:
         """Delete old builds, keeping the newest ``keep`` for readers still on them.
 
@@ -250,6 +294,10 @@ class Warehouse:
             name = status.getPath().getName()
             # Versions begin with their time, so names sort by age.
             if name not in kept and (name in published or name < limit):
+                database = self._database(layer, name)
+                self.spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
+                with self._attaching:
+                    self._attached.discard(database)
                 files.delete(status.getPath(), True)
                 deleted.append(name)
         return sorted(deleted)

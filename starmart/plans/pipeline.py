@@ -129,6 +129,11 @@ def mount(warehouse: Warehouse) -> None:
     warehouse.spark.sql(f"CREATE OR REPLACE VIEW `{marts}`.int_order_metrics AS {view}")
 
 
+def query(warehouse: Warehouse, text: str) -> DataFrame:
+    """SQL over one publication: ``{staging}`` and ``{marts}`` stand for its layers."""
+    return warehouse.sql(text, {MARTS: {"int_order_metrics": ORDER_METRICS_VIEW}})
+
+
 def published(warehouse: Warehouse) -> dict[str, DataFrame]:
     """Every staged table and mart of one publication."""
     snapshot = warehouse.snapshot()

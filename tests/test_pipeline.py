@@ -227,6 +227,47 @@ def test_mounted_names_answer_sql(spark, tmp_path):
     assert spark.table("shop_staging.stg_sellers").count() == 3
 
 
+def test_a_reader_never_mixes_builds(spark, tmp_path):
+    """SQL over both layers while builds are published and old ones pruned: always of one build."""
+    warehouse = Warehouse(spark, f"{tmp_path}/wh", prefix="atomic_")
+    pipeline.build(warehouse, raw(warehouse, tmp_path))
+    text = """SELECT (SELECT count(*) FROM {staging}.stg_sellers) AS staged,
+                     (SELECT count(*) FROM {marts}.dim_seller) AS built,
+                     (SELECT count(DISTINCT seller_city) FROM {staging}.stg_sellers WHERE seller_city LIKE 'city%') AS cities"""
+    seen, failed, stop = [], [], threading.Event()
+
+    def read():
+        reader = Warehouse(spark, f"{tmp_path}/wh", prefix="atomic_")
+        try:
+            while not stop.is_set():
+                seen.append(tuple(pipeline.query(reader, text).first()))
+        except Exception as error:  # noqa: BLE001
+            failed.append(error)
+
+    thread = threading.Thread(target=read)
+    thread.start()
+    for n in range(1, 4):
+        folder = tmp_path / str(n)
+        folder.mkdir()
+        sellers = CSV["sellers"] + "".join(f"x{k},5,city{n},rn\n" for k in range(n))
+        pipeline.build(warehouse, raw(warehouse, folder, sellers=sellers))
+    last = len(seen)
+    while len(seen) < last + 2 and thread.is_alive():
+        stop.wait(0.1)
+    stop.set()
+    thread.join()
+    assert not failed
+    assert {(s, b) for s, b, _ in seen} <= {(2 + n, 2 + n) for n in range(4)}
+    assert seen[0] == (2, 2, 0) and seen[-1] == (5, 5, 1) and len(set(seen)) >= 2
+    metrics = pipeline.query(warehouse, "SELECT * FROM {marts}.int_order_metrics")
+    staged = warehouse.read_layer(STAGING)
+    assert rows(metrics) == rows(pipeline.order_metrics(
+        staged["stg_order_items"], staged["stg_order_payments"], staged["stg_order_reviews"]))
+    gone = warehouse.prune(MARTS, keep=1)
+    left = [d.name for d in spark.catalog.listDatabases("atomic_marts*")]
+    assert len(gone) == 3 and left == [warehouse._database(MARTS, warehouse.newest().version(MARTS))]
+
+
 def test_reports_are_printed_in_full(spark, capsys):
     command_line.show(spark.range(1500).orderBy("id"), None)
     assert capsys.readouterr().out.splitlines() == ["id", *map(str, range(1500))]
@@ -254,6 +295,9 @@ def test_command_line(spark, tmp_path, capsys):
     assert "toys" in capsys.readouterr().out
     assert spark.table("main_marts.fact_orders").count() == 5
     assert command_line.main(["mount", *options], spark) == 0
+    counted = "select count(*) as n from {marts}.fact_orders join {staging}.stg_orders using (order_id)"
+    assert command_line.main(["sql", counted, *options], spark) == 0
+    assert capsys.readouterr().out.splitlines()[-2:] == ["n", "5"]
     orphans = ["check", "--rows", "relationships_stg_orders_customer_id__stg_customers_customer_id"]
     assert command_line.main([*orphans, *options], spark) == 0
     assert capsys.readouterr().out.splitlines()[0] == "from_field"
