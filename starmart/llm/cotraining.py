@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from starmart.llm.common import WORD, having, let, scratch, written
 
 LABELLED_ROWS = 4000
-SHAPES, WORDS, PAGE_FEATURES = 1 << 11, 1 << 16, 1 << 8
+SHAPES, WORDS, PAGE_FEATURES = 1 << 11, 1 << 12, 1 << 8
 ROUNDS = 3
 # Most documents a view passes on per round, and how sure it must be of them.
 PASSED_ON, SURE = 400, 0.95
