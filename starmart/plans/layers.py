@@ -99,6 +99,47 @@ class Ranges:
         return table.sortWithinPartitions(self.column)
 
 
+@dataclass(frozen=True)
+class Places:
+    """Ranges of a column of few values, such as days, whose rows per value are known.
+
+    Rows are lined up by value, NULL first, and cut every ``rows`` rows, so that a value takes as
+    many ranges as it fills, alone or beside its neighbours. ``values`` holds each value, the rows
+    before it and its own.
+    """
+
+    column: str
+    values: tuple = ()
+    rows: int = 1
+    count: int = 1
+
+    @staticmethod
+    def of(weights: DataFrame, column: str, rows: int) -> Places:
+        """Ranges of about ``rows`` rows; ``weights``: values of the column and their rows."""
+        values, before = [], 0
+        # One row per value.
+        known = weights.toDF("value", "n").groupBy("value").agg(F.sum("n").alias("n"))
+        for value, own in known.where("n > 0").orderBy(F.asc_nulls_first("value")).collect():
+            values.append((value, before, own))
+            before += own
+        return Places(column, tuple(values), rows, max(1, -(-before // rows)))
+
+    def deal(self, table: DataFrame) -> DataFrame:
+        """The table by ranges, each sorted; values that are not known go to the first."""
+        if self.count > 1:
+            own, first, n = (f"_{part}_{uuid.uuid4().hex}" for part in ("own", "first", "n"))
+            kind = table.schema[self.column].dataType.simpleString()
+            known = table.sparkSession.createDataFrame(
+                self.values, f"`{own}` {kind}, `{first}` bigint, `{n}` bigint"
+            )
+            at = F.col(first) + F.pmod(F.xxhash64(*table.columns), F.col(n))
+            place = F.coalesce(F.floor(at / self.rows), F.lit(0)).cast("int")
+            columns = table.columns
+            table = table.join(F.broadcast(known), F.col(self.column).eqNullSafe(F.col(own)), "left")
+            table = table.repartitionById(self.count, place).select(*columns)
+        return table.sortWithinPartitions(self.column)
+
+
 class PublicationConflict(RuntimeError):
     """What a build started from was replaced while it ran; nothing was published."""
 
@@ -147,16 +188,18 @@ class Warehouse:
         self,
         layer: str,
         tables: Mapping[str, DataFrame],
-        clustered: Mapping[str, Ranges] | None = None,
+        clustered: Mapping[str, Ranges | Places] | None = None,
         writers: int = 4,
+        build: Build | None = None,
     ) -> Build:
-        """Write a layer in full, without publishing it.
+        """Write a layer in full, or add tables to a ``build`` of it, without publishing it.
 
         The tables are independent jobs, so a few are written at a time. Those named in
         ``clustered`` are dealt out by ranges of a column and sorted by it, so that a filter on
         it reads few row groups.
         """
-        version = f"{datetime.now(UTC):{VERSION_TIME}}-{uuid.uuid4().hex[:8]}"
+        fresh = f"{datetime.now(UTC):{VERSION_TIME}}-{uuid.uuid4().hex[:8]}"
+        version, earlier = (build.version, build.tables) if build else (fresh, {})
         laid_out = dict(tables)
         for name, ranges in (clustered or {}).items():
             laid_out[name] = ranges.deal(tables[name])
@@ -166,7 +209,7 @@ class Warehouse:
 
         with ThreadPoolExecutor(max_workers=writers) as pool:
             list(pool.map(write, laid_out))
-        return Build(version, {name: t.schema.json() for name, t in tables.items()})
+        return Build(version, {**earlier, **{name: t.schema.json() for name, t in tables.items()}})
 
     def publish(
         self,

@@ -13,8 +13,9 @@ from starmart.operators.facts import fact_order_items, fact_orders
 from starmart.operators.skew import HotKeys, find_hot_keys, left_join_unique, observe_hot_keys
 from starmart.plans import pipeline, quality, reports
 from starmart.plans.checks import CHECKS
-from starmart.plans.layers import MARTS, STAGING, Ranges, Warehouse
+from starmart.plans.layers import MARTS, STAGING, Places, Ranges, Warehouse
 from starmart.sources import adapters
+from tests.fixtures import write_sources
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -166,6 +167,48 @@ def test_ranges_of_odd_columns(spark):
     assert split.rdd.getNumPartitions() == 8 and split.count() == 9000
 
 
+def test_places_of_odd_columns(spark):
+    """NULLs, one value for most rows, and no rows; ranges are even and in order of the values."""
+    rows = spark.range(9000).selectExpr("if(id % 3 = 0, 7, if(id % 4 = 1, NULL, id % 50)) AS d", "id")
+    places = Places.of(rows.groupBy("d").agg(F.count(F.lit(1))), "d", 500)
+    dealt = places.deal(rows.repartition(5))
+    sizes = dealt.groupBy(F.spark_partition_id().alias("p")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("d").alias("low"), F.max("d").alias("high"))
+    found = sizes.orderBy("p").collect()
+    assert sorted(map(tuple, dealt.collect()), key=str) == sorted(map(tuple, rows.collect()), key=str)
+    assert dealt.columns == rows.columns and len(found) == 18 and max(r.n for r in found) < 700
+    ends = [(r.low, r.high) for r in found if r.low is not None]
+    assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:], strict=False))
+    none = rows.where("false")
+    assert Places.of(none.groupBy("d").agg(F.count(F.lit(1))), "d", 500).deal(none).count() == 0
+    assert places.deal(spark.createDataFrame([(99, 1)], "d bigint, id bigint")).count() == 1
+
+
+def test_each_fact_is_dealt_by_its_own_rows(spark, tmp_path, monkeypatch):
+    """Orders have eight lines each, one of them half of all lines: no file holds many more than others."""
+    monkeypatch.setattr(pipeline, "ROWS_PER_RANGE", 500)
+    warehouse = Warehouse(spark, f"{tmp_path}/wh")
+    raw = pipeline.read_staging_sources(warehouse, write_sources(tmp_path))
+    nothing = F.lit(None).cast("string")
+    given = {
+        "orders": spark.range(1000).selectExpr(
+            "string(id) AS order_id", "'c1' AS customer_id", "'delivered' AS order_status",
+            "string(timestamp_ntz'2017-01-01 10:00:00' + make_interval(0, 0, 0, int(id % 90))) "
+            "AS order_purchase_timestamp"),
+        "order_items": spark.range(16000).selectExpr(
+            "string(if(id % 2 = 0, 500, id div 16)) AS order_id", "string(id) AS order_item_id",
+            "'p1' AS product_id", "'s1' AS seller_id", "'1.5' AS price", "'0.5' AS freight_value"),
+    }
+    for name, table in given.items():
+        raw[name] = table.select(
+            *[c if c in table.columns else nothing.alias(c) for c in raw[name].columns])
+    pipeline.build(warehouse, raw)
+    for name, total in (("fact_orders", 1000), ("fact_order_items", 16000)):
+        path = warehouse.snapshot().path(MARTS, name)
+        sizes = [pq.read_metadata(file).num_rows for file in Path(path).glob("*.parquet")]
+        assert sum(sizes) == total and max(sizes) < 700, (name, sizes)
+
+
 def test_no_registered_query_crosses_or_loops(spark):
     own = {k: q for k, q in entry_point.queries().items() if not re.match(r"op\d+_|pipeline$", k)}
     for name, query in own.items():
