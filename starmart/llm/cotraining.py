@@ -7,8 +7,8 @@ one of words and one of shapes, whose margins are added with the weights that fi
 so that words count for as much as they tell. Both views start from the labelled documents; each
 round, each view scores all unlabelled documents and labels those it is surest of, for the other
 view to learn from. Held-out labels calibrate both, and their calibrated odds are combined into
-one score for every document. Features of all documents are written once and scored once a round;
-scoring, then and at the end, shuffles no document. Fitting uses a bounded sample of labels.
+one score for every document. Features of all documents are written once and scored once a round
+and at the end; scoring shuffles no document. Fitting uses a bounded sample of labels.
 """
 
 from __future__ import annotations
@@ -131,9 +131,9 @@ def sample(docs: DataFrame, known: DataFrame, folder: str) -> DataFrame:
 
 
 def all_features(docs: DataFrame, folder: str) -> DataFrame:
-    """Features of every row with a doc_id, and a hash of the row (_row) that tells rows of one id apart."""
+    """Features of every row, and a hash of the row (_row) that tells rows of one id apart."""
     facts = ["text", "source", "lang", "n_chars"]
-    rows = docs.where("doc_id is not null").select("doc_id", *facts, F.xxhash64(*facts).alias("_row"))
+    rows = docs.select("doc_id", *facts, F.xxhash64(*facts).alias("_row"))
     return written(with_features(rows), f"{folder}/features")
 
 
@@ -152,6 +152,13 @@ def margin(raw: Column | str) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> Classifier | None:
     """Both views, co-trained and calibrated; None where the labels are not of two kinds."""
+    return _trained(docs, labels, rounds)[0]
+
+
+def _trained(
+    docs: DataFrame, labels: DataFrame, rounds: int
+) -> tuple[Classifier | None, DataFrame | None]:
+    """What train gives, and the features of all rows of docs if the rounds had them written."""
     folder = scratch(docs.sparkSession, "cotraining")
     known = written(agreed(labels), f"{folder}/known")
     rows = sample(docs, known, folder)
@@ -159,7 +166,7 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> Classifie
     held = rows.where("_fold = 0")
     shares = own.agg(F.sum("_label"), F.count(F.lit(1))).first()
     if not shares[1] or shares[0] in (0.0, float(shares[1])):
-        return None
+        return None, None
     prior = shares[0] / shares[1]
     # At most LABELLED_ROWS numbers, like the margins below.
     truth = np.array([r[0] for r in held.orderBy("doc_id").select("_label").collect()])
@@ -188,12 +195,13 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> Classifie
             given[other].append(written(
                 sure.select("doc_id", "_label", *FEATURES), f"{folder}/passed-{turn}-{other}"))
     if len(set(truth)) < 2:
-        return Classifier(views, dict.fromkeys(PARTS, 1.0), -math.log(prior / (1 - prior)))
+        weights = dict.fromkeys(PARTS, 1.0)
+        return Classifier(views, weights, -math.log(prior / (1 - prior))), pool
     odds = {
         name: sum(view.slopes[p] * m for p, m in margins[name].items()) + view.offset
         for name, view in views.items()
     }
-    return Classifier(views, *_line(odds, truth, prior))
+    return Classifier(views, *_line(odds, truth, prior)), pool
 
 
 def _margins(held: DataFrame, models: dict[str, LogisticRegressionModel]) -> dict[str, np.ndarray]:
@@ -210,7 +218,7 @@ def _sure(pool: DataFrame, views: dict[str, View], known: DataFrame) -> DataFram
 
     Of several rows with one doc_id one is taken.
     """
-    rows = _with_odds(pool, views, ["doc_id", "_row"])
+    rows = _with_odds(pool.where("doc_id is not null"), views, ["doc_id", "_row"])
     rows = rows.select("doc_id", "_row", *[chance(F.col(v)).alias(v) for v in PARTS])
     sure = F.lit(False)
     for view in PARTS:
@@ -289,10 +297,10 @@ def chance(odds: Column) -> Column:
     return 1 / (1 + F.exp(-odds))
 
 
-def _with_scores(rows: DataFrame, classifier: Classifier) -> DataFrame:
+def _with_scores(features: DataFrame, classifier: Classifier) -> DataFrame:
     """Scores beside doc_id and the columns whose names begin with an underscore."""
-    kept = [c for c in rows.columns if c.startswith("_") or c == "doc_id"]
-    rows = _with_odds(with_features(rows), classifier.views, kept)
+    kept = [c for c in features.columns if c.startswith("_") or c == "doc_id"]
+    rows = _with_odds(features, classifier.views, kept)
     weights = classifier.weights
     joint = weights["text"] * F.col("text") + weights["page"] * F.col("page") + classifier.offset
     return rows.select(
@@ -316,7 +324,18 @@ def score(docs: DataFrame, classifier: Classifier | None, threshold: float = 0.5
         none = F.lit(None).cast("double")
         return rows.select("doc_id", *[none.alias(c) for c in ("text_score", "page_score", "score")],
                            F.lit(True).alias("kept"))
-    return _with_scores(rows, classifier).withColumn("kept", F.col("score") >= threshold)
+    return _with_scores(with_features(rows), classifier).withColumn("kept", F.col("score") >= threshold)
+
+
+def train_and_score(
+    docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, threshold: float = 0.5
+) -> DataFrame:
+    """score(docs, train(docs, labels)), from the features that training has written for every row."""
+    classifier, features = _trained(docs, labels, rounds)
+    if classifier is None or features is None:
+        return score(docs, classifier, threshold)
+    rows = _with_scores(features.drop("_row"), classifier)
+    return rows.withColumn("kept", F.col("score") >= threshold)
 
 
 def keep_good(docs: DataFrame, classifier: Classifier | None, threshold: float = 0.5) -> DataFrame:
@@ -327,5 +346,5 @@ def keep_good(docs: DataFrame, classifier: Classifier | None, threshold: float =
         F.struct(*[docs[c] for c in docs.columns]).alias("_document"),
         "doc_id", "text", "source", "lang", "n_chars",
     )
-    good = _with_scores(rows, classifier).where(F.col("score") >= threshold)
+    good = _with_scores(with_features(rows), classifier).where(F.col("score") >= threshold)
     return good.select("_document.*")

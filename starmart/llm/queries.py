@@ -30,7 +30,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
-    return cotraining.score(documents, cotraining.train(documents, labels))
+    return cotraining.train_and_score(documents, labels)
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
