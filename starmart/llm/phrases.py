@@ -240,9 +240,9 @@ def remove_repeats(docs: DataFrame, window: int = 50, phrase: int = 25) -> DataF
     )
     placed = first.select("one.*", "whole", "whole2", "n_words", F.explode("anchors").alias("anchor"))
     recurring = placed.groupBy("anchor").agg(F.min(one).alias("low"), F.max("doc_id").alias("high"))
-    recurring = written(
-        recurring.where("low.doc_id < high").select("anchor", "low"), f"{folder}/recurring"
-    )
+    # Few rows are left of many: a file for every few megabytes, not for every task.
+    recurring = recurring.where("low.doc_id < high").select("anchor", "low")
+    recurring = written(recurring.hint("rebalance"), f"{folder}/recurring")
     carriers = placed.join(recurring, "anchor").groupBy("doc_id", "text_key", "whole", "whole2").agg(
         F.collect_set("anchor").alias("anchors"), F.max("n_words").alias("n_words")
     )
@@ -256,7 +256,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, phrase: int = 25) -> DataF
 
     tellers = recurring.groupBy("low").agg(F.collect_list("anchor").alias("own")).select("low.*", "own")
     told = held.select(*ids, "text").join(tellers, ids)
-    phrases = written(told.mapInArrow(lambda it: spell(it, phrase), PHRASES), f"{folder}/phrases")
+    phrases = told.mapInArrow(lambda it: spell(it, phrase), PHRASES)
     runs = written(
         _streams(held, carriers, phrases).mapInArrow(lambda it: locate(it, window, phrase), RUNS),
         f"{folder}/runs",
@@ -265,9 +265,8 @@ def remove_repeats(docs: DataFrame, window: int = 50, phrase: int = 25) -> DataF
         F.min("doc_id").alias("low"), F.max("doc_id").alias("high")
     )
     # Written, so that both sides of the join are plain shuffles, whose hot runs can be split.
-    owners = written(
-        owners.where("low < high").select("run", "run2", "low"), f"{folder}/owners"
-    )
+    owners = owners.where("low < high").select("run", "run2", "low")
+    owners = written(owners.hint("rebalance"), f"{folder}/owners")
     repeats = runs.join(owners, ["run", "run2"]).where("doc_id > low")
     every = F.concat(F.array("place"), F.coalesce("more", F.array().cast("array<int>")))
     places = repeats.groupBy(*ids).agg(

@@ -7,6 +7,7 @@ import random
 
 import pytest
 
+from starmart.llm import phrases
 from starmart.llm.phrases import remove_repeats
 
 SCHEMA = "doc_id bigint, text string, place int, n_words string"
@@ -63,3 +64,20 @@ def test_long_text_and_long_word(spark):
     long = " ".join(f"w{i}" for i in range(200_000))
     rows = [(5, long, 1, "c"), (6, "a " + long, 1, "c"), (7, "b" * 2_500_000, 1, "c")]
     assert result(spark, rows, 50, 25) == brute(rows, 50)
+
+
+def test_few_rows_fill_few_files(spark, settings, monkeypatch, tmp_path):
+    """Executors start processes (chmod) for every file they write on a local disk."""
+    draw = random.Random(4)
+    texts = [" ".join(f"w{draw.randrange(1_000_000)}" for _ in range(400)) for _ in range(300)]
+    rows = [(i, t, 1, "c") for i, t in enumerate(texts)] + [(300, texts[0] + " end", 1, "c")]
+    settings(
+        spark__sql__shuffle__partitions="12",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="4k",
+        spark__sql__adaptive__coalescePartitions__minPartitionSize="4k",
+        spark__sql__adaptive__coalescePartitions__parallelismFirst="false",
+    )
+    monkeypatch.setattr(phrases, "scratch", lambda session, name: f"file://{tmp_path}/{name}")
+    assert result(spark, rows, 50, 25) == brute(rows, 50)
+    files = {t: len(list((tmp_path / "phrases" / t).glob("*.parquet"))) for t in ("recurring", "owners")}
+    assert max(files.values()) <= 3, files
