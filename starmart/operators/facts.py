@@ -28,14 +28,42 @@ def fact_orders(
     ``hot`` names order ids that repeat very often among the orders, where that is
     known; else the plan looks for them itself.
     """
+    return keyed_orders(order_rows(orders, metrics, hot))
+
+
+def order_rows(
+    orders: DataFrame, metrics: DataFrame, hot: HotKeys | None = None
+) -> DataFrame:
+    """Orders and measures under natural keys, which take a fraction of the hashes' bytes."""
+    return left_join_unique(orders, metrics, "order_id", hot).select(
+        "order_id",
+        "customer_id",
+        date_key(F.col("order_purchase_timestamp")).alias("order_date_sk"),
+        "order_status",
+        "order_purchase_timestamp",
+        "order_approved_at",
+        "order_delivered_customer_date",
+        "order_estimated_delivery_date",
+        "items_count",
+        "total_price",
+        "total_freight",
+        "total_payment",
+        "max_installments",
+        "avg_review_score",
+        "review_count",
+    )
+
+
+def keyed_orders(rows: DataFrame) -> DataFrame:
+    """The order fact from its rows, in any layout."""
     purchased = F.col("order_purchase_timestamp")
     delivered = F.col("order_delivered_customer_date")
     estimated = F.col("order_estimated_delivery_date")
-    return left_join_unique(orders, metrics, "order_id", hot).select(
+    return rows.select(
         surrogate_key("order_id").alias("order_sk"),
         "order_id",
         surrogate_key("customer_id").alias("customer_sk"),
-        date_key(purchased).alias("order_date_sk"),
+        "order_date_sk",
         "order_status",
         "order_purchase_timestamp",
         "order_approved_at",
@@ -58,20 +86,40 @@ def fact_order_items(items: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per line of a known order.
 
     Both inputs are plain shuffles on order_id, narrowed to the columns used, so
-    adaptive execution can split an order that holds very many lines. What hangs
-    on the order alone is computed once per order, before its lines join.
+    adaptive execution can split an order that holds very many lines. Keys are
+    hashed behind the join: a hash is several times as long as what it is made of.
     """
+    return keyed_lines(line_rows(items, orders))
+
+
+def line_rows(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Lines of known orders under natural keys."""
     header = orders.select(
         "order_id",
-        surrogate_key("customer_id").alias("customer_sk"),
+        "customer_id",
         date_key(F.col("order_purchase_timestamp")).alias("order_date_sk"),
         "order_status",
     )
     return items.join(header, "order_id", "inner").select(
+        "order_id",
+        "order_item_id",
+        "customer_id",
+        "product_id",
+        "seller_id",
+        "order_date_sk",
+        "order_status",
+        "price",
+        "freight_value",
+    )
+
+
+def keyed_lines(rows: DataFrame) -> DataFrame:
+    """The line fact from its rows, in any layout."""
+    return rows.select(
         surrogate_key("order_id", "order_item_id").alias("order_item_sk"),
         "order_id",
         "order_item_id",
-        "customer_sk",
+        surrogate_key("customer_id").alias("customer_sk"),
         surrogate_key("product_id").alias("product_sk"),
         surrogate_key("seller_id").alias("seller_sk"),
         "order_date_sk",

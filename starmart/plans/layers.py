@@ -17,8 +17,9 @@ import os
 import re
 import threading
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import UTC, datetime, timedelta
 
@@ -36,6 +37,9 @@ LOG_SCHEMA = (
 )
 ENTRY = "{:012d}.json"
 VERSION_TIME = "%Y%m%dT%H%M%S%f"
+# Half of snappy's bytes where text holds hashes, at about the same speed.
+COMPRESSION = "zstd"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # Points at which the values of a clustered column are known.
 SKETCHED = 1024
 # An unpublished folder younger than this may belong to a build that still runs.
@@ -105,16 +109,18 @@ class Places:
 
     Rows are lined up by value, NULL first, and cut every ``rows`` rows, so that a value takes as
     many ranges as it fills, alone or beside its neighbours. ``values`` holds each value, the rows
-    before it and its own.
+    before it and its own. Rows of one value are sorted by ``within``: what repeats along that
+    column compresses well.
     """
 
     column: str
     values: tuple = ()
     rows: int = 1
     count: int = 1
+    within: tuple[str, ...] = ()
 
     @staticmethod
-    def of(weights: DataFrame, column: str, rows: int) -> Places:
+    def of(weights: DataFrame, column: str, rows: int, within: tuple[str, ...] = ()) -> Places:
         """Ranges of about ``rows`` rows; ``weights``: values of the column and their rows."""
         values, before = [], 0
         # One row per value.
@@ -122,7 +128,7 @@ class Places:
         for value, own in known.where("n > 0").orderBy(F.asc_nulls_first("value")).collect():
             values.append((value, before, own))
             before += own
-        return Places(column, tuple(values), rows, max(1, -(-before // rows)))
+        return Places(column, tuple(values), rows, max(1, -(-before // rows)), within)
 
     def deal(self, table: DataFrame) -> DataFrame:
         """The table by ranges, each sorted; values that are not known go to the first."""
@@ -137,7 +143,35 @@ class Places:
             columns = table.columns
             table = table.join(F.broadcast(known), F.col(self.column).eqNullSafe(F.col(own)), "left")
             table = table.repartitionById(self.count, place).select(*columns)
-        return table.sortWithinPartitions(self.column)
+        return table.sortWithinPartitions(self.column, *self.within)
+
+
+_writing = threading.Lock()
+_writers: dict[SparkSession, tuple[int, str | None]] = {}
+
+
+@contextmanager
+def shuffles_end_with_queries(spark: SparkSession) -> Iterator[None]:
+    """Files of a shuffle go with the query that made them.
+
+    Otherwise they stay until the driver happens to collect its garbage, those of one table
+    beside those of the next. The session gets its setting back when the last of its users ends.
+    """
+    with _writing:
+        users, before = _writers.get(spark) or (0, spark.conf.get(CLEANUP, None))
+        _writers[spark] = users + 1, before
+        spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        with _writing:
+            users, before = _writers.pop(spark)
+            if users > 1:
+                _writers[spark] = users - 1, before
+            elif before is None:
+                spark.conf.unset(CLEANUP)
+            else:
+                spark.conf.set(CLEANUP, before)
 
 
 class PublicationConflict(RuntimeError):
@@ -187,29 +221,34 @@ class Warehouse:
     def write(
         self,
         layer: str,
-        tables: Mapping[str, DataFrame],
+        tables: Mapping[str, DataFrame | Sequence[DataFrame]],
         clustered: Mapping[str, Ranges | Places] | None = None,
         writers: int = 4,
         build: Build | None = None,
     ) -> Build:
         """Write a layer in full, or add tables to a ``build`` of it, without publishing it.
 
-        The tables are independent jobs, so a few are written at a time. Those named in
-        ``clustered`` are dealt out by ranges of a column and sorted by it, so that a filter on
-        it reads few row groups.
+        The tables are independent jobs, so a few are written at a time. A table may be given
+        in parts, which are written one after another, so that the shuffle files of one are gone
+        before the next begins. Those named in ``clustered`` are dealt out by ranges of a column
+        and sorted by it, so that a filter on it reads few row groups.
         """
         fresh = f"{datetime.now(UTC):{VERSION_TIME}}-{uuid.uuid4().hex[:8]}"
         version, earlier = (build.version, build.tables) if build else (fresh, {})
-        laid_out = dict(tables)
+        parts = {n: [t] if isinstance(t, DataFrame) else list(t) for n, t in tables.items()}
         for name, ranges in (clustered or {}).items():
-            laid_out[name] = ranges.deal(tables[name])
+            parts[name] = [ranges.deal(part) for part in parts[name]]
 
         def write(name: str) -> None:
-            laid_out[name].write.parquet(self.path(layer, version, name))
-
-        with ThreadPoolExecutor(max_workers=writers) as pool:
-            list(pool.map(write, laid_out))
-        return Build(version, {**earlier, **{name: t.schema.json() for name, t in tables.items()}})
+            for number, part in enumerate(parts[name]):
+                writer = part.write.option("compression", COMPRESSION)
+                writer.mode("append" if number else "error").parquet(
+                    self.path(layer, version, name)
+                )
+
+        with shuffles_end_with_queries(self.spark), ThreadPoolExecutor(writers) as pool:
+            list(pool.map(write, parts))
+        return Build(version, {**earlier, **{n: p[0].schema.json() for n, p in parts.items()}})
 
     def publish(
         self,

@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from starmart.functions import date_key
 from starmart.operators.dimensions import dim_customer, dim_date, dim_product, dim_seller
-from starmart.operators.facts import fact_order_items, fact_orders
+from starmart.operators.facts import (
+    fact_order_items,
+    fact_orders,
+    keyed_lines,
+    keyed_orders,
+    line_rows,
+    order_rows,
+)
 from starmart.operators.rollups import order_metrics
 from starmart.operators.skew import HotKeys, observe_hot_keys
 from starmart.operators.staging import STAGED, stage_all
@@ -49,6 +56,11 @@ FACTS = ORDERS, ITEMS = "fact_orders", "fact_order_items"
 DATE = "order_date_sk"
 ROWS_PER_RANGE = 500_000
 
+# More lines than these are joined and dealt out in several passes, each over its share of the
+# order ids, so that only a share is in shuffles at a time.
+LINES_PER_PASS = 2_000_000
+MAX_PASSES = 4
+
 # The order metrics stay a view among the marts; a catalog view needs SQL text.
 ORDER_METRICS_VIEW = """
 SELECT order_id,
@@ -105,27 +117,43 @@ def build(warehouse: Warehouse, raw: Mapping[str, DataFrame]) -> None:
     mart and check, and a lost executor re-reads columns rather than extracts.
     Order ids that repeat very often are noticed in passing. Facts are clustered by the
     order date, in ranges of equally many of their own rows: days are counted in the staged
-    orders, and their lines in the written order fact. Raises PublicationConflict if another
-    build was published meanwhile.
+    orders, and their lines in the written order fact. Rows are dealt out under natural keys and
+    hashed behind that. Raises PublicationConflict if another build was published meanwhile.
     """
     parent = warehouse.newest()
     staged = stage_all(raw)
     staged["stg_orders"], hot_keys = observe_hot_keys(staged["stg_orders"], "order_id")
     staging = warehouse.write(STAGING, staged)
     written = Snapshot(warehouse, {STAGING: staging}).read_layer(STAGING)
-    models = model(written, hot_keys())
-    lines = {ITEMS: models.pop(ITEMS)}
+    tables = model(written)
+    del tables[ITEMS]
+    orders, items, payments, reviews = (written[name] for name in MODELS[ORDERS][1])
     day = date_key(F.col("order_purchase_timestamp"))
-    orders_by_day = written["stg_orders"].groupBy(day).agg(F.count(F.lit(1)))
-    places = Places.of(orders_by_day, DATE, ROWS_PER_RANGE)
-    marts = warehouse.write(MARTS, models, {ORDERS: places})
+    places = Places.of(orders.groupBy(day).agg(F.count(F.lit(1))), DATE, ROWS_PER_RANGE)
+    metrics = order_metrics(items, payments, reviews, known_orders_only=True)
+    tables[ORDERS] = keyed_orders(places.deal(order_rows(orders, metrics, hot_keys())))
+    marts = warehouse.write(MARTS, tables)
+
     fact = Snapshot(warehouse, {MARTS: marts}).read(MARTS, ORDERS)
-    lines_by_day = fact.groupBy(DATE).agg(F.sum("items_count"))
-    places = Places.of(lines_by_day, DATE, ROWS_PER_RANGE)
-    marts = warehouse.write(MARTS, lines, {ITEMS: places}, build=marts)
+    passes = min(MAX_PASSES, max(1, -(-items.count() // LINES_PER_PASS)))
+    lines = []
+    for number in range(passes):
+        known, own, some = (_share(t, number, passes) for t in (fact, items, orders))
+        by_day = known.groupBy(DATE).agg(F.sum("items_count"))
+        # Smaller ranges by as much, since every pass has rows of every day.
+        places = Places.of(by_day, DATE, -(-ROWS_PER_RANGE // passes), within=("order_id",))
+        lines.append(keyed_lines(places.deal(line_rows(own, some))))
+    marts = warehouse.write(MARTS, {ITEMS: lines}, build=marts)
     warehouse.publish({STAGING: staging, MARTS: marts}, parent)
 
 
+def _share(table: DataFrame, number: int, passes: int) -> DataFrame:
+    """The rows of every ``passes``-th order id, all rows of an id together."""
+    if passes == 1:
+        return table
+    return table.filter(F.pmod(F.xxhash64("order_id"), F.lit(passes)) == number)
+
+
 def mount(warehouse: Warehouse) -> None:
     """Make the published tables, and the order metrics view, queryable by name."""
     snapshot = warehouse.snapshot()

@@ -1,6 +1,7 @@
 """Plans and hot keys: what must hold when the tables are a million times larger."""
 
 import re
+import time
 from pathlib import Path
 
 import pyarrow.parquet as pq
@@ -13,7 +14,7 @@ from starmart.operators.facts import fact_order_items, fact_orders
 from starmart.operators.skew import HotKeys, find_hot_keys, left_join_unique, observe_hot_keys
 from starmart.plans import pipeline, quality, reports
 from starmart.plans.checks import CHECKS
-from starmart.plans.layers import MARTS, STAGING, Places, Ranges, Warehouse
+from starmart.plans.layers import CLEANUP, MARTS, STAGING, Places, Ranges, Warehouse
 from starmart.sources import adapters
 from tests.fixtures import write_sources
 
@@ -209,6 +210,77 @@ def test_each_fact_is_dealt_by_its_own_rows(spark, tmp_path, monkeypatch):
         assert sum(sizes) == total and max(sizes) < 700, (name, sizes)
 
 
+def shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {name for name in manager.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in name}
+
+
+def test_shuffle_files_go_with_the_write(spark, tmp_path):
+    """None is left for a garbage collection to come; the session's setting is as before."""
+    setting = spark.conf.get(CLEANUP, None)
+    before = shuffle_files(spark)
+    tables = {f"t{n}": spark.range(1000).repartition(4, "id") for n in range(6)}
+    Warehouse(spark, f"{tmp_path}/wh").write(MARTS, tables)
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(CLEANUP, None) == setting
+    with pytest.raises(Exception):
+        Warehouse(spark, f"{tmp_path}/wh").write(
+            MARTS, {"t": spark.range(1).selectExpr("raise_error('no') AS x")})
+    assert spark.conf.get(CLEANUP, None) == setting
+
+
+def test_lines_are_written_by_shares_and_hashed_behind_the_shuffles(spark, tmp_path, monkeypatch):
+    """Repeated, missing and unknown order ids; a published line fact is the lazy one."""
+    monkeypatch.setattr(pipeline, "ROWS_PER_RANGE", 400)
+    monkeypatch.setattr(pipeline, "LINES_PER_PASS", 700)
+    warehouse = Warehouse(spark, f"{tmp_path}/wh")
+    raw = pipeline.read_staging_sources(warehouse, write_sources(tmp_path))
+    nothing = F.lit(None).cast("string")
+    given = {
+        "orders": spark.range(320).selectExpr(
+            "string(if(id % 40 = 3, NULL, id % 300)) AS order_id", "string(id % 7) AS customer_id",
+            "'delivered' AS order_status",
+            "string(timestamp_ntz'2017-01-01 10:00:00' + make_interval(0, 0, 0, int(id % 90))) "
+            "AS order_purchase_timestamp"),
+        "order_items": spark.range(3000).selectExpr(
+            "string(if(id % 50 = 0, NULL, if(id % 3 = 0, 10, id % 310))) AS order_id",
+            "string(id) AS order_item_id", "string(id % 11) AS product_id",
+            "string(id % 5) AS seller_id", "'1.5' AS price", "'0.5' AS freight_value"),
+    }
+    for name, table in given.items():
+        raw[name] = table.select(
+            *[c if c in table.columns else nothing.alias(c) for c in raw[name].columns])
+    written = {}
+    write = Warehouse.write
+
+    def noted(self, layer, tables, *arguments, **options):
+        written.update(tables)
+        return write(self, layer, tables, *arguments, **options)
+
+    monkeypatch.setattr(Warehouse, "write", noted)
+    pipeline.build(warehouse, raw)
+    parts = written["fact_order_items"]
+    assert len(parts) == 4 and min(part.count() for part in parts) > 0
+    for table in (*parts, written["fact_orders"]):
+        above, dealt, below = plan(table).partition("REPARTITION")
+        assert "md5(" in above
+        assert not dealt or "md5(" not in below
+    assert "REPARTITION" in plan(parts[0])
+    staged = {name: warehouse.read(STAGING, name) for name in warehouse.snapshot().build(STAGING).tables}
+    expected = pipeline.model(staged)
+    for name in ("fact_order_items", "fact_orders"):
+        found = warehouse.read(MARTS, name)
+        assert found.dtypes == expected[name].dtypes
+        assert sorted(map(str, found.collect())) == sorted(map(str, expected[name].collect()))
+        files = list(Path(warehouse.snapshot().path(MARTS, name)).glob("*.parquet"))
+        codecs = {pq.read_metadata(f).row_group(0).column(0).compression for f in files}
+        assert codecs == {"ZSTD"}
+    assert found.count() == 320
+
+
 def test_no_registered_query_crosses_or_loops(spark):
     own = {k: q for k, q in entry_point.queries().items() if not re.match(r"op\d+_|pipeline$", k)}
     for name, query in own.items():
