@@ -37,7 +37,14 @@ from starmart.operators.facts import fact_orders
 from starmart.plans import pipeline, quality, reports
 from starmart.plans.checks import CHECKS
 from starmart.plans.layers import MARTS, Warehouse, create_views
-from starmart.sources import RAW_SOURCES, adapters, read_all_raw, read_raw, write_raw
+from starmart.sources import (
+    RAW_SOURCES,
+    adapters,
+    read_all_raw,
+    read_raw,
+    remove_raw,
+    write_raw,
+)
 from starmart.sources.raw_csv import read_stitched
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -274,12 +281,17 @@ def _summary_published(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _csv_to_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nine CSV extracts to published marts, queried by name in SQL."""
+    """Nine CSV extracts to published marts, queried by name in SQL.
+
+    The extracts are scratch: they go once they are staged, before the marts take their place.
+    """
     base = scratch(spark)
+    extracts = f"{base}/raw"
     for name, table in adapters.raw_tables(spark, sf_dir).items():
-        write_raw(adapters.as_text(table), f"{base}/raw/{name}.csv")
+        write_raw(adapters.as_text(table), f"{extracts}/{name}.csv")
     warehouse = Warehouse(spark, f"{base}/warehouse")
-    pipeline.build(warehouse, read_all_raw(spark, f"{base}/raw"))
+    raw = read_all_raw(spark, extracts)
+    pipeline.build(warehouse, raw, on_staged=lambda: remove_raw(spark, extracts))
     pipeline.mount(warehouse)
     return spark.sql(
         "SELECT order_status, count(*) AS orders, round(sum(total_order_value), 2) AS revenue "

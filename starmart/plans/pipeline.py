@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -110,7 +110,11 @@ def read_staging_sources(
     return read_all_raw(warehouse.spark, base, pattern, file_names, sep, names)
 
 
-def build(warehouse: Warehouse, raw: Mapping[str, DataFrame]) -> None:
+def build(
+    warehouse: Warehouse,
+    raw: Mapping[str, DataFrame],
+    on_staged: Callable[[], None] | None = None,
+) -> None:
     """Rebuild both layers from raw tables and publish them as one.
 
     Staged tables are written first: the text is parsed once instead of once per
@@ -118,12 +122,15 @@ def build(warehouse: Warehouse, raw: Mapping[str, DataFrame]) -> None:
     Order ids that repeat very often are noticed in passing. Facts are clustered by the
     order date, in ranges of equally many of their own rows: days are counted in the staged
     orders, and their lines in the written order fact. Rows are dealt out under natural keys and
-    hashed behind that. Raises PublicationConflict if another build was published meanwhile.
+    hashed behind that. ``on_staged`` is called once nothing reads the raw tables any more. Raises
+    PublicationConflict if another build was published meanwhile.
     """
     parent = warehouse.newest()
     staged = stage_all(raw)
     staged["stg_orders"], hot_keys = observe_hot_keys(staged["stg_orders"], "order_id")
     staging = warehouse.write(STAGING, staged)
+    if on_staged:
+        on_staged()
     written = Snapshot(warehouse, {STAGING: staging}).read_layer(STAGING)
     tables = model(written)
     del tables[ITEMS]

@@ -76,6 +76,12 @@ def write_raw(df: DataFrame, path: str) -> None:
     ).csv(path)
 
 
+def remove_raw(spark: SparkSession, path: str) -> None:
+    """Delete an extract, or a folder of extracts, wherever ``write_raw`` put it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def read_stitched(
     spark: SparkSession, path: str, sep: str = ",", max_record_bytes: int = MAX_RECORD_BYTES
 ) -> DataFrame:

@@ -6,6 +6,7 @@ from datetime import timedelta
 
 import pytest
 
+import __spark_entry__ as entry_point
 from starmart import __main__ as command_line
 from starmart.operators.staging import stage_all
 from starmart.plans import pipeline
@@ -68,6 +69,23 @@ def test_rebuild_replaces_and_old_readers_keep_their_version(spark, tmp_path):
     }
 
 
+def test_extracts_are_kept_until_staged_and_no_longer(spark, tmp_path, monkeypatch):
+    """The registered query leaves its marts and no extract; one that is never staged stays."""
+    monkeypatch.setattr(entry_point, "scratch", lambda spark: f"file://{tmp_path}/query")
+    found = entry_point.queries()["csv_to_catalog"](spark, "/root/testdata/sf0.001")
+    assert {p.name for p in (tmp_path / "query").iterdir()} == {"warehouse"}
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
+    assert sum(row.orders for row in found.collect()) == orders > 0
+    calls = []
+    warehouse = Warehouse(spark, f"{tmp_path}/wh")
+    broken = CSV["order_items"].replace("10.50", "ten")
+    with failing("cannot read 'ten' as double"):
+        pipeline.build(
+            warehouse, raw(warehouse, tmp_path, order_items=broken), lambda: calls.append(1)
+        )
+    assert calls == []
+
+
 def test_failed_build_leaves_the_published_one(spark, tmp_path):
     warehouse = Warehouse(spark, f"{tmp_path}/wh")
     pipeline.build(warehouse, raw(warehouse, tmp_path))
