@@ -148,7 +148,8 @@ def summarise(spark: SparkSession, checks: Iterable[Check], tables: Tables) -> D
     and the key its value. A row that fails checks of its own (a NULL, a broken
     predicate) casts one more, whose key spells out which. Ballots are counted
     per (domain, key) with map-side partial counts, so hot keys shrink before the
-    one shuffle, and every check is then read off the counts.
+    one shuffle, and every check is then read off the counts. Keys that are lower-case
+    hex, as hashes are, travel as the bytes they spell, half as long.
     """
     checks = list(checks)
     ballots = _Ballots(checks, tables)
@@ -156,11 +157,12 @@ def summarise(spark: SparkSession, checks: Iterable[Check], tables: Tables) -> D
     for table in dict.fromkeys(ballots.tables):
         voted = ballots.cast(table, tables[table])
         votes = voted if votes is None else votes.unionAll(voted)
-    counted = votes.groupBy("domain", "key").agg(
+    counted = ballots.pack(votes).groupBy("domain", "key").agg(
         *[F.expr(f"count_if(role = {role}) AS n{role}") for role in range(ballots.width)]
     )
     # Few rows from here on: one per domain, or per value where values are listed.
-    measured = counted.groupBy("domain", F.expr(f"{ballots.listed_key} AS value")).agg(
+    domain = F.expr(f"domain % {ballots.domains} AS domain")
+    measured = counted.groupBy(domain, F.expr(f"{ballots.listed_key} AS value")).agg(
         *[F.expr(f"sum({sql}) AS {name}") for name, sql in ballots.measures.items()]
     )
 
@@ -232,8 +234,9 @@ class _Ballots:
 
         listed = [self.domain[self._own(c)] for c in checks if c.kind == "accepted_values"]
         listed = sorted({*listed, *self.flag_domain.values()})
-        kept = f"domain IN ({', '.join(map(str, listed))})" if listed else "false"
-        self.listed_key = f"if({kept}, key, CAST(NULL AS STRING))"
+        self.kept = f"domain IN ({', '.join(map(str, listed))})" if listed else "false"
+        self.listed_key = f"if({self.kept}, CAST(key AS STRING), CAST(NULL AS STRING))"
+        self.domains = max(1, len(self.domain) + len(self.flags))
 
         self.measures: dict[str, str] = {}
         for role in range(self.width):
@@ -268,6 +271,20 @@ class _Ballots:
         cast = f"if({any_fails}, array({keyed}, {flags}), array({keyed}))"
         return rows.selectExpr(f"inline({cast})")
 
+    def pack(self, votes: DataFrame) -> DataFrame:
+        """Keys as bytes: those that hex spells, if it spells the key back, else the text's own.
+
+        Both may be the same bytes, so packed keys have domains of their own, ``domains`` further
+        up. Keys whose value matters later are not packed.
+        """
+        spelled = votes.withColumn("bytes", F.expr("unhex(key)"))
+        packed = f"coalesce(lower(hex(bytes)) = key, false) AND NOT {self.kept}"
+        return spelled.selectExpr(
+            f"if({packed}, domain + {self.domains}, domain) AS domain",
+            "role",
+            f"if({packed}, bytes, CAST(key AS BINARY)) AS key",
+        )
+
     def failed(self, check: Check) -> tuple[int, str]:
         """The check's domain, and what one row of measures adds to its failures."""
         if condition := self._row_condition(check):

@@ -2,6 +2,8 @@
 
 from collections import Counter
 
+import os
+
 import pytest
 
 from starmart.plans import quality
@@ -144,3 +146,39 @@ def test_negative_zero_is_zero(spark):
     check = quality.relationships("c", "k", "p", "k")
     assert quality.summarise(spark, [check], made).first().failures == 0
     assert quality.failures(check, made).count() == 0
+
+
+def test_keys_that_spell_the_bytes_of_others_are_not_them(spark):
+    """'7a7a' is hex for the bytes of 'zz'; case, odd lengths and empty text matter too."""
+    keys = ["zz", "7a7a", "7A7A", "07a7a", "7a7", "", "ab", "AB", None, "é", "c3a9", "7a7a"]
+    parents = ["zz", "AB", "c3a9", "", "07a7a"]
+    tables = {
+        "child": spark.createDataFrame([(k,) for k in keys], "k string"),
+        "parent": spark.createDataFrame([(k,) for k in parents], "k string"),
+    }
+    checks = [
+        quality.unique("child", "k"),
+        quality.not_null("child", "k"),
+        quality.relationships("child", "k", "parent", "k"),
+        quality.unique("parent", "k"),
+    ]
+    found = [row.failures for row in quality.summarise(spark, checks, tables).collect()]
+    assert found == [quality.failures(c, tables).count() for c in checks] == [1, 1, 6, 0]
+    listed = [quality.accepted_values("child", "k", ["zz", "ab", "", "AB"])]
+    (row,) = quality.summarise(spark, listed, tables).collect()
+    assert row.failures == quality.failures(listed[0], tables).count() == 6
+
+
+def test_hashes_are_shuffled_as_bytes(spark):
+    """A hundred thousand distinct md5 texts of 32 bytes each."""
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = manager.getAllFiles().mkString("\n").split("\n")
+        return {f for f in files if "/shuffle_" in f and f.endswith(".data")}
+
+    before = shuffled()
+    hashes = spark.range(100_000).selectExpr("md5(CAST(id AS STRING)) AS k")
+    summary = quality.summarise(spark, [quality.unique("t", "k")], {"t": hashes})
+    assert [row.failures for row in summary.collect()] == [0]
+    assert sum(os.path.getsize(f) for f in shuffled() - before) < 3_000_000
